@@ -19,9 +19,8 @@ def conform(df: DataFrame, table: str, compat: bool = False, zone: str = values.
     kinds = mirror_kinds(MIRROR[table])
     if len(df.columns) != len(kinds):
         raise ValueError(f"{table}: {len(kinds)} columns expected, {len(df.columns)} found")
-    return df.select(
-        *[_convert(df, source, kind, compat, zone).alias(name) for source, (name, kind) in zip(df.columns, kinds)]
-    )
+    named = df.toDF(*[name for name, _ in kinds])
+    return named.select(*[_convert(named, name, kind, compat, zone).alias(name) for name, kind in kinds])
 
 
 def _convert(df: DataFrame, source: str, kind: str, compat: bool, zone: str) -> Column:

@@ -17,7 +17,9 @@ PageFilter = Callable[[DataFrame, str], DataFrame]
 # One clause of a filter: operator and expression.
 Clause = tuple[str, str]
 
-DAY = F.to_date("ts").alias("ga_date")
+
+def _day() -> Column:
+    return F.to_date("ts").alias("ga_date")
 
 
 def clause(value: Column | str, operator: str, expression: str, ignore_case: bool = True) -> Column:
@@ -95,7 +97,7 @@ def in_days(hits: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def total_users(hits: DataFrame) -> DataFrame:
-    return hits.groupBy(DAY).agg(F.count_distinct("user_id").alias("ga_users"))
+    return hits.groupBy(_day()).agg(F.count_distinct("user_id").alias("ga_users"))
 
 
 def kb_users(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "") -> DataFrame:
@@ -103,7 +105,7 @@ def kb_users(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "") -
 
 
 def users_by_country(hits: DataFrame) -> DataFrame:
-    return hits.groupBy(DAY, F.col("country").alias("ga_country")).agg(F.count_distinct("user_id").alias("ga_users"))
+    return hits.groupBy(_day(), F.col("country").alias("ga_country")).agg(F.count_distinct("user_id").alias("ga_users"))
 
 
 def _session_segments(hits: DataFrame, segments: dict[str, tuple[str, str]]) -> DataFrame:
@@ -135,7 +137,7 @@ def segment_hits(
 def traffic_segments(hits: DataFrame, pages: PageFilter | None = None, product: str = "") -> DataFrame:
     """Users and sessions a day, in-product against organic."""
     seen = pages(hits, "page_path") if pages else hits
-    visits = seen.groupBy(DAY, "session_id", "user_id").agg(F.count("*").alias("_n"))
+    visits = seen.groupBy(_day(), "session_id", "user_id").agg(F.count("*").alias("_n"))
     member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "user_id"])
     report = member.groupBy("ga_date", "ga_segment").agg(
         F.count_distinct("user_id").alias("ga_users"), F.count_distinct("session_id").alias("ga_sessions")
@@ -148,7 +150,7 @@ def traffic_by_page(
 ) -> DataFrame:
     """The same a page, most viewed first."""
     seen = pages(hits, "page_path") if pages else hits
-    visits = seen.groupBy(DAY, F.col("page_path").alias("ga_page_path"), "session_id", "user_id").agg(
+    visits = seen.groupBy(_day(), F.col("page_path").alias("ga_page_path"), "session_id", "user_id").agg(
         F.count("*").alias("_views")
     )
     member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "ga_page_path", "user_id"])
@@ -162,7 +164,7 @@ def traffic_by_page(
 
 def search_clicks(hits: DataFrame) -> DataFrame:
     """Users and unique events (session and action) a day, of sessions that searched or clicked a result."""
-    events = hits.groupBy(DAY, "session_id", "user_id", "event_action").agg(F.count("*").alias("_n"))
+    events = hits.groupBy(_day(), "session_id", "user_id", "event_action").agg(F.count("*").alias("_n"))
     member = segment_hits(hits, SEARCH_SEGMENTS, events, ["ga_date", "user_id", "event_action"])
     return member.groupBy("ga_date", "ga_segment").agg(
         F.count_distinct("user_id").alias("ga_users"),
@@ -172,11 +174,11 @@ def search_clicks(hits: DataFrame) -> DataFrame:
 
 def exit_rates(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "", ordered: bool = True) -> DataFrame:
     """Views, exits (sessions that end there) and their ratio in percent, a day and page; most viewed first."""
-    views = hits.groupBy(DAY, F.col("page_path").alias("ga_exitPagePath")).agg(
+    views = hits.groupBy(_day(), F.col("page_path").alias("ga_exitPagePath")).agg(
         F.count("*").alias("_views"), F.lit(0).cast("long").alias("_exits")
     )
     last = hits.where("session_id is not null").groupBy("session_id").agg(
-        F.max_by(F.struct(DAY, F.col("page_path").alias("ga_exitPagePath")), F.struct("ts", "hit_id")).alias("_last")
+        F.max_by(F.struct(_day(), F.col("page_path").alias("ga_exitPagePath")), F.struct("ts", "hit_id")).alias("_last")
     )
     exits = last.groupBy("_last.ga_date", "_last.ga_exitPagePath").agg(
         F.lit(0).cast("long").alias("_views"), F.count("*").alias("_exits")
