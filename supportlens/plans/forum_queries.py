@@ -125,7 +125,7 @@ GROUP BY answer_id HAVING count(*) > 1"""),
     "question_rows": f"""SELECT conv_id * 1000 + turn AS question_id, replace(text, {_LF}) AS question_content,
   {_UTC} AS created_date, role AS creator_username, {_UTC} AS updated, role AS updated_by,
   turn > 2 AS is_solved, '' AS locale, '' AS product, CASE WHEN turn > 0 THEN replace(text, {_LF}) ELSE '' END AS title,
-  '' AS topic, '' AS solved_by, CASE WHEN turn > 2 THEN turn ELSE 0 END AS num_votes, 0 AS num_votes_past_week,
+  '' AS topic, '' AS solved_by, CASE WHEN turn > 2 THEN turn ELSE 0 END AS num_votes, CAST(0 AS BIGINT) AS num_votes_past_week,
   '' AS metadata_array, '' AS tags_array, '' AS answers
 FROM conversations WHERE role = 'user'""",
     "answer_rows": f"""SELECT conv_id * 1000 + turn AS answer_id, conv_id AS question_id,

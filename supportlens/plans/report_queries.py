@@ -306,7 +306,7 @@ FROM ctr GROUP BY 1"""),
   k + 1 AS day_num, CAST(floor(k / 7) AS BIGINT) + 1 AS week_num
 FROM part, (SELECT unnest(range(-28, 56)) AS k) WHERE p_size + 30 >= 57""",
     "survey_rows": """SELECT o_orderkey AS response_id, utc AS time_started, utc AS date_submitted, 'Complete' AS status,
-  CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS contact_id, o_orderstatus AS language, -0.5 AS longitude,
+  CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS contact_id, o_orderstatus AS language, CAST(-0.5 AS DOUBLE) AS longitude,
   CASE o_orderstatus WHEN 'O' THEN 'Yes' WHEN 'F' THEN 'No' ELSE '' END AS goal_accomplished, o_orderpriority AS rating
 FROM (SELECT *, o_orderdate + to_seconds(o_orderkey * 37 % 86400)
     + to_hours(CASE o_orderkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 0 END) AS utc FROM orders)

@@ -20,6 +20,24 @@ def connect(folder: str):
     return db
 
 
+KINDS = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def kinds_differ(df, db, sql) -> list[str]:
+    """Columns whose type in Spark is another than in SQL."""
+    told = {row[0]: row[1] for row in db.execute("DESCRIBE " + sql).fetchall()}
+    return [f"{f.name}: {f.dataType.simpleString()} against {told.get(f.name)}" for f in df.schema.fields
+            if KINDS.get(f.dataType.simpleString()) != told.get(f.name)]
+
+
 def normal(value):
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 9)
