@@ -35,7 +35,9 @@ def enrich_replies(mentions: DataFrame, posts: DataFrame) -> DataFrame:
         F.col("user_id").alias("in_reply_to_status_user_id"),
     )
     replies = mentions.where(F.col(PARENT).isNotNull()).join(parents, PARENT, "left")
-    return replies.unionByName(mentions.where(F.col(PARENT).isNull()), allowMissingColumns=True)
+    others = mentions.where(F.col(PARENT).isNull())
+    columns = [*mentions.columns, *[c for c in parents.columns if c != PARENT]]
+    return replies.unionByName(others, allowMissingColumns=True).select(*columns)
 
 
 def reply_first_response(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -20,12 +18,3 @@ def local_session(cpus: int = 8, name: str = "supportlens") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="supportlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder

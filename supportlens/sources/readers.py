@@ -81,8 +81,8 @@ def read_csv(
 
 def check_bad_rows(rows: DataFrame, allowed: int) -> DataFrame:
     """The good rows; an error once more than `allowed` rows were bad."""
-    bad = rows.select("_corrupt").where("_corrupt is not null").limit(allowed + 1).count()
-    if bad > allowed:
+    bad = rows.where("_corrupt is not null").take(allowed + 1)
+    if len(bad) > allowed:
         raise ValueError(f"more than {allowed} bad rows")
     return rows.where("_corrupt is null").drop("_corrupt")
 
@@ -123,7 +123,7 @@ def word_list(words: DataFrame, most: int = 100_000) -> list[str]:
 
 
 def mirror_query(table: str) -> str:
-    """The projection that reads a source table; the one text date is parsed by its known format."""
+    """The projection that reads a source table."""
     return ", ".join(name for name, _ in mirror_kinds(MIRROR[table]))
 
 

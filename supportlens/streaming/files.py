@@ -38,8 +38,9 @@ def load_available(
 
 def daily_terms(stream: DataFrame, ts: str, text: str, ignore: Sequence[str] = ()) -> DataFrame:
     """Term counts a day, final once the settling time has passed."""
-    terms = stream.withWatermark(ts, SETTLING).select(ts, F.explode(tokens(text)).alias("token"))
-    words = terms.select(ts, lower_token("token").alias("tweet_word"))
+    days = stream.withColumn("_day", F.date_trunc("day", F.col(ts).cast("timestamp"))).withWatermark("_day", SETTLING)
+    terms = days.select("_day", F.explode(tokens(text)).alias("token"))
+    words = terms.select("_day", lower_token("token").alias("tweet_word"))
     kept = words.where(~F.col("tweet_word").isin(list(ignore))) if ignore else words
-    counts = kept.groupBy(F.window(ts, "1 day"), "tweet_word").agg(F.count("*").alias("tweet_freq"))
-    return counts.select(F.to_date("window.start").alias("tweet_dt"), "tweet_word", "tweet_freq")
+    counts = kept.groupBy("_day", "tweet_word").agg(F.count("*").alias("tweet_freq"))
+    return counts.select(F.col("_day").cast("date").alias("tweet_dt"), "tweet_word", "tweet_freq")

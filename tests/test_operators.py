@@ -1,0 +1,296 @@
+"""Relational operators on small worked cases, and on hot keys against plain Python."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from supportlens import schemas, values
+from supportlens.operators import enrich, forum, incremental, measures, releases, reviews, skew, social, survey, tables, trends
+
+
+def frame(spark, rows, schema):
+    """Rows with times given as text."""
+    names = [c.split() for c in schema.split(", ")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} {'string' if t == 'ntz' else t}" for n, t in names))
+    return raw.select(*[F.col(n).cast("timestamp_ntz" if t == "ntz" else t).alias(n) for n, t in names])
+
+
+def tuples(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+QUESTION = "question_id long, created_date ntz, updated ntz"
+ANSWER = "answer_id long, question_id long, created_date ntz, updated ntz"
+
+
+def test_latest(spark):
+    raw = frame(
+        spark,
+        [(1, "2020-01-01", "2020-01-01"), (1, "2020-01-01", "2020-01-02"), (1, "2020-01-01", None), (2, "2020-01-01", None)],
+        QUESTION,
+    )
+    assert tuples(forum.latest(raw, "question_id"), "question_id", "updated") == [(1, datetime(2020, 1, 2)), (2, None)]
+    assert tuples(forum.repeated_keys(raw, "question_id"), "question_id", "copies") == [(1, 3)]
+
+
+def test_first_response_and_deadline(spark):
+    questions = frame(
+        spark,
+        [(i, "2020-01-01 00:00:00", "2020-01-01") for i in (1, 2, 3, 4)] + [(5, None, None), (None, "2020-01-01", None)],
+        QUESTION,
+    )
+    answers = frame(
+        spark,
+        [
+            (11, 1, "2020-01-01 00:00:50", None),
+            (12, 1, "2020-01-01 00:00:20", None),
+            (21, 2, "2020-01-02 00:00:00", None),
+            (31, 3, "2020-01-02 00:00:01", None),
+            (51, 5, "2020-01-01", None),
+            (91, 9, "2020-01-01", None),
+            (92, None, "2020-01-01", None),
+        ],
+        ANSWER,
+    )
+    first = forum.first_response(questions, answers)
+    assert tuples(first, "question_id", "answer_id", "frt") == [(1, 12, 20), (2, 21, 86400), (3, 31, 86401)]
+    late = forum.over_deadline(questions, first)
+    assert tuples(late, "question_id") == [(3,), (4,), (5,)]
+    everything = forum.over_deadline(questions, first.where("frt < 0"))
+    assert everything.count() == 6  # with nothing answered in time even a null id stays, as with NOT IN
+
+
+def test_first_response_prefers_an_undated_answer(spark):
+    questions = frame(spark, [(1, "2020-01-01", None)], QUESTION)
+    answers = frame(spark, [(1, 1, "2020-01-02", None), (2, 1, None, None)], ANSWER)
+    assert tuples(forum.first_response(questions, answers), "answer_id", "frt") == [(2, None)]
+
+
+MENTION = "id_str long, created_at ntz, full_text string, user_id long, in_reply_to_status_id_str long"
+
+
+def test_replies(spark):
+    posts = frame(
+        spark,
+        [
+            (1, "2020-01-01 00:00:00", "p", 7, None),
+            (2, "2020-01-01 00:00:30", "a", 8, 1),
+            (3, "2020-01-01 00:00:30", "b", 9, 1),
+            (4, "2020-01-01 00:00:40", "c", 9, 1),
+            (5, "2020-01-01 00:00:40", "d", 9, 99),
+        ],
+        MENTION,
+    )
+    rich = social.enrich_replies(posts, posts)
+    assert rich.columns == schemas.TABLES["twitter_reviews"].names
+    assert tuples(rich, "id_str", "in_reply_to_status_user_id") == [(1, None), (2, 7), (3, 7), (4, 7), (5, None)]
+    assert tuples(social.reply_first_response(rich), "id_str", "response_time") == [(2, 30), (3, 30)]
+
+
+def test_tweet_rows(spark):
+    tweet = spark.createDataFrame(
+        [("12", "2020-01-01 00:00:00", "a\nb", (5,), "11")],
+        "id_str string, created_at string, full_text string, user struct<id: long>, in_reply_to_status_id_str string",
+    )
+    assert tuple(social.tweet_rows(tweet).first()) == (12, datetime(2020, 1, 1), "a\\nb", 5, 11)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 100, 10**9])
+def test_hot_keys_join_whole(spark, hot_rows):
+    """Key 0 has most rows; whatever counts as hot, each row meets its key once."""
+    big = spark.range(1000).select("id", F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 50).alias("k"))
+    keyed = big.where("k <> 9").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    joined = skew.keyed_join(big, keyed, "k", "n", ["id"], hot_rows)
+    plain = big.join(keyed.drop("n"), "k")
+    assert sorted(joined.columns) == ["id", "k", "top"]
+    assert tuples(joined, "id", "k", "top") == tuples(plain, "id", "k", "top")
+
+
+def test_hot_reply_groups_agree(spark):
+    posts = spark.range(600).select(
+        F.col("id").alias("id_str"),
+        F.expr("timestamp_ntz'2020-01-01' + (id * 7 % 13) * interval '1' second").alias("created_at"),
+        F.expr("if(id % 3 = 0, 1, id % 9)").alias("in_reply_to_status_id_str"),
+        F.expr("timestamp_ntz'2020-01-01'").alias("in_reply_to_status_created_at"),
+    )
+    wanted = tuples(social.reply_first_response(posts), "id_str", "response_time")
+    assert tuples(social.reply_first_response(posts, hot_rows=10), "id_str", "response_time") == wanted
+
+
+def test_windows_of_the_load():
+    start, end = date(2020, 1, 1), date(2020, 1, 10)
+    assert incremental.next_window(start, end, None) == (start, end)
+    assert incremental.next_window(start, end, date(2020, 1, 4)) == (date(2020, 1, 5), end)
+    assert incremental.next_window(start, end, date(2019, 1, 4)) == (start, end)
+    assert incremental.next_window(start, end, end) is None
+    assert incremental.next_window(start, end, date(2020, 1, 9)) is None
+
+
+def test_scans(spark):
+    rows = frame(spark, [(i, f"2020-01-0{i}") for i in range(1, 8)], "id long, ts ntz")
+    picked = incremental.scan_range(rows, "ts", "2020-01-02", "2020-01-05")
+    assert [r["id"] for r in picked.collect()] == [3, 4, 5]
+    assert [r["id"] for r in incremental.scan_range(rows, "ts", "2020-01-02", "2020-01-05", 2).collect()] == [3, 4]
+    assert tuples(incremental.scan_days(rows, "ts", date(2020, 1, 2), date(2020, 1, 4), ["id"]), "id") == [(2,), (3,)]
+    assert tuples(incremental.scan_submitted(rows, "ts", datetime(2020, 1, 4)), "id") == [(3,)]
+    with pytest.raises(ValueError, match="is after end"):
+        incremental.scan_submitted(rows, "ts", datetime(2020, 1, 4), datetime(2020, 1, 5))
+    assert incremental.since(rows, "id", 5).count() == 2 and incremental.since(rows, "id", None, cap=3).count() == 3
+
+
+def test_watermarks(spark):
+    rows = frame(spark, [("a", "2020-01-01"), ("a", "2020-01-03"), ("b", "2020-01-02")], "p string, ts ntz")
+    assert incremental.read_watermark(rows, "ts", values.FIRST_LOAD) == datetime(2020, 1, 3)
+    assert incremental.read_watermark(rows.limit(0), "ts", values.FIRST_LOAD) == datetime(2010, 5, 1)
+    assert incremental.read_watermark(None, "ts", "2010-05-01") == "2010-05-01"
+    assert tuples(incremental.watermark_by(rows, "p", "ts"), "p", "watermark") == [
+        ("a", datetime(2020, 1, 3)),
+        ("b", datetime(2020, 1, 2)),
+    ]
+    assert incremental.source_day(rows, "ts").first()["start"] == date(2020, 1, 2)
+
+
+def test_months_are_replaced_whole(spark):
+    table = frame(spark, [(1, "2020-01-31 23:00:00"), (2, "2020-02-01"), (3, None)], "id long, ts ntz")
+    batch = frame(spark, [(9, "2020-01-05")], "id long, ts ntz")
+    assert tuples(incremental.replace_months(table, batch, "ts"), "id") == [(2,), (3,), (9,)]
+
+
+def test_table_differences(spark):
+    left = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None)], "topic string, keywords string")
+    right = spark.createDataFrame([("a", "x"), ("c", "z")], "topic string, keywords string")
+    assert tuples(tables.difference(left, right, left.columns), "topic", "extra") == [("a", 1), ("b", 1), ("c", -1)]
+    assert tables.differs(left, right) and not tables.differs(left, left)
+    assert tables.differs(left, left.withColumnRenamed("topic", "t"))
+
+
+def test_release_calendar(spark):
+    rows = spark.createDataFrame(
+        [
+            ("r1", "p", "major", 1, "2020-03-10", "74.0", None, None),
+            ("r2", "p", "major", 1, "2017-03-10", "56.0.1", "old", True),
+            ("r3", "p", "major", 1, "2017-03-10", "x", "odd", True),
+        ],
+        "release string, product string, category string, build_number long, date string, version string, "
+        "description string, is_security_driven boolean",
+    )
+    days = {r["date_utc"]: r for r in releases.release_calendar(rows).collect()}
+    assert len(days) == 84 and releases.release_calendar(rows).schema.names == schemas.TABLES["release_calendar"].names
+
+    def numbers(day):
+        return days[day]["day_num"], days[day]["week_num"]
+
+    assert numbers(date(2020, 2, 11)) == (-27, -3)
+    assert numbers(date(2020, 3, 9)) == (0, 0)
+    assert numbers(date(2020, 3, 10)) == (1, 1)
+    assert numbers(date(2020, 5, 4)) == (56, 8)
+    assert days[date(2020, 3, 10)]["description"] == "" and not days[date(2020, 3, 10)]["is_security_driven"]
+    assert releases.release_calendar(rows, weeks_before=0, min_major=None).count() == 3 * 56
+
+
+def test_release_documents(spark):
+    text = '{"releases": {"a-1": {"product": "a", "version": "60.0", "date": "2020-01-01"}, "a-2": {"product": "a"}}}'
+    rows = releases.release_rows(spark.createDataFrame([(text,)], "value string"))
+    assert tuples(rows, "release", "version") == [("a-1", "60.0"), ("a-2", None)]
+
+
+def test_answer_counts(spark):
+    rows = spark.createDataFrame([("Yes",), ("Yes",), (None,)], "a string")
+    assert tuples(survey.answer_counts(rows, "a", "Score"), "Score", "count") == [("Yes", 2), (None, 0)]
+
+
+def test_series_and_queries(spark):
+    wide = frame(spark, [("DE", "2020-01-01", 5, None, False)], "region string, date ntz, q1 long, q2 long, isPartial boolean")
+    series = trends.query_series(wide, date(2020, 1, 6), ["q1", "q2"])
+    assert [tuple(r) for r in series.collect()] == [("2020-01-06#DE#q1", datetime(2020, 1, 1), "q1", 5)]
+    queries = spark.createDataFrame([("", "hallo", 50), ("DE", "x", 10)], "region string, query string, value long")
+    words = spark.createDataFrame([("hallo", "hello")], "original_query string, translated_query string")
+    rows = trends.rising_queries(queries, date(2020, 1, 6), words)
+    assert rows.schema.names == schemas.TABLES["trend_queries"].names
+    assert tuples(rows, "query_key_ts", "translated_query", "search_increase_pct") == [
+        ("2020-01-06##hallo", "hello", 50),
+        ("2020-01-06#DE#x", "x", 10),
+    ]
+    assert trends.with_regions(queries.drop("region")).count() == 28
+
+
+def test_reviews(spark):
+    rows = spark.createDataFrame([("a,b", "c、d，e", "f,g")], "Review_Title string, Review_Text string, Device string")
+    assert tuple(reviews.clean_reviews(rows).first()) == ("a b", "c d e", "f,g")
+
+
+def test_language_and_filter(spark):
+    rows = spark.createDataFrame(
+        [(1, "this is some text of the tweet that was not for you"), (2, ""), (3, "der Hund ist nicht mit dem Kind"), (4, None)],
+        "id long, t string",
+    )
+    found = enrich.detect_language(rows, "t")
+    assert tuples(found, "id", "language") == [(1, "en"), (2, "und"), (3, "de"), (4, "und")]
+    scored = spark.createDataFrame(
+        [(1, "en", 1.0), (2, "en", 0.1), (3, "und", 1.0), (4, "und", 0.1), (5, "en", 0.8)],
+        "id long, language string, confidence double",
+    )
+    assert tuples(enrich.filter_language(scored), "id") == [(1,), (5,)]
+    assert tuples(enrich.filter_language(scored, inclusive=False), "id") == [(1,)]
+    assert enrich.filter_language(scored).columns == ["id"]
+    assert enrich.filter_language(scored.where("id = 2")).isEmpty()
+
+
+def test_sentiment(spark, one):
+    from supportlens.functions.sentiment import sentiment_bin
+
+    def wanted(score, magnitude):
+        return one(sentiment_bin("s", "m"), s=float(score), m=float(magnitude))
+
+    assert [wanted(1, 0.1), wanted(-1, 0), wanted(-1, 1), wanted(1, 1)] == ["neutral", "neutral", "negativ", "positive"]
+    assert [wanted(0.2, 0.5), wanted(-0.2, 0.5), wanted(0.21, 0.5)] == ["neutral", "neutral", "positive"]
+    assert wanted("nan", 1) is None and wanted(1, "nan") == "positive"
+    rows = spark.createDataFrame([(1, "Happy tweet"), (2, "Neutral tweet"), (3, "Horrible tweet")], "id long, t string")
+    scored = enrich.score_sentiment(rows, "t")
+    assert tuples(scored, "id", "discrete_sentiment") == [(1, "positive"), (2, "neutral"), (3, "negativ")]
+
+
+def test_flows(spark):
+    def length_model(texts):
+        import pandas as pd
+
+        return pd.DataFrame({"score": (texts.str.len() % 3 - 1).astype(float), "magnitude": 1.0})
+
+    posts = frame(
+        spark,
+        [(1, "2020-01-01", "the app is slow and it was not good for you", 5, None), (2, "2020-01-01", "Ikke spoergsmaal", 6, 1)],
+        MENTION,
+    )
+    rich = enrich.enrich_tweets(posts, [("slow", "slow"), ("app", "app,slow")])
+    row = rich.first()
+    assert rich.count() == 1 and set(rich.columns) == set(schemas.TABLES["twitter_sentiment"].names)
+    assert [t["topic"] for t in row["topics"]] == ["", "app", "slow"]
+    assert enrich.enrich_tweets(posts.limit(0), []).isEmpty()
+    modelled = enrich.enrich_tweets(posts, [], sentiment=enrich.model_sentiment(length_model))
+    assert modelled.first()["score"] == float(len(row["full_text"]) % 3 - 1)
+    asked = frame(
+        spark,
+        [(1, "this is the title", "<p>happy with the app</p>", 3, 4), (2, "der", "die das", 3, 4)],
+        "question_id long, title string, question_content string, solution long, last_answer long",
+    )
+    rich = enrich.enrich_questions(asked)
+    assert rich.columns == ["question_id", "title", "question_content", "score", "magnitude", "discrete_sentiment"]
+    assert [(r["question_content"], r["discrete_sentiment"]) for r in rich.collect()] == [("happy with the app", "positive")]
+
+
+def test_weekly_measures(spark):
+    rows = frame(
+        spark,
+        [("a", "2020-01-06", 2), ("a", "2020-01-12", 2), ("a", "2020-01-13", 6), ("a", "2020-01-27", 6), ("b", "2020-01-06", 1)],
+        "p string, ts ntz, n long",
+    )
+    change = measures.weekly_change(rows, "ts", ["p"], F.col("n"))
+    assert tuples(change, "p", "week", "change_pct") == [
+        ("a", date(2020, 1, 13), 50.0),
+        ("a", date(2020, 1, 27), None),
+        ("a", date(2020, 1, 6), None),
+        ("b", date(2020, 1, 6), None),
+    ]
+    shares = {(r["week"], r["p"]): r["share"] for r in measures.weekly_shares(rows, "ts", "p").collect()}
+    assert shares[date(2020, 1, 6), "a"] == pytest.approx(2 / 3)
