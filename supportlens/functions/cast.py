@@ -6,7 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WHOLE = r"^\s*[+-]?\d+(_\d+)*\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_GROUPED = r"^\s*[+-]?\d+(_\d+)*\s*$"
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
+_FLAG = r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"
+
+
+# A failing try_cast raises and catches inside Spark, some ten times the cost of the pattern that sorts such texts out.
+def parse_long(text: Column) -> Column:
+    return F.when(text.rlike(_WHOLE), text.try_cast("long"))
+
+
+def parse_double(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def parse_flag(text: Column) -> Column:
+    return F.when(text.rlike(_FLAG), text.try_cast("boolean"))
 
 
 def safe_cast(df: DataFrame, name: str, to: str, compat: bool = False) -> Column:
@@ -32,8 +48,9 @@ def _is_nested(source: T.DataType) -> bool:
 def _to_int(value: Column, source: T.DataType, compat: bool) -> Column:
     if _is_nested(source) or isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.lit(None).cast("long")
-    if compat and isinstance(source, T.StringType):
-        return F.when(value.rlike(_WHOLE), F.replace(value, F.lit("_"), F.lit("")).try_cast("long"))
+    if isinstance(source, T.StringType):
+        grouped = F.when(value.rlike(_GROUPED), F.replace(value, F.lit("_"), F.lit("")))
+        return parse_long(grouped if compat else value)
     return value.try_cast("long")
 
 
@@ -44,7 +61,7 @@ def _to_bool(value: Column, source: T.DataType, compat: bool) -> Column:
         return F.coalesce(value != "", F.lit(False))
     if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return value.isNotNull() if compat else F.lit(None).cast("boolean")
-    flag = value.try_cast("boolean")
+    flag = parse_flag(value) if isinstance(source, T.StringType) else value.try_cast("boolean")
     return F.coalesce(flag, F.lit(False)) if compat else flag
 
 

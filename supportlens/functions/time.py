@@ -34,15 +34,12 @@ def survey_text_to_utc(text: Column | str, observed: bool = False) -> Column:
     observed=True returns the wall clock itself, which is what the source system stores.
     """
     text = col(text)
-    wall = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \S+$", 1).try_cast("timestamp_ntz")
+    shape = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \S+$"
+    wall = F.regexp_extract(text, shape, 1).try_cast("timestamp_ntz")
     if observed:
         return wall
-    zone = F.regexp_extract(text, r" (\S+)$", 1)
-    return (
-        F.when(zone == "EST", wall + F.expr("interval '5' hour"))
-        .when(zone == "EDT", wall + F.expr("interval '4' hour"))
-        .otherwise(wall)
-    )
+    east = F.when(text.endswith(" EST"), F.expr("interval '5' hour")).when(text.endswith(" EDT"), F.expr("interval '4' hour"))
+    return wall + east.otherwise(F.expr("interval '0' hour"))
 
 
 def survey_watermark_text(utc: Column | str) -> Column:

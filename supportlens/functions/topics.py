@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,23 +48,57 @@ def matches_rule(text: Column | str, keywords: str) -> Column:
     return F.size(F.array_distinct(found)) >= len(parts)
 
 
-def topics(text: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
-    """Sorted distinct topics whose rules the text meets; null text gives none.
+# The only other letters that equal an ASCII letter when case is ignored, and the letters they equal.
+_ODD_CASES = ("\u017f\u212a\u0131\u0130", "skii")
 
-    One scan for any part of any rule comes first, so texts without a hit skip the rule list.
-    """
-    text = col(text)
-    rules = list(dict.fromkeys(rules))
-    if not rules:
-        return F.array().cast("array<string>")
+
+def fold(text: Column | str) -> Column:
+    """Lower case in which an ASCII keyword is found as it stands."""
+    return F.lower(F.translate(col(text), *_ODD_CASES))
+
+
+def _runs(keyword: str) -> list[str] | None:
+    """ASCII letter and digit runs that stand alone wherever the keyword matches; None where that is not certain."""
+    word = keyword.strip().lower()
+    if not word.isascii() or re.search(r"[^a-z0-9 \-/:']", word):
+        return None
+    return re.findall(r"[a-z0-9]+", word)
+
+
+def rule_words(rules: Sequence[tuple[str, str]]) -> list[str]:
+    """All runs of all rules."""
+    return sorted({run for _, keywords in rules for k in keywords.split(",") for run in _runs(k) or []})
+
+
+def words_found(folded: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
+    """Which of the rules' runs the folded text holds, from one pass over the text however many rules there are."""
+    runs = F.split(col(folded), "[^a-z0-9]+")
+    return F.array_intersect(runs, F.array(*[F.lit(w) for w in rule_words(rules)]).cast("array<string>"))
+
+
+def may_match(folded: Column | str, found: Column | str, keywords: str) -> Column:
+    """False only where no part of the rule can match; cheap, so it stands before the pattern."""
+    tests = []
+    for keyword in keywords.split(","):
+        bare, runs = keyword.strip().lower().replace("_", ""), _runs(keyword)
+        if runs:
+            tests.append(reduce(and_, [F.array_contains(found, run) for run in runs]))
+        elif bare.isascii() and bare.isalnum():
+            tests.append(F.contains(col(folded), F.lit(bare)))
+        else:
+            return F.lit(True)
+    return reduce(or_, tests)
+
+
+def topics(text: Column | str, folded: Column | str, found: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
+    """Sorted distinct topics whose rules the text meets; null text gives none. `folded` and `found` are columns made
+    beforehand by fold and words_found, so each is worked out once a row."""
     by_topic: dict[str, Column] = {}
-    for topic, keywords in rules:
-        hit = matches_rule(text, keywords)
+    for topic, keywords in dict.fromkeys(rules):
+        hit = may_match(folded, found, keywords) & matches_rule(text, keywords)
         by_topic[topic] = by_topic[topic] | hit if topic in by_topic else hit
-    found = F.array_compact(F.array(*[F.when(hit, F.lit(topic)) for topic, hit in by_topic.items()]))
-    words = dict.fromkeys(_part(k) for _, keywords in rules for k in keywords.split(","))
-    anything = _FLAGS + r"\b(?:" + "|".join(w.replace("(", "(?:") for w in words) + r")\b"
-    return F.when(text.rlike(anything), F.array_sort(found)).otherwise(F.array().cast("array<string>"))
+    met = F.array(*[F.when(hit, F.lit(topic)) for topic, hit in sorted(by_topic.items())])
+    return F.array_compact(met.cast("array<string>"))
 
 
 def topic_records(found: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions.sentiment import count_in, lexicon_score, sentiment_bin, words
 from supportlens.functions.text import cap_text, col, strip_tags, title_and_body
-from supportlens.functions.topics import topic_records, topics
+from supportlens.functions.topics import fold, topic_records, topics, words_found
 
 # A step that adds its columns to a frame, given the text column to read.
 Step = Callable[[DataFrame, Column], DataFrame]
@@ -79,9 +79,16 @@ def model_sentiment(predict: Callable[[pd.Series], pd.DataFrame]) -> Step:
     )
 
 
+def classify(df: DataFrame, text: Column | str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Adds topics, the sorted topics whose rules the text meets."""
+    folded = df.withColumn("_text", col(text)).withColumn("_folded", fold("_text"))
+    found = folded.withColumn("_found", words_found("_folded", rules))
+    return found.withColumn("topics", topics("_text", "_folded", "_found", rules)).drop("_text", "_folded", "_found")
+
+
 def add_topics(df: DataFrame, text: Column | str, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Adds topics as repeated records, the empty one first."""
-    return df.withColumn("topics", topic_records(topics(text, rules)))
+    return classify(df, text, rules).withColumn("topics", topic_records("topics"))
 
 
 def enrich_tweets(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supportlens import values
+from supportlens.functions.cast import parse_long
 
 RECORD = (
     "struct<product: string, category: string, build_number: bigint, date: string, version: string, "
@@ -28,7 +29,7 @@ def release_calendar(
     """One row a day around each release. The release day is day 1 of week 1, the day before day 0 of week 0."""
     day = F.col("date").cast("date")
     if min_major is not None:
-        releases = releases.where(F.split("version", r"\.")[0].try_cast("int") >= min_major)
+        releases = releases.where(parse_long(F.split("version", r"\.")[0]) >= min_major)
     offsets = F.sequence(F.lit(-7 * weeks_before), F.lit(7 * weeks_after - 1))
     return releases.withColumn("_offset", F.explode(offsets)).select(
         "release",

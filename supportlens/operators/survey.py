@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supportlens.functions.cast import parse_double, parse_long
 from supportlens.functions.time import survey_text_to_utc
 
 # API field and table column, in table order.
@@ -27,12 +28,12 @@ QUESTIONS = {"2": "goal_accomplished", "4": "rating"}
 
 def survey_rows(data: DataFrame, observed: bool = False) -> DataFrame:
     """API survey records to table rows. Rows without two readable times drop out; an unanswered question is ''."""
-    typed = {"contact_id": "long", "longitude": "double", "latitude": "double"}
+    typed = {"contact_id": parse_long, "longitude": parse_double, "latitude": parse_double}
     rows = data.select(
-        F.col("id").try_cast("long").alias("response_id"),
+        parse_long(F.col("id")).alias("response_id"),
         survey_text_to_utc("date_started", observed).alias("time_started"),
         survey_text_to_utc("date_submitted", observed).alias("date_submitted"),
-        *[F.col(f).try_cast(typed.get(f, "string")).alias(name) for f, name in FIELDS.items()],
+        *[(typed[f](F.col(f)) if f in typed else F.col(f)).alias(name) for f, name in FIELDS.items()],
         *[
             F.coalesce(F.try_element_at("survey_data", F.lit(q))["answer"], F.lit("")).alias(name)
             for q, name in QUESTIONS.items()

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supportlens.operators.skew import first_by
+from supportlens.sources.readers import read_table
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def load(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
+    return read_table(spark, f"{folder}/{name}.parquet", spread_by)
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return load(spark, folder, "documents", spread_by="doc_id")
 
 
 def at(seconds: Column | str) -> Column:
@@ -19,7 +24,7 @@ def at(seconds: Column | str) -> Column:
 
 
 def tweets(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         F.col("doc_id").alias("id_str"),
         at("(doc_id % 30) * 86400 + doc_id % 80000").alias("created_at"),
         F.col("text").alias("full_text"),

@@ -10,7 +10,7 @@ from supportlens import values
 from supportlens.functions import time as tm
 from supportlens.functions.cast import safe_cast
 from supportlens.operators import incremental, mirror, tables
-from supportlens.plans.inputs import load, tweets, with_inputs
+from supportlens.plans.inputs import documents, load, tweets, with_inputs
 
 
 def _dirty(spark, sf):
@@ -151,7 +151,7 @@ def _votes(spark, sf):
 
 
 def _post(spark, sf):
-    return load(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").cast("string"),
         F.when(F.col("doc_id") % 5 == 0, "none").otherwise(F.col("doc_id").cast("string")),
         F.replace("text", F.lit(". "), F.lit(".\r\n")),

@@ -88,7 +88,7 @@ def _flatten(spark, sf):
         F.array(first, second).alias("metrics"),
     )
     report = F.struct(F.struct(F.array(row).alias("rows")).alias("data"))
-    json = load(spark, sf, "events").select(F.to_json(F.struct(F.array(report).alias("reports"))).alias("value"))
+    json = load(spark, sf, "events", spread_by="event_id").select(F.to_json(F.struct(F.array(report).alias("reports"))).alias("value"))
     responses = json.select(F.from_json("value", REPORT).alias("r")).select("r.*")
     return web.flatten_report(responses, ["ga_date", "ga_event"], ["id_now", "key_now", "id_before", "key_before"])
 
@@ -137,7 +137,7 @@ def _responses(spark, sf):
         F.lit("-0.5").alias("longitude"),
         answers.alias("survey_data"),
     )
-    pages = load(spark, sf, "orders").select(
+    pages = load(spark, sf, "orders", spread_by="o_orderkey").select(
         F.to_json(F.struct(F.lit(1).alias("total_pages"), F.array(record).alias("data"))).alias("value")
     )
     return survey.survey_rows(parse_pages(pages, SURVEY_PAGE, "data"))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions import text as tx
 from supportlens.functions.sentiment import sentiment_bin
-from supportlens.functions.topics import topics
 from supportlens.operators import enrich, reviews, terms
-from supportlens.plans.inputs import load, question_versions, tweets, with_inputs
+from supportlens.plans.inputs import documents, load, question_versions, tweets, with_inputs
 from supportlens.operators.forum import latest
 
 # The invented prose of the tables names no product, so rules and word lists are made of words it does use.
@@ -37,12 +36,13 @@ def _keywords(spark, sf):
 
 
 def _topic_classify(spark, sf):
-    found = F.array_join(topics("text", RULES), "|")
-    return load(spark, sf, "documents").select("doc_id", found.alias("topics"))
+    docs = enrich.classify(documents(spark, sf), "text", RULES)
+    return docs.select("doc_id", F.array_join("topics", "|").alias("topics"))
 
 
 def _topic_counts(spark, sf):
-    found = load(spark, sf, "documents").select("source", F.explode(topics("text", RULES)).alias("topic"))
+    docs = enrich.classify(documents(spark, sf), "text", RULES)
+    found = docs.select("source", F.explode("topics").alias("topic"))
     return found.groupBy("source", "topic").agg(F.count("*").alias("n"))
 
 
@@ -54,17 +54,17 @@ def _sentiment_bins(spark, sf):
 
 
 def _language(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return enrich.detect_language(docs, "text").drop("text")
 
 
 def _language_filter(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return enrich.filter_language(enrich.detect_language(docs, "text")).drop("text")
 
 
 def _lexicon(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return enrich.score_sentiment(docs, "text", UP, DOWN).drop("text")
 
 
@@ -83,11 +83,11 @@ def _enrich_questions(spark, sf):
 
 
 def _strip(spark, sf):
-    return load(spark, sf, "pages").select("page_id", tx.strip_tags("html").alias("content"))
+    return load(spark, sf, "pages", spread_by="page_id").select("page_id", tx.strip_tags("html").alias("content"))
 
 
 def _cap(spark, sf):
-    return load(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         tx.cap_text("text", values.LANGUAGE_TEXT_LIMIT).alias("language_text"),
         tx.cap_text("text", values.SENTIMENT_TEXT_LIMIT).alias("sentiment_text"),
@@ -96,7 +96,7 @@ def _cap(spark, sf):
 
 def _escape(spark, sf):
     text = F.replace("text", F.lit(". "), F.lit(".\r\n"))
-    return load(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         tx.escape_newlines(text).alias("line_feeds"),
         tx.escape_newlines(text, carriage_returns=True).alias("line_ends"),
@@ -104,7 +104,7 @@ def _escape(spark, sf):
 
 
 def _reviews(spark, sf):
-    rows = load(spark, sf, "documents").select(
+    rows = documents(spark, sf).select(
         "doc_id", F.substring("text", 1, 60).alias("Review_Title"), F.concat("text", F.lit("、a，b")).alias("Review_Text")
     )
     return reviews.clean_reviews(rows)

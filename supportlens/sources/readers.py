@@ -37,6 +37,16 @@ TWEET = (
 )
 
 
+def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """A parquet table. With spread_by its rows are dealt to all cores by that column, but only where the files offer
+    fewer splits than there are cores (one row group cannot be split): worth it before parsing or matching texts."""
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by is None or table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, spread_by)
+
+
 def parse_pages(pages: DataFrame, schema: str, records: str, json: str = "value") -> DataFrame:
     """Saved API pages, one JSON text a row, to one row a record. Every page counts, the last one too."""
     return pages.select(F.explode(F.from_json(json, schema)[records]).alias("r")).select("r.*")

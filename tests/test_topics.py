@@ -6,7 +6,8 @@ import re
 import pytest
 
 from supportlens import values
-from supportlens.functions.topics import matches_rule, rule_pattern, topic_records, topics
+from supportlens.functions.topics import matches_rule, rule_pattern
+from supportlens.operators.enrich import add_topics, classify
 
 RULES = [
     ("single word", "abc"),
@@ -19,6 +20,10 @@ RULES = [
 ]
 
 
+def topics_of(spark, text, rules=RULES):
+    return classify(spark.createDataFrame([(text,)], "t string"), "t", rules).first()["topics"]
+
+
 def py_match(text, keywords):
     found = re.compile(rule_pattern(keywords), re.I).findall(text)
     return len(set(found)) >= len(keywords.split(","))
@@ -37,8 +42,8 @@ def py_match(text, keywords):
         ("Test sentence wordabc", {"word ending"}),
     ],
 )
-def test_topics(one, text, wanted):
-    assert one(topics("t", RULES), t=text) == sorted(wanted)
+def test_topics(spark, text, wanted):
+    assert topics_of(spark, text) == sorted(wanted)
 
 
 @pytest.mark.parametrize(
@@ -65,18 +70,18 @@ def test_shipped_rules_match_python(spark):
     stock = [w for _, k in rules for w in re.split(r"[,\s]+", k.replace("_", "")) if w]
     extra = ["the", "loading", "Loads", "NOT", "not", "bookmarks", "h3264", "page", "İ", "ſync", "ﬁrewall", "é"]
     texts = [rng.choice([" ", " ", "-", ", "]).join(rng.choice(stock + extra) for _ in range(rng.randint(0, 9))) for _ in range(400)]
-    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", topics("t", rules).alias("w"))
+    rows = classify(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "t", rules)
     wanted = [sorted({topic for topic, k in rules if py_match(t, k)}) for t in texts]
-    assert [r["w"] for r in rows.orderBy("id").collect()] == wanted
+    assert [r["topics"] for r in rows.orderBy("id").collect()] == wanted
     assert any(wanted) and not all(wanted)
 
 
-def test_records(one):
-    found = one(topic_records(topics("t", RULES)), t="def")
-    assert [r["topic"] for r in found] == ["", "multiple single words"]
-    assert [r["topic"] for r in one(topic_records(topics("t", RULES)), t="x")] == [""]
+def test_records(spark):
+    rows = add_topics(spark.createDataFrame([("def",), ("x",)], "t string"), "t", RULES)
+    assert rows.columns == ["t", "topics"]
+    assert [[r["topic"] for r in row["topics"]] for row in rows.collect()] == [["", "multiple single words"], [""]]
 
 
-def test_no_text_no_rules(one):
-    assert one(topics("t", RULES), t=None) == []
-    assert one(topics("t", []), t="abc") == []
+def test_no_text_no_rules(spark):
+    assert topics_of(spark, None) == []
+    assert topics_of(spark, "abc", []) == []
