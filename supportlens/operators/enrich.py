@@ -36,7 +36,9 @@ def detect_language(
     for lang, name in zip(lists, names):
         language = language.when(F.col(name) == best, lang)
     confidence = F.when(total == 0, 0.0).otherwise(best / total)
-    return counted.select(*df.columns, language.alias("language"), confidence.alias("confidence"))
+    # As a generated row, so that a filter on the result is not pushed under the counts and made to repeat them.
+    result = F.struct(language.alias("language"), confidence.alias("confidence"))
+    return counted.select(*df.columns, F.inline(F.array(result)))
 
 
 def filter_language(df: DataFrame, lang: str = "en", confidence: float = 0.8, inclusive: bool = True) -> DataFrame:

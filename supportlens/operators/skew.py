@@ -18,7 +18,7 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 
 def keyed_join(
-    big: DataFrame, keyed: DataFrame, key: str, rows: str, spread: Sequence[str], hot_rows: int = HOT_ROWS
+    big: DataFrame, keyed: DataFrame, keys: Sequence[str], rows: str, spread: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Inner join of big to keyed, which has one row a key and in `rows` the number of big's rows with that key.
 
@@ -26,9 +26,9 @@ def keyed_join(
     row by copies. The list of such keys is broadcast; it cannot exceed big's rows / hot_rows. Null keys drop out.
     """
     parts = F.ceil(F.col(rows) / F.lit(hot_rows)).cast("int")
-    hot = keyed.where(F.col(rows) > hot_rows).select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    hot = keyed.where(F.col(rows) > hot_rows).select(*keys, parts.alias("_parts"))
     part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_parts")))
-    left = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_part", part.cast("int"))
+    left = big.join(F.broadcast(hot), list(keys), "left").withColumn("_part", part.cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))
     right = keyed.withColumn("_part", copies).drop(rows)
-    return left.drop("_hot", "_parts").join(right, [key, "_part"], "inner").drop("_part")
+    return left.drop("_parts").join(right, [*keys, "_part"], "inner").drop("_part")

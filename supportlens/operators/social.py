@@ -48,5 +48,5 @@ def reply_first_response(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFr
         .groupBy(PARENT)
         .agg(F.min("response_time").alias("_fastest"), F.count("*").alias("_replies"))
     )
-    joined = keyed_join(timed, fastest, PARENT, "_replies", spread=["id_str"], hot_rows=hot_rows)
+    joined = keyed_join(timed, fastest, [PARENT], "_replies", spread=["id_str"], hot_rows=hot_rows)
     return joined.where("response_time = _fastest").select(*reviews.columns, "response_time")

@@ -1,4 +1,7 @@
-"""Web-analytics reports over a table of hits."""
+"""Web-analytics reports over a table of hits.
+
+A session ends with its day, so a day's report is the same whether it is made alone or with others.
+"""
 
 from __future__ import annotations
 
@@ -109,14 +112,12 @@ def users_by_country(hits: DataFrame) -> DataFrame:
 
 
 def _session_segments(hits: DataFrame, segments: dict[str, tuple[str, str]]) -> DataFrame:
-    """One row a session in a segment: session_id, its segments, its number of hits. A session may be in several."""
-    flags = [
-        F.max(F.when(clause(column, "EXACT", value), F.lit(name))).alias(f"_s{i}")
-        for i, (name, (column, value)) in enumerate(segments.items())
-    ]
-    names = F.array_compact(F.array(*[F.col(f"_s{i}") for i in range(len(segments))]))
-    sessions = hits.where("session_id is not null").groupBy("session_id").agg(*flags, F.count("*").alias("_hits"))
-    return sessions.select("session_id", names.alias("_segments"), "_hits").where(F.size("_segments") > 0)
+    """One row a session in a segment: day, session_id, its segments, its number of hits. It may be in several."""
+    flags = [F.max(clause(column, "EXACT", value)).alias(f"_s{i}") for i, (column, value) in enumerate(segments.values())]
+    names = F.array_compact(F.array(*[F.when(F.col(f"_s{i}"), F.lit(name)) for i, name in enumerate(segments)]))
+    known = hits.where("session_id is not null")
+    sessions = known.groupBy(_day(), "session_id").agg(*flags, F.count("*").alias("_hits"))
+    return sessions.select("ga_date", "session_id", names.alias("_segments"), "_hits").where(F.size("_segments") > 0)
 
 
 def segment_hits(
@@ -126,11 +127,12 @@ def segment_hits(
     spread: Sequence[str],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """`counted` rows (with session_id) of sessions with a hit in a segment, once for each such segment.
+    """`counted` rows (with ga_date and session_id) of sessions with a hit in a segment, once for each such segment.
 
     Membership is decided over all of a session's hits, before any page filter.
     """
-    member = keyed_join(counted, _session_segments(hits, segments), "session_id", "_hits", spread, hot_rows)
+    sessions = _session_segments(hits, segments)
+    member = keyed_join(counted, sessions, ["ga_date", "session_id"], "_hits", spread, hot_rows)
     return member.withColumn("ga_segment", F.explode("_segments")).drop("_segments")
 
 
@@ -177,10 +179,10 @@ def exit_rates(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "",
     views = hits.groupBy(_day(), F.col("page_path").alias("ga_exitPagePath")).agg(
         F.count("*").alias("_views"), F.lit(0).cast("long").alias("_exits")
     )
-    last = hits.where("session_id is not null").groupBy("session_id").agg(
-        F.max_by(F.struct(_day(), F.col("page_path").alias("ga_exitPagePath")), F.struct("ts", "hit_id")).alias("_last")
+    last = hits.where("session_id is not null").groupBy(_day(), "session_id").agg(
+        F.max_by("page_path", F.struct("ts", "hit_id")).alias("ga_exitPagePath")
     )
-    exits = last.groupBy("_last.ga_date", "_last.ga_exitPagePath").agg(
+    exits = last.groupBy("ga_date", "ga_exitPagePath").agg(
         F.lit(0).cast("long").alias("_views"), F.count("*").alias("_exits")
     )
     both = pages(views.unionByName(exits), "ga_exitPagePath").groupBy("ga_date", "ga_exitPagePath")

@@ -23,8 +23,9 @@ def at(seconds: Column | str) -> Column:
     return F.expr("timestamp_ntz'2024-01-01 00:00:00'") + seconds * F.expr("interval '1' second")
 
 
-def tweets(spark: SparkSession, folder: str) -> DataFrame:
-    return documents(spark, folder).select(
+def tweets(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    docs = documents(spark, folder) if spread else load(spark, folder, "documents")
+    return docs.select(
         F.col("doc_id").alias("id_str"),
         at("(doc_id % 30) * 86400 + doc_id % 80000").alias("created_at"),
         F.col("text").alias("full_text"),

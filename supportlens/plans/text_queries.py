@@ -23,7 +23,7 @@ BRANDS = ("the", "der")
 
 
 def _daily_terms(spark, sf):
-    return terms.term_counts(tweets(spark, sf), F.to_date("created_at"), "full_text", values.stop_terms(BRANDS))
+    return terms.term_counts(tweets(spark, sf, spread=True), F.to_date("created_at"), "full_text", values.stop_terms(BRANDS))
 
 
 def _top_terms(spark, sf):
@@ -72,8 +72,8 @@ def _sentiment_step(df, text):
     return enrich.score_sentiment(df, text, UP, DOWN)
 
 
-def _enrich_tweets(spark, sf):
-    rich = enrich.enrich_tweets(tweets(spark, sf), RULES, sentiment=_sentiment_step)
+def _enrich_tweets(spark, sf, spread=True):
+    rich = enrich.enrich_tweets(tweets(spark, sf, spread=True), RULES, sentiment=_sentiment_step)
     return rich.drop("full_text").withColumn("topics", F.array_join("topics.topic", "|"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +74,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", quote_all: bool = False)
     df.write.mode("overwrite").csv(path, sep=sep, header=True, quoteAll=quote_all, escape='"')
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, object]:
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """The frame and an observation that holds its row count once an action ran; no extra pass."""
-    from pyspark.sql import Observation
-
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("loaded")), seen

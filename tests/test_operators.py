@@ -101,7 +101,7 @@ def test_hot_keys_join_whole(spark, hot_rows):
     """Key 0 has most rows; whatever counts as hot, each row meets its key once."""
     big = spark.range(1000).select("id", F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 50).alias("k"))
     keyed = big.where("k <> 9").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
-    joined = skew.keyed_join(big, keyed, "k", "n", ["id"], hot_rows)
+    joined = skew.keyed_join(big, keyed, ["k"], "n", ["id"], hot_rows)
     plain = big.join(keyed.drop("n"), "k")
     assert sorted(joined.columns) == ["id", "k", "top"]
     assert tuples(joined, "id", "k", "top") == tuples(plain, "id", "k", "top")

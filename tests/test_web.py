@@ -68,7 +68,7 @@ def test_search(hits):
 
 def test_exits(hits):
     kb = {(r["ga_date"], r["ga_exitPagePath"]): (r["ga_exits"], r["ga_pageviews"], r["ga_exitRate"]) for r in web.exit_rates(hits).collect()}
-    assert kb[D1, KB] == (1, 3, pytest.approx(100 / 3)) and kb[D1, KB + "?x=1"] == (0, 1, 0.0)
+    assert kb[D1, KB] == (2, 3, pytest.approx(200 / 3)) and kb[D1, KB + "?x=1"] == (0, 1, 0.0)
     assert kb[D2, KB] == (1, 1, 100.0) and len(kb) == 3
     asked = web.exit_rates(hits, web.QUESTION_PAGES)
     assert tuples(asked, "ga_date", "ga_exits", "ga_pageviews") == [(D1, 1, 1), (D2, 1, 2)]
