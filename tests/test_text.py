@@ -25,12 +25,21 @@ def test_tokens_of_a_post(one):
 
 def test_random_texts_match_python(spark):
     rng = random.Random(7)
-    signs = list("abzXÉéßñ漢字12 ,.:;-_'()#@<>/&%$!\n\t😀") + ["http://", "https://a.b/", ":D", "<b>", "don't", "@me", "#x"]
+    signs = list("abzXÉéßñ漢字12 ,.:;-_'()#@<>/&%$!\n\t😀") + ["http://", "https://a.b/", ":D", "<b>", "don't", "@me", "#x", "##", "##ab", "1,2"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", tx.lower_tokens("t").alias("w"))
     assert [r["w"] for r in rows.orderBy("id").collect()] == [py_tokens(t) for t in texts]
 
 
+@pytest.mark.parametrize(
+    "text, count",
+    [("http://" + "a" * 60000, 1), ("1," * 60000, 1), ("#" * 9000, 9000), ("##ab" * 5000, 5000), ("<" * 9000, 9000), ("x" + "-" * 60000, 60001)],
+)
+def test_long_runs(one, text, count):
+    """No repeat is bounded by the JVM stack."""
+    assert one(F.size(tx.tokens("t")), t=text) == count
+
+
 def test_newlines(one):
     assert one(tx.escape_newlines("t"), t="a\nb\r\nc") == "a\\nb\r\\nc"
     assert one(tx.escape_newlines("t", carriage_returns=True), t="a\nb\r\nc") == "a\\nb\\n\\nc"
