@@ -29,10 +29,10 @@ def load_tweet_sentiment(
     sentiment: enrich.Step = enrich.score_sentiment,
 ) -> None:
     """New mentions up to `end`, detected, filtered, scored, classified by the rules (stored if they changed)."""
-    stored = sinks.ensure_table(spark, target, "twitter_sentiment")
-    start = incremental.read_watermark(stored, "created_at", values.FIRST_LOAD)
+    sinks.ensure_table(spark, target, "twitter_sentiment")
+    start = sinks.stored_watermark(spark, target, "created_at", values.FIRST_LOAD)
     sinks.sync_rules(spark, rules, rules_table)
-    new = incremental.scan_range(spark.table(mentions), "created_at", start, end, ordered=False)
+    new = sinks.plain(incremental.scan_range(spark.table(mentions), "created_at", start, end, ordered=False))
     rich = enrich.enrich_tweets(new, readers.rule_list(spark.table(rules_table)), language, sentiment)
     sinks.append(rich, target, "twitter_sentiment")
 
@@ -46,9 +46,9 @@ def load_question_sentiment(
     sentiment: enrich.Step = enrich.score_sentiment,
 ) -> None:
     """New questions up to `end`, detected, filtered and scored."""
-    stored = sinks.ensure_table(spark, target, "forum_sentiment")
-    start = incremental.read_watermark(stored, "created_date", values.FIRST_LOAD)
-    new = incremental.scan_range(spark.table(questions), "created_date", start, end, ordered=False)
+    sinks.ensure_table(spark, target, "forum_sentiment")
+    start = sinks.stored_watermark(spark, target, "created_date", values.FIRST_LOAD)
+    new = sinks.plain(incremental.scan_range(spark.table(questions), "created_date", start, end, ordered=False))
     sinks.append(enrich.enrich_questions(new, language, sentiment), target, "forum_sentiment")
 
 

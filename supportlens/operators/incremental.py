@@ -35,11 +35,19 @@ def read_watermark(df: DataFrame | None, column: str, default: Any = None) -> An
     return default if df is None else watermark(df, column, default).first()["watermark"]
 
 
+def within(df: DataFrame, ts: str, start: Any, end: Any, ends: str) -> DataFrame:
+    """Rows between two times; ends says which bounds belong: '(]' or '[)'. Tables stored by day list only its days."""
+    low, high, at = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.col(ts)
+    if f"{ts}_day" in df.columns:
+        df = df.where(F.col(f"{ts}_day").between(low.cast("date"), high.cast("date")))
+    return df.where((at > low) & (at <= high) if ends == "(]" else (at >= low) & (at < high))
+
+
 def scan_range(
     df: DataFrame, ts: str, start: Any, end: Any, limit: int | None = None, ordered: bool = True
 ) -> DataFrame:
     """Rows after start up to end, oldest first. A load that only appends should pass ordered=False."""
-    rows = df.where((F.col(ts) > F.lit(start).cast("timestamp_ntz")) & (F.col(ts) <= F.lit(end).cast("timestamp_ntz")))
+    rows = within(df, ts, start, end, "(]")
     if ordered:
         rows = rows.orderBy(ts)
     return rows if limit is None else rows.limit(limit)
@@ -47,8 +55,7 @@ def scan_range(
 
 def scan_days(df: DataFrame, ts: str, start: date, end: date, columns: Sequence[str]) -> DataFrame:
     """[start, end) with its day in `day`: one scan in place of one query a day."""
-    inside = (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz"))
-    return df.where(inside).select(F.to_date(ts).alias("day"), *columns)
+    return within(df, ts, start, end, "[)").select(F.to_date(ts).alias("day"), *columns)
 
 
 def scan_submitted(df: DataFrame, ts: str, end: datetime, start: datetime | None = None) -> DataFrame:
@@ -56,7 +63,7 @@ def scan_submitted(df: DataFrame, ts: str, end: datetime, start: datetime | None
     start = end - timedelta(days=1) if start is None else start
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
-    return df.where((F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz")))
+    return within(df, ts, start, end, "[)")
 
 
 def next_window(start: date, end: date, loaded: date | None) -> tuple[date, date] | None:

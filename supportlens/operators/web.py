@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens.functions.text import strip_prefix
+from supportlens.operators.incremental import within
 from supportlens.operators.skew import HOT_ROWS, keyed_join
 
 # A page filter: which rows of a frame stay, by the named path column.
@@ -96,7 +97,7 @@ def _tag(report: DataFrame, product: str) -> DataFrame:
 
 def in_days(hits: DataFrame, start: date, end: date) -> DataFrame:
     """Hits of [start, end)."""
-    return hits.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
+    return within(hits, "ts", start, end, "[)")
 
 
 def total_users(hits: DataFrame) -> DataFrame:

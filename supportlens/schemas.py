@@ -99,6 +99,18 @@ TABLES: dict[str, T.StructType] = {
     "ga_search_ctr": table("ga_date: date, ga_segment: string, ga_users ga_uniqueEvents: long"),
 }
 
+# Tables that grow with the data are stored by the day of their watermark column, in a further column `<column>_day`:
+# scans by that column then list only the days they need, and a watermark reads only the last one.
+STORED_BY_DAY = {
+    "forum_questions_raw": "updated",
+    "forum_answers_raw": "updated",
+    "forum_sentiment": "created_date",
+    "twitter_mentions": "created_at",
+    "twitter_reviews": "created_at",
+    "twitter_sentiment": "created_at",
+    "survey_responses": "date_submitted",
+}
+
 # Hits the web reports read: one row a page view or event.
 HITS = table(
     "hit_id: long, ts: timestamp, user_id: long, session_id page_path country source medium event_action: string"

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supportlens.operators.incremental import new_rows
+from supportlens.operators.incremental import new_rows, read_watermark
 from supportlens.operators.tables import differs
-from supportlens.schemas import TABLES
+from supportlens.schemas import STORED_BY_DAY, TABLES
 
 
 def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -20,13 +21,40 @@ def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _by_day(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its day column, and that column's name in a list; as it is where the table has none."""
+    if table not in STORED_BY_DAY:
+        return df, []
+    day = f"{STORED_BY_DAY[table]}_day"
+    return df.withColumn(day, F.to_date(STORED_BY_DAY[table])), [day]
+
+
 def ensure_table(spark: SparkSession, name: str, table: str) -> DataFrame:
     """The stored table `name`, created empty by the catalogue's schema of `table` where it is missing."""
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], TABLES[table]).write.saveAsTable(name, format="parquet")
+        empty, days = _by_day(spark.createDataFrame([], TABLES[table]), table)
+        empty.write.saveAsTable(name, format="parquet", partitionBy=days or None)
     return spark.table(name)
 
 
+def stored_watermark(spark: SparkSession, name: str, column: str, default: Any = None) -> Any:
+    """The greatest stored value of a column; of a table stored by its days only the last day is read."""
+    stored, day = spark.table(name), f"{column}_day"
+    if day in stored.columns:
+        dated = spark.sql(f"SHOW PARTITIONS {name}").where("partition not like '%__HIVE_DEFAULT_PARTITION__%'")
+        last = dated.agg(F.max(F.split("partition", "=")[1])).first()[0]
+        if last is not None:
+            found = read_watermark(stored.where(F.col(day) == F.lit(last).cast("date")), column)
+            if found is not None:
+                return found
+    return read_watermark(stored, column, default)
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """A stored table without the column it is stored by."""
+    return df.drop(*{f"{column}_day" for column in STORED_BY_DAY.values()})
+
+
 def ensure_all(spark: SparkSession, database: str) -> list[str]:
     """Every table of the catalogue, in one database."""
     for table in TABLES:
@@ -35,7 +63,9 @@ def ensure_all(spark: SparkSession, database: str) -> list[str]:
 
 
 def append(df: DataFrame, name: str, table: str) -> None:
-    to_schema(df, TABLES[table]).write.insertInto(name)
+    """Rows to a stored table. Those of one day are brought together first, in files of fit size however they spread."""
+    rows, days = _by_day(to_schema(df, TABLES[table]), table)
+    (rows.hint("rebalance", *days) if days else rows).write.insertInto(name)
 
 
 def append_new(df: DataFrame, name: str, table: str, keys: Sequence[str]) -> None:
@@ -44,7 +74,8 @@ def append_new(df: DataFrame, name: str, table: str, keys: Sequence[str]) -> Non
 
 
 def overwrite(df: DataFrame, name: str, table: str) -> None:
-    to_schema(df, TABLES[table]).write.insertInto(name, overwrite=True)
+    rows, _ = _by_day(to_schema(df, TABLES[table]), table)
+    rows.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
 
 
 def sync_rules(spark: SparkSession, rules: DataFrame, name: str) -> bool:

@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 
 from supportlens import schemas, values
-from supportlens.operators import forum, survey
+from supportlens.operators import forum, incremental, survey
 from supportlens.sources import readers, sinks
 from supportlens.streaming import files
 from test_operators import frame, tuples
@@ -98,7 +98,8 @@ def scores(spark, *ids):
 def test_tables(spark):
     spark.sql("create database if not exists support")
     assert sinks.ensure_all(spark, "support") == list(schemas.TABLES)
-    assert [f.dataType for f in spark.table("support.twitter_sentiment").schema] == [f.dataType for f in schemas.TABLES["twitter_sentiment"]]
+    stored = sinks.plain(spark.table("support.twitter_sentiment"))
+    assert [f.dataType for f in stored.schema] == [f.dataType for f in schemas.TABLES["twitter_sentiment"]]
     name = "support.forum_sentiment_scores"
     sinks.append(scores(spark, 1), name, "forum_sentiment_scores")
     sinks.append(scores(spark, 1), name, "forum_sentiment_scores")
@@ -112,6 +113,23 @@ def test_tables(spark):
         sinks.append(scores(spark, 1).drop("topic"), name, "forum_sentiment_scores")
 
 
+def test_tables_by_day(spark):
+    spark.sql("create database if not exists support")
+    name, columns = "support.posts_by_day", "id_str long, created_at ntz, full_text string, user_id long, in_reply_to_status_id_str long"
+    sinks.ensure_table(spark, name, "twitter_mentions")
+    assert sinks.stored_watermark(spark, name, "created_at", values.FIRST_LOAD) == datetime(2010, 5, 1)
+    days = [(1, "2020-01-01 23:00:00"), (2, "2020-01-02 01:00:00"), (3, "2020-01-02 02:00:00"), (4, None)]
+    sinks.append(frame(spark, [(i, at, "x", 1, None) for i, at in days], columns), name, "twitter_mentions")
+    assert sinks.stored_watermark(spark, name, "created_at") == datetime(2020, 1, 2, 2)
+    scan = incremental.scan_range(spark.table(name), "created_at", "2020-01-01 23:00:00", "2020-01-02 01:00:00", ordered=False)
+    assert tuples(sinks.plain(scan), "id_str") == [(2,)]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_at_day" in plan and "PushedFilters: [IsNotNull(created_at)" in plan
+    new = frame(spark, [(9, "2020-01-03 00:00:00", "x", 1, None)], columns)
+    sinks.overwrite(new, name, "twitter_mentions")
+    assert tuples(spark.table(name), "id_str", "created_at_day") == [(9, date(2020, 1, 3))]
+
+
 def test_rule_sync(spark):
     spark.sql("create database if not exists support")
     rules = spark.createDataFrame(values.topic_rules("Acme"), "topic string, keywords string")
