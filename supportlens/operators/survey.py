@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens.functions.cast import parse_double, parse_long
@@ -34,14 +34,26 @@ def survey_rows(data: DataFrame, observed: bool = False) -> DataFrame:
         survey_text_to_utc("date_started", observed).alias("time_started"),
         survey_text_to_utc("date_submitted", observed).alias("date_submitted"),
         *[(typed[f](F.col(f)) if f in typed else F.col(f)).alias(name) for f, name in FIELDS.items()],
-        *[
-            F.coalesce(F.try_element_at("survey_data", F.lit(q))["answer"], F.lit("")).alias(name)
-            for q, name in QUESTIONS.items()
-        ],
+        *[_answer(q).alias(name) for q, name in QUESTIONS.items()],
     )
     return rows.where("time_started is not null and date_submitted is not null")
 
 
+def export_rows(data: DataFrame) -> DataFrame:
+    """The export's plain projection: the source's own texts, and '' for what was not answered."""
+    return data.select(
+        "id",
+        "date_started",
+        "date_submitted",
+        *FIELDS,
+        *[_answer(q).alias(name) for q, name in QUESTIONS.items()],
+    )
+
+
+def _answer(question: str) -> Column:
+    return F.coalesce(F.try_element_at("survey_data", F.lit(question))["answer"], F.lit(""))
+
+
 def answer_counts(responses: DataFrame, question: str, name: str) -> DataFrame:
     """Responses of each answer; the row for no answer counts 0."""
     return responses.groupBy(F.col(question).alias(name)).agg(F.count(question).alias("count"))

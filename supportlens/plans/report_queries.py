@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from supportlens.operators import measures, releases, survey, trends, web
 from supportlens.functions.sentiment import sentiment_bin
+from supportlens.functions.time import survey_text_to_utc
+from supportlens.operators import measures, releases, survey, trends, web
+from supportlens.operators.incremental import scan_submitted
 from supportlens.plans.inputs import SITE, hits, listed_urls, load, with_inputs
 from supportlens.sources.readers import REPORT, SURVEY_PAGE, parse_pages
 
@@ -111,8 +113,8 @@ def _calendar(spark, sf):
     return releases.release_calendar(releases.release_rows(documents))
 
 
-def _responses(spark, sf):
-    """Orders as survey pages of one response; a quarter has a time that does not parse."""
+def _survey_records(spark, sf):
+    """Orders as survey pages of one response, read back; a quarter has a time that does not parse."""
     text = (
         "date_format(o_orderdate + (o_orderkey * 37 % 86400) * interval '1' second, 'yyyy-MM-dd HH:mm:ss') || "
         "case o_orderkey % 4 when 0 then ' EST' when 1 then ' EDT' when 2 then ' UTC' else '' end"
@@ -140,16 +142,23 @@ def _responses(spark, sf):
     pages = load(spark, sf, "orders", spread_by="o_orderkey").select(
         F.to_json(F.struct(F.lit(1).alias("total_pages"), F.array(record).alias("data"))).alias("value")
     )
-    return survey.survey_rows(parse_pages(pages, SURVEY_PAGE, "data"))
+    return parse_pages(pages, SURVEY_PAGE, "data")
 
 
 def _survey_rows(spark, sf):
-    return _responses(spark, sf).select(
+    return survey.survey_rows(_survey_records(spark, sf)).select(
         "response_id", "time_started", "date_submitted", "status", "contact_id", "language", "longitude",
         "goal_accomplished", "rating",
     )
 
 
+def _survey_export(spark, sf):
+    """Responses submitted in a year, as they came."""
+    timed = _survey_records(spark, sf).withColumn("at", survey_text_to_utc("date_submitted", observed=True))
+    year = scan_submitted(timed, "at", datetime(1998, 1, 1), datetime(1997, 1, 1))
+    return survey.export_rows(year).select("id", "date_submitted", "contact_id", "goal_accomplished", "rating")
+
+
 def _survey_solved(spark, sf):
     answers = load(spark, sf, "orders").select(F.expr("nullif(o_orderstatus, 'P')").alias("goal_accomplished"))
     return survey.answer_counts(answers, "goal_accomplished", "Problem_Solved")
@@ -216,6 +225,7 @@ QUERIES = {
     "report_flatten": _flatten,
     "release_calendar": _calendar,
     "survey_rows": _survey_rows,
+    "survey_export": _survey_export,
     "survey_histogram": _survey_solved,
     "survey_scores": _survey_scores,
     "trend_queries": _trend_queries,
@@ -311,6 +321,13 @@ FROM part, (SELECT unnest(range(-28, 56)) AS k) WHERE p_size + 30 >= 57""",
 FROM (SELECT *, o_orderdate + to_seconds(o_orderkey * 37 % 86400)
     + to_hours(CASE o_orderkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 0 END) AS utc FROM orders)
 WHERE o_orderkey % 4 < 3""",
+    "survey_export": """SELECT CAST(o_orderkey AS VARCHAR) AS id,
+  strftime(wall, '%Y-%m-%d %H:%M:%S') || CASE o_orderkey % 4 WHEN 0 THEN ' EST' WHEN 1 THEN ' EDT' ELSE ' UTC' END
+    AS date_submitted,
+  CASE WHEN o_custkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS contact_id,
+  CASE o_orderstatus WHEN 'O' THEN 'Yes' WHEN 'F' THEN 'No' ELSE '' END AS goal_accomplished, o_orderpriority AS rating
+FROM (SELECT *, o_orderdate + to_seconds(o_orderkey * 37 % 86400) AS wall FROM orders)
+WHERE o_orderkey % 4 < 3 AND wall >= TIMESTAMP '1997-01-01' AND wall < TIMESTAMP '1998-01-01'""",
     "survey_histogram": """SELECT nullif(o_orderstatus, 'P') AS Problem_Solved, count(nullif(o_orderstatus, 'P')) AS count
 FROM orders GROUP BY 1""",
     "survey_scores": """SELECT nullif(o_orderpriority, '5-LOW') AS Score, count(nullif(o_orderpriority, '5-LOW')) AS count

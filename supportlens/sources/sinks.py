@@ -90,7 +90,7 @@ def sync_rules(spark: SparkSession, rules: DataFrame, name: str) -> bool:
 def write_months(df: DataFrame, path: str, ts: str) -> None:
     """Replaces the months the frame holds, and only those, in a table parted by month."""
     month = F.date_format(F.col(ts), "yyyy-MM").alias("month")
-    df.select("*", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    df.select("*", month).hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "month"
     ).parquet(path)
 
