@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions.text import col
 
+def ntz(value: date | datetime | str) -> Column:
+    """A wall clock as a literal. A datetime goes by its text, since Spark would read it in the session's zone."""
+    return F.lit(str(value) if isinstance(value, datetime) else value).cast("timestamp_ntz")
+
+
 def to_utc(local: Column | str, zone: str = values.SOURCE_ZONE) -> Column:
     """UTC of a local wall clock. The hour a clock change repeats counts as standard time."""
     local = col(local)

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supportlens.functions.time import from_utc
+from supportlens.functions.time import from_utc, ntz
 
 
 def watermark(df: DataFrame, column: str, default: Any = None) -> DataFrame:
@@ -37,7 +37,7 @@ def read_watermark(df: DataFrame | None, column: str, default: Any = None) -> An
 
 def within(df: DataFrame, ts: str, start: Any, end: Any, ends: str) -> DataFrame:
     """Rows between two times; ends says which bounds belong: '(]' or '[)'. Tables stored by day list only its days."""
-    low, high, at = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.col(ts)
+    low, high, at = ntz(start), ntz(end), F.col(ts)
     if f"{ts}_day" in df.columns:
         df = df.where(F.col(f"{ts}_day").between(low.cast("date"), high.cast("date")))
     return df.where((at > low) & (at <= high) if ends == "(]" else (at >= low) & (at < high))
@@ -78,7 +78,10 @@ def next_window(start: date, end: date, loaded: date | None) -> tuple[date, date
 
 def since(df: DataFrame, column: str, value: Any, cap: int | None = None) -> DataFrame:
     """Rows past a watermark (all of them without one), with the source's row cap if one is asked for."""
-    rows = df if value is None else df.where(F.col(column) > value)
+    if value is None:
+        rows = df
+    else:
+        rows = df.where(F.col(column) > (ntz(value) if isinstance(value, datetime) else F.lit(value)))
     return rows if cap is None else rows.limit(cap)
 
 

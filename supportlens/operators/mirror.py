@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions.cast import safe_cast
 from supportlens.functions.text import escape_newlines
-from supportlens.functions.time import to_utc
+from supportlens.functions.time import ntz, to_utc
 from supportlens.schemas import MIRROR, mirror_kinds
 
 
@@ -48,14 +48,14 @@ def range_chunks(df: DataFrame, column: str, cuts: Sequence[str] = tuple(values.
     """All rows that fall in a range, with its number in `chunk`, from one scan."""
     cases = F
     for number, cut in enumerate(cuts):
-        cases = cases.when(F.col(column) <= F.lit(cut).cast("timestamp_ntz"), number)
+        cases = cases.when(F.col(column) <= ntz(cut), number)
     chunk = cases.otherwise(len(cuts))
     return df.where(F.col(column).isNotNull()).withColumn("chunk", chunk)
 
 
 def votes_by_document(votes: DataFrame, revisions: DataFrame, documents: DataFrame, until: str) -> DataFrame:
     """Votes up to a day with the document they are about: vote to revision to document."""
-    early = votes.where(F.col("created") <= F.lit(until).cast("timestamp_ntz"))
+    early = votes.where(F.col("created") <= ntz(until))
     voted = early.join(revisions.select(F.col("id").alias("revision_id"), "document_id"), "revision_id")
     titles = documents.select(F.col("id").alias("document_id"), "title", "locale")
     return voted.join(titles, "document_id").select("document_id", "title", "locale", "created", "helpful")
