@@ -75,7 +75,7 @@ def load_keyword_counts(spark: SparkSession, questions: str, target: str, end: d
         sinks.append(terms.keyword_counts(new), target, "forum_word_frequencies")
 
 
-# Table of each web report and what fills it; the product reports take their pages and name besides.
+# Table of each web report and what fills it; the product reports take each product's pages besides.
 WEB_REPORTS: dict[str, Callable[..., DataFrame]] = {
     "ga_total_users": web.total_users,
     "ga_total_users_kb": web.kb_users,
@@ -86,17 +86,17 @@ WEB_REPORTS: dict[str, Callable[..., DataFrame]] = {
     "ga_search_ctr": web.search_clicks,
 }
 PRODUCT_REPORTS: dict[str, Callable[..., DataFrame]] = {
-    "ga_total_users_kb_by_product": web.kb_users,
-    "ga_inproduct_vs_organic_by_product": web.traffic_segments,
-    "ga_inproduct_vs_organic_by_page": lambda h, pages, name: web.traffic_by_page(h, pages, name, ordered=False),
-    "ga_kb_exit_rate_by_product": lambda h, pages, name: web.exit_rates(h, pages, name, ordered=False),
+    "ga_total_users_kb_by_product": lambda hits, products: web.total_users(web.by_product(hits, products)),
+    "ga_inproduct_vs_organic_by_product": lambda h, products: web.traffic_segments(h, web.by_product(h, products)),
+    "ga_inproduct_vs_organic_by_page": lambda h, products: web.traffic_by_page(h, web.by_product(h, products), False),
+    "ga_kb_exit_rate_by_product": lambda hits, products: web.exit_rates(hits, products, ordered=False),
 }
 
 
 def load_web_reports(
-    spark: SparkSession, hits: DataFrame, database: str, start: date, end: date, products: dict[str, web.PageFilter]
+    spark: SparkSession, hits: DataFrame, database: str, start: date, end: date, products: dict[str, web.PageTest]
 ) -> None:
-    """All reports over the settled days of [start, end) that are not stored yet, product by product."""
+    """All reports over the days of [start, end) that are not stored yet. Products with the same days share one scan."""
     for table, report in WEB_REPORTS.items():
         stored = sinks.ensure_table(spark, f"{database}.{table}", table)
         days = incremental.next_window(start, end, incremental.read_watermark(stored, "ga_date"))
@@ -106,10 +106,13 @@ def load_web_reports(
         stored = sinks.ensure_table(spark, f"{database}.{table}", table)
         marks = incremental.watermark_by(stored.where(F.col("product").isin(list(products))), "product", "ga_date")
         loaded = {row["product"]: row["watermark"] for row in marks.collect()}
+        windows: dict[tuple[date, date], dict[str, web.PageTest]] = {}
         for product, pages in products.items():
             days = incremental.next_window(start, end, loaded.get(product))
             if days:
-                sinks.append(report(web.in_days(hits, *days), pages, product), f"{database}.{table}", table)
+                windows.setdefault(days, {})[product] = pages
+        for days, due in windows.items():
+            sinks.append(report(web.in_days(hits, *days), due), f"{database}.{table}", table)
 
 
 def load_trends(

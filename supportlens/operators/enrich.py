@@ -20,14 +20,13 @@ Step = Callable[[DataFrame, Column], DataFrame]
 def detect_language(
     df: DataFrame, text: Column | str, lists: Mapping[str, Sequence[str]] = values.LANGUAGE_WORDS
 ) -> DataFrame:
-    """Adds language and confidence: the list with most words in the text, and its share of all listed words.
+    """Adds language and confidence: the list with most words in the whole text, and its share of all listed words.
 
     Counts stay within the row, so no token is shuffled. No listed word at all gives 'und' with confidence 0; of equal
     counts the earlier list wins.
     """
-    capped = cap_text(col(text), values.LANGUAGE_TEXT_LIMIT)
     counts = [count_in("_words", lists[lang]).alias(f"_n_{lang}") for lang in lists]
-    counted = df.withColumn("_words", F.coalesce(words(capped), F.array().cast("array<string>")))
+    counted = df.withColumn("_words", F.coalesce(words(text), F.array().cast("array<string>")))
     counted = counted.select(*df.columns, *counts)
     names = [f"_n_{lang}" for lang in lists]
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
@@ -53,9 +52,8 @@ def score_sentiment(
     positive: Sequence[str] = values.POSITIVE_WORDS,
     negative: Sequence[str] = values.NEGATIVE_WORDS,
 ) -> DataFrame:
-    """Adds score, magnitude and discrete_sentiment by counting polar words."""
-    capped = cap_text(col(text), values.SENTIMENT_TEXT_LIMIT)
-    counted = df.withColumn("_words", F.coalesce(words(capped), F.array().cast("array<string>"))).select(
+    """Adds score, magnitude and discrete_sentiment by counting the polar words of the whole text."""
+    counted = df.withColumn("_words", F.coalesce(words(text), F.array().cast("array<string>"))).select(
         *df.columns, count_in("_words", positive).alias("_up"), count_in("_words", negative).alias("_down")
     )
     score, magnitude = lexicon_score("_up", "_down")
@@ -63,22 +61,34 @@ def score_sentiment(
     return scored.withColumn("discrete_sentiment", sentiment_bin("score", "magnitude"))
 
 
-def model_step(predict: Callable[[pd.Series], pd.DataFrame], schema: str) -> Step:
-    """A step for a model of the user's own: texts in by Arrow batch, the schema's columns out."""
+def model_step(predict: Callable[[pd.Series], pd.DataFrame], schema: str, limit: int | None = None) -> Step:
+    """A step for a model of the user's own: texts in by Arrow batch, the schema's columns out. A model that takes
+    texts of limited length gets them capped."""
 
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.DataFrame:
         return predict(texts)
 
-    return lambda df, text: df.withColumn("_out", run(text)).select(*df.columns, "_out.*")
+    def step(df: DataFrame, text: Column) -> DataFrame:
+        given = text if limit is None else cap_text(text, limit)
+        return df.withColumn("_out", run(given)).select(*df.columns, "_out.*")
 
+    return step
 
-def model_sentiment(predict: Callable[[pd.Series], pd.DataFrame]) -> Step:
+
+def model_language(
+    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = values.LANGUAGE_TEXT_LIMIT
+) -> Step:
+    """A language step whose language and confidence come from a model."""
+    return model_step(predict, "language string, confidence double", limit)
+
+
+def model_sentiment(
+    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = values.SENTIMENT_TEXT_LIMIT
+) -> Step:
     """A sentiment step whose score and magnitude come from a model."""
-    step = model_step(predict, "score double, magnitude double")
-    return lambda df, text: step(df, cap_text(text, values.SENTIMENT_TEXT_LIMIT)).withColumn(
-        "discrete_sentiment", sentiment_bin("score", "magnitude")
-    )
+    step = model_step(predict, "score double, magnitude double", limit)
+    return lambda df, text: step(df, text).withColumn("discrete_sentiment", sentiment_bin("score", "magnitude"))
 
 
 def classify(df: DataFrame, text: Column | str, rules: Sequence[tuple[str, str]]) -> DataFrame:

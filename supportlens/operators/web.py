@@ -5,9 +5,10 @@ A session ends with its day, so a day's report is the same whether it is made al
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from supportlens.functions.text import strip_prefix
 from supportlens.operators.incremental import within
 from supportlens.operators.skew import HOT_ROWS, keyed_join
 
-# A page filter: which rows of a frame stay, by the named path column.
-PageFilter = Callable[[DataFrame, str], DataFrame]
-# One clause of a filter: operator and expression.
+# Which pages count: a condition on a path column.
+PageTest = Callable[[Column], Column]
+# One clause of such a condition: operator and expression.
 Clause = tuple[str, str]
 
 
@@ -26,9 +27,8 @@ def _day() -> Column:
     return F.to_date("ts").alias("ga_date")
 
 
-def clause(value: Column | str, operator: str, expression: str, ignore_case: bool = True) -> Column:
+def clause(value: Column, operator: str, expression: str, ignore_case: bool = True) -> Column:
     """REGEXP finds anywhere, PARTIAL contains, EXACT equals; the analytics API ignores case by default."""
-    value = F.col(value) if isinstance(value, str) else value
     if operator == "REGEXP":
         return value.rlike(("(?iU)" if ignore_case else "(?U)") + expression)
     if ignore_case:
@@ -40,40 +40,39 @@ def clause(value: Column | str, operator: str, expression: str, ignore_case: boo
     raise ValueError(f"unknown operator {operator!r}")
 
 
-def any_clause(clauses: Sequence[Clause], ignore_case: bool = True) -> PageFilter:
-    """Rows whose path meets one clause or more."""
+def any_clause(clauses: Sequence[Clause], ignore_case: bool = True) -> PageTest:
+    """Pages that meet one clause or more."""
+    distinct = list(dict.fromkeys(clauses))
+    return lambda path: reduce(or_, [clause(path, *c, ignore_case) for c in distinct])
 
-    def keep(df: DataFrame, path: str) -> DataFrame:
-        tests = [clause(path, operator, expression, ignore_case) for operator, expression in dict.fromkeys(clauses)]
-        test = tests[0]
-        for other in tests[1:]:
-            test = test | other
-        return df.where(test)
 
-    return keep
+def _bare(path: Column, ignore_case: bool) -> Column:
+    """A path without its query part."""
+    bare = F.regexp_replace(path, r"(?s)\?.*$", "")
+    return F.lower(bare) if ignore_case else bare
 
 
-def listed_pages(urls: DataFrame, site: str = "", ignore_case: bool = True) -> PageFilter:
-    """Rows whose path, without its query part, is one of the listed URLs (column `value`).
+def listed_pages(urls: Sequence[str], site: str = "", ignore_case: bool = True) -> PageTest:
+    """Pages that are, without their query part, one of the listed URLs: one look-up in place of a pattern a URL."""
+    paths = [url.rstrip().removeprefix(site) for url in urls]
+    wanted = [p.lower() if ignore_case else p for p in paths if p]
+    return lambda path: _bare(path, ignore_case).isin(wanted)
 
-    Equal keys in place of one pattern a URL: a semi join, broadcast by Spark when the list's size allows.
-    """
-
-    def keep(df: DataFrame, path: str) -> DataFrame:
-        fold = F.lower if ignore_case else (lambda c: c)
-        wanted = urls.select(fold(strip_prefix(F.rtrim("value"), site)).alias("_page")).where("_page <> ''")
-        bare = fold(F.regexp_replace(path, r"(?s)\?.*$", ""))
-        return df.withColumn("_page", bare).join(wanted, "_page", "left_semi").select(*df.columns)
 
-    return keep
+def on_listed_pages(hits: DataFrame, urls: DataFrame, site: str = "", ignore_case: bool = True) -> DataFrame:
+    """Hits on listed URLs (column `value`), for lists too long to be part of a plan."""
+    listed = strip_prefix(F.rtrim("value"), site)
+    wanted = urls.select((F.lower(listed) if ignore_case else listed).alias("_page")).where("_page <> ''")
+    bare = hits.withColumn("_page", _bare(F.col("page_path"), ignore_case))
+    return bare.join(wanted, "_page", "left_semi").select(*hits.columns)
 
 
 def url_clauses(urls: Sequence[str], site: str = "") -> list[Clause]:
     """The same list as patterns, one a URL, for lists that hold patterns themselves."""
-    return [("REGEXP", "^" + re.sub("^" + re.escape(site), "", url.rstrip()) + r"(\?.*)?$") for url in urls]
+    return [("REGEXP", "^" + url.rstrip().removeprefix(site) + r"(\?.*)?$") for url in urls]
 
 
-def preview_pages(brand: str) -> PageFilter:
+def preview_pages(brand: str) -> PageTest:
     """The mobile preview product's pages."""
     return any_clause(
         [
@@ -91,8 +90,19 @@ TRAFFIC_SEGMENTS = {"In-product": ("source", "inproduct"), "Organic": ("medium",
 SEARCH_SEGMENTS = {"Result Clicked": ("event_action", "Result Clicked"), "Search": ("event_action", "Search")}
 
 
-def _tag(report: DataFrame, product: str) -> DataFrame:
-    return report.withColumn("product", F.lit(product)) if product else report
+def on_pages(df: DataFrame, pages: PageTest, path: str = "page_path") -> DataFrame:
+    return df.where(pages(F.col(path)))
+
+
+def by_product(df: DataFrame, products: Mapping[str, PageTest], path: str = "page_path") -> DataFrame:
+    """Rows of each product's pages, once a product, with its name in `product`. Reports group by that column where
+    they find it, so one scan makes a report of all products."""
+    names = F.array(*[F.when(pages(F.col(path)), F.lit(name)) for name, pages in products.items()])
+    return df.withColumn("product", F.explode(F.array_compact(names)))
+
+
+def _product(df: DataFrame) -> list[str]:
+    return ["product"] if "product" in df.columns else []
 
 
 def in_days(hits: DataFrame, start: date, end: date) -> DataFrame:
@@ -100,12 +110,13 @@ def in_days(hits: DataFrame, start: date, end: date) -> DataFrame:
     return within(hits, "ts", start, end, "[)")
 
 
-def total_users(hits: DataFrame) -> DataFrame:
-    return hits.groupBy(_day()).agg(F.count_distinct("user_id").alias("ga_users"))
+def total_users(seen: DataFrame) -> DataFrame:
+    """Users a day, of the given hits (all, or those on_pages or by_product)."""
+    return seen.groupBy(_day(), *_product(seen)).agg(F.count_distinct("user_id").alias("ga_users"))
 
 
-def kb_users(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "") -> DataFrame:
-    return _tag(total_users(pages(hits, "page_path")), product)
+def kb_users(hits: DataFrame) -> DataFrame:
+    return total_users(on_pages(hits, KB_PAGES))
 
 
 def users_by_country(hits: DataFrame) -> DataFrame:
@@ -114,7 +125,7 @@ def users_by_country(hits: DataFrame) -> DataFrame:
 
 def _session_segments(hits: DataFrame, segments: dict[str, tuple[str, str]]) -> DataFrame:
     """One row a session in a segment: day, session_id, its segments, its number of hits. It may be in several."""
-    flags = [F.max(clause(column, "EXACT", value)).alias(f"_s{i}") for i, (column, value) in enumerate(segments.values())]
+    flags = [F.max(clause(F.col(column), "EXACT", value)).alias(f"_s{i}") for i, (column, value) in enumerate(segments.values())]
     names = F.array_compact(F.array(*[F.when(F.col(f"_s{i}"), F.lit(name)) for i, name in enumerate(segments)]))
     known = hits.where("session_id is not null")
     sessions = known.groupBy(_day(), "session_id").agg(*flags, F.count("*").alias("_hits"))
@@ -137,32 +148,30 @@ def segment_hits(
     return member.withColumn("ga_segment", F.explode("_segments")).drop("_segments")
 
 
-def traffic_segments(hits: DataFrame, pages: PageFilter | None = None, product: str = "") -> DataFrame:
-    """Users and sessions a day, in-product against organic."""
-    seen = pages(hits, "page_path") if pages else hits
-    visits = seen.groupBy(_day(), "session_id", "user_id").agg(F.count("*").alias("_n"))
+def traffic_segments(hits: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Users and sessions a day, in-product against organic; of the hits `seen`, if only some count."""
+    seen = hits if seen is None else seen
+    product = _product(seen)
+    visits = seen.groupBy(_day(), "session_id", "user_id", *product).agg(F.count("*").alias("_n"))
     member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "user_id"])
-    report = member.groupBy("ga_date", "ga_segment").agg(
+    return member.groupBy("ga_date", "ga_segment", *product).agg(
         F.count_distinct("user_id").alias("ga_users"), F.count_distinct("session_id").alias("ga_sessions")
     )
-    return _tag(report, product)
 
 
-def traffic_by_page(
-    hits: DataFrame, pages: PageFilter | None = None, product: str = "", ordered: bool = True
-) -> DataFrame:
+def traffic_by_page(hits: DataFrame, seen: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """The same a page, most viewed first."""
-    seen = pages(hits, "page_path") if pages else hits
-    visits = seen.groupBy(_day(), F.col("page_path").alias("ga_page_path"), "session_id", "user_id").agg(
-        F.count("*").alias("_views")
-    )
+    seen = hits if seen is None else seen
+    product = _product(seen)
+    page = F.col("page_path").alias("ga_page_path")
+    visits = seen.groupBy(_day(), page, "session_id", "user_id", *product).agg(F.count("*").alias("_views"))
     member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "ga_page_path", "user_id"])
-    report = member.groupBy("ga_date", "ga_page_path", "ga_segment").agg(
+    report = member.groupBy("ga_date", "ga_page_path", "ga_segment", *product).agg(
         F.sum("_views").alias("ga_pageviews"),
         F.count_distinct("user_id").alias("ga_users"),
         F.count_distinct("session_id").alias("ga_sessions"),
     )
-    return _tag(report.orderBy(F.desc("ga_pageviews")) if ordered else report, product)
+    return report.orderBy(F.desc("ga_pageviews")) if ordered else report
 
 
 def search_clicks(hits: DataFrame) -> DataFrame:
@@ -175,8 +184,11 @@ def search_clicks(hits: DataFrame) -> DataFrame:
     )
 
 
-def exit_rates(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "", ordered: bool = True) -> DataFrame:
-    """Views, exits (sessions that end there) and their ratio in percent, a day and page; most viewed first."""
+def exit_rates(
+    hits: DataFrame, pages: PageTest | Mapping[str, PageTest] = KB_PAGES, ordered: bool = True
+) -> DataFrame:
+    """Views, exits (sessions that end there) and their ratio in percent, a day and page; most viewed first. Pages may
+    be given by product."""
     views = hits.groupBy(_day(), F.col("page_path").alias("ga_exitPagePath")).agg(
         F.count("*").alias("_views"), F.lit(0).cast("long").alias("_exits")
     )
@@ -186,15 +198,19 @@ def exit_rates(hits: DataFrame, pages: PageFilter = KB_PAGES, product: str = "",
     exits = last.groupBy("ga_date", "ga_exitPagePath").agg(
         F.lit(0).cast("long").alias("_views"), F.count("*").alias("_exits")
     )
-    both = pages(views.unionByName(exits), "ga_exitPagePath").groupBy("ga_date", "ga_exitPagePath")
-    report = both.agg(F.sum("_exits").alias("ga_exits"), F.sum("_views").alias("ga_pageviews")).select(
+    both = views.unionByName(exits).groupBy("ga_date", "ga_exitPagePath")
+    totals = both.agg(F.sum("_exits").alias("ga_exits"), F.sum("_views").alias("ga_pageviews"))
+    path = "ga_exitPagePath"
+    kept = by_product(totals, pages, path) if isinstance(pages, Mapping) else on_pages(totals, pages, path)
+    report = kept.select(
         "ga_date",
         "ga_exitPagePath",
         (F.col("ga_exits") / F.col("ga_pageviews") * 100).alias("ga_exitRate"),
         "ga_exits",
         "ga_pageviews",
+        *_product(kept),
     )
-    return _tag(report.orderBy(F.desc("ga_pageviews")) if ordered else report, product)
+    return report.orderBy(F.desc("ga_pageviews")) if ordered else report
 
 
 def flatten_report(responses: DataFrame, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:

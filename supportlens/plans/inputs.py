@@ -44,7 +44,7 @@ def question_versions(spark: SparkSession, folder: str) -> DataFrame:
         F.concat("text", F.lit(" v"), F.col("v").cast("string")).alias("question_content"),
         created.alias("created_date"),
         F.when(F.col("v") > 0, created + F.col("v") * F.expr("interval '1' hour")).alias("updated"),
-        F.substring("text", 1, 40).alias("title"),
+        F.concat(F.lit("About the "), "role", F.lit(" in "), F.col("conv_id").cast("string")).alias("title"),
         F.expr("case conv_id % 3 when 0 then 'os Linux' when 1 then 'OS X' else '' end").alias("metadata_array"),
     )
 
@@ -111,7 +111,7 @@ SQL: dict[str, str] = {
     "questions_raw": f"""questions_raw AS (
   SELECT conv_id AS question_id, text || ' v' || v AS question_content, {_at(_QUESTION_TIME)} AS created_date,
     CASE WHEN v > 0 THEN {_at(_QUESTION_TIME + " + v * 3600")} END AS updated,
-    substring(text, 1, 40) AS title,
+    'About the ' || role || ' in ' || conv_id AS title,
     CASE conv_id % 3 WHEN 0 THEN 'os Linux' WHEN 1 THEN 'OS X' ELSE '' END AS metadata_array
   FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role = 'user')
   {_VERSIONS} WHERE n = 1)""",

@@ -11,7 +11,7 @@ from supportlens.functions.time import survey_text_to_utc
 from supportlens.operators import measures, releases, survey, trends, web
 from supportlens.operators.incremental import scan_submitted
 from supportlens.plans.inputs import SITE, hits, listed_urls, load, with_inputs
-from supportlens.sources.readers import REPORT, SURVEY_PAGE, parse_pages
+from supportlens.sources.readers import REPORT, SURVEY_PAGE, parse_pages, word_list
 
 WEEK_END = date(2024, 2, 5)
 CLAUSES = [("REGEXP", ".*/kb/.*TOPIC-1"), ("PARTIAL", "/kb/topic-25"), ("EXACT", "/en-us/kb/topic-7")]
@@ -19,13 +19,11 @@ CLAUSES = [("REGEXP", ".*/kb/.*TOPIC-1"), ("PARTIAL", "/kb/topic-25"), ("EXACT",
 
 def _products(spark, sf):
     """Each named product with the pages it stands for."""
-    return {"listed": web.listed_pages(listed_urls(spark, sf), SITE), "named": web.any_clause(CLAUSES)}
+    return {"listed": web.listed_pages(word_list(listed_urls(spark, sf)), SITE), "named": web.any_clause(CLAUSES)}
 
 
-def _for_products(spark, sf, report):
-    """One report over the products, stacked."""
-    tagged = [report(hits(spark, sf), pages, product) for product, pages in _products(spark, sf).items()]
-    return tagged[0].unionByName(tagged[1])
+def _product_hits(spark, sf):
+    return web.by_product(hits(spark, sf), _products(spark, sf))
 
 
 def _total_users(spark, sf):
@@ -36,8 +34,12 @@ def _kb_users(spark, sf):
     return web.kb_users(hits(spark, sf))
 
 
+def _listed_users(spark, sf):
+    return web.total_users(web.on_listed_pages(hits(spark, sf), listed_urls(spark, sf), SITE))
+
+
 def _kb_users_products(spark, sf):
-    return _for_products(spark, sf, web.kb_users)
+    return web.total_users(_product_hits(spark, sf))
 
 
 def _countries(spark, sf):
@@ -49,7 +51,7 @@ def _segments(spark, sf):
 
 
 def _segments_products(spark, sf):
-    return _for_products(spark, sf, web.traffic_segments)
+    return web.traffic_segments(hits(spark, sf), _product_hits(spark, sf))
 
 
 def _segments_pages(spark, sf):
@@ -57,7 +59,7 @@ def _segments_pages(spark, sf):
 
 
 def _segments_pages_products(spark, sf):
-    return _for_products(spark, sf, web.traffic_by_page)
+    return web.traffic_by_page(hits(spark, sf), _product_hits(spark, sf))
 
 
 def _search(spark, sf):
@@ -73,7 +75,7 @@ def _kb_exits(spark, sf):
 
 
 def _kb_exits_products(spark, sf):
-    return _for_products(spark, sf, web.exit_rates)
+    return web.exit_rates(hits(spark, sf), _products(spark, sf))
 
 
 def _question_exits(spark, sf):
@@ -211,6 +213,7 @@ def _weekly_satisfaction(spark, sf):
 QUERIES = {
     "ga_total_users": _total_users,
     "ga_kb_users": _kb_users,
+    "ga_listed_users": _listed_users,
     "ga_kb_users_by_product": _kb_users_products,
     "ga_users_by_country": _countries,
     "ga_segment_users": _segments,
@@ -292,6 +295,7 @@ def _shares_sql(source: str, day: str, category: str) -> str:
 ORACLE = {
     "ga_total_users": with_inputs("hits", _users_sql("true")),
     "ga_kb_users": with_inputs("hits", _users_sql(_KB)),
+    "ga_listed_users": with_inputs("hits", _users_sql(_LISTED)),
     "ga_kb_users_by_product": with_inputs("hits", _each_product(_users_sql)),
     "ga_users_by_country": with_inputs("hits", """SELECT ga_date, country AS ga_country,
   count(DISTINCT user_id) AS ga_users FROM hits GROUP BY 1, 2"""),

@@ -105,7 +105,9 @@ def _escape(spark, sf):
 
 def _reviews(spark, sf):
     rows = documents(spark, sf).select(
-        "doc_id", F.substring("text", 1, 60).alias("Review_Title"), F.concat("text", F.lit("、a，b")).alias("Review_Text")
+        "doc_id",
+        F.concat_ws("、", "source", "lang", "n_chars").alias("Review_Title"),
+        F.concat("text", F.lit("、a，b")).alias("Review_Text"),
     )
     return reviews.clean_reviews(rows)
 
@@ -188,9 +190,8 @@ def _topics_sql(text: str) -> str:
     return f"list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL)"
 
 
-def _words_sql(text: str, limit: int) -> str:
-    capped = f"CASE WHEN strlen({text}) > {limit} THEN substring({text}, 1, {limit}) ELSE {text} END"
-    return f"regexp_extract_all(lower({capped}), '\\p{{L}}+')"
+def _words_sql(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), '\\p{{L}}+')"
 
 
 def _count_sql(words: str, vocabulary) -> str:
@@ -204,7 +205,7 @@ def _language_sql(source: str, key: str, text: str) -> str:
     cases = " ".join(f"WHEN n_{k} = {best} THEN '{k}'" for k in values.LANGUAGE_WORDS)
     return f"""SELECT {key}, CASE WHEN {total} = 0 THEN 'und' {cases} END AS language,
     CASE WHEN {total} = 0 THEN 0.0 ELSE {best} / ({total}) END AS confidence
-  FROM (SELECT {key}, {counts} FROM (SELECT {key}, {_words_sql(text, 2000)} AS words FROM {source}))"""
+  FROM (SELECT {key}, {counts} FROM (SELECT {key}, {_words_sql(text)} AS words FROM {source}))"""
 
 
 _BIN = """CASE WHEN magnitude < 0.5 THEN 'neutral' WHEN score < -0.2 THEN 'negativ'
@@ -216,7 +217,7 @@ def _lexicon_sql(source: str, key: str, text: str) -> str:
     SELECT {key}, CASE WHEN up + down > 0 THEN (up - down) / (up + down) ELSE 0 END AS score,
       CAST(up + down AS DOUBLE) AS magnitude
     FROM (SELECT {key}, CAST({_count_sql('words', UP)} AS DOUBLE) AS up, CAST({_count_sql('words', DOWN)} AS DOUBLE) AS down
-      FROM (SELECT {key}, {_words_sql(text, 5000)} AS words FROM {source})))"""
+      FROM (SELECT {key}, {_words_sql(text)} AS words FROM {source})))"""
 
 
 _Q = "title || ' ' || question_content"
@@ -263,6 +264,6 @@ WHERE language = 'en' AND confidence > 0.8"""),
     "newline_escape": r"""SELECT doc_id, replace(text, chr(10), '\n') AS line_feeds,
   replace(replace(text, chr(10), '\n'), chr(13), '\n') AS line_ends
 FROM (SELECT doc_id, replace(text, '. ', '.' || chr(13) || chr(10)) AS text FROM documents)""",
-    "review_clean": """SELECT doc_id, translate(substring(text, 1, 60), ',、，', '   ') AS Review_Title,
+    "review_clean": """SELECT doc_id, source || ' ' || lang || ' ' || n_chars AS Review_Title,
   translate(text || '、a，b', ',、，', '   ') AS Review_Text FROM documents""",
 }

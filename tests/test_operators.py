@@ -269,6 +269,8 @@ def test_flows(spark):
     assert enrich.enrich_tweets(posts.limit(0), []).isEmpty()
     modelled = enrich.enrich_tweets(posts, [], sentiment=enrich.model_sentiment(length_model))
     assert modelled.first()["score"] == float(len(row["full_text"]) % 3 - 1)
+    french = enrich.model_language(lambda texts: __import__("pandas").DataFrame({"language": "fr", "confidence": 1.0}, index=texts.index))
+    assert enrich.enrich_tweets(posts, [], language=french).isEmpty()
     asked = frame(
         spark,
         [(1, "this is the title", "<p>happy with the app</p>", 3, 4), (2, "der", "die das", 3, 4)],

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 JOINS = [
-    "question_first_response", "over_24h_response", "reply_enrich", "reply_first_response", "ga_kb_users_by_product",
+    "question_first_response", "over_24h_response", "reply_enrich", "reply_first_response", "ga_listed_users",
     "ga_segment_by_page_by_product", "ga_search_ctr", "append_dedup", "month_overwrite", "kb_votes_join", "trend_queries",
 ]
 

@@ -11,6 +11,7 @@ from supportlens import schemas
 from supportlens.functions import time as tm
 from supportlens.functions.cast import safe_cast
 from supportlens.operators import mirror
+from supportlens.operators.incremental import scan_submitted
 
 
 def ntz(text):
@@ -46,6 +47,19 @@ def test_two_years_of_half_hours(spark):
             assert got[wall] == later.astimezone(timezone.utc).replace(tzinfo=None)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_session_zone_does_not_matter(spark, zone):
+    rows = spark.range(1).select(ntz("2020-03-08 02:30:00").alias("at"), F.lit("2020-03-08 02:30:00 EST").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert scan_submitted(rows, "at", datetime(2020, 3, 8, 2, 31), datetime(2020, 3, 8, 2, 30)).count() == 1
+        assert scan_submitted(rows, "at", datetime(2020, 3, 8, 2, 30)).count() == 0
+        row = rows.select(tm.to_utc("at").alias("u"), tm.survey_text_to_utc("t").alias("s"), tm.week_start("at").alias("w")).first()
+        assert tuple(row) == (datetime(2020, 3, 8, 10, 30), datetime(2020, 3, 8, 7, 30), date(2020, 3, 2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_unreadable_source_time(one):
     assert one(tm.source_text_to_utc("t"), t="2020-04-09") is None
 

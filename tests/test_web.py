@@ -39,8 +39,9 @@ def test_users(hits):
         ("DE", D1, 1), ("DE", D2, 1), ("US", D1, 2), ("US", D2, 1),
     ]
     assert web.in_days(hits, D1, D2).count() == 5
-    tagged = web.kb_users(hits, product="p")
-    assert tagged.columns == schemas.TABLES["ga_total_users_kb_by_product"].names
+    tagged = web.total_users(web.by_product(hits, {"p": web.KB_PAGES, "q": web.QUESTION_PAGES, "none": web.listed_pages([])}))
+    assert set(tagged.columns) == set(schemas.TABLES["ga_total_users_kb_by_product"].names)
+    assert tuples(tagged, "product", "ga_date", "ga_users") == [("p", D1, 3), ("p", D2, 1), ("q", D1, 1), ("q", D2, 2)]
 
 
 def test_segments(hits):
@@ -49,9 +50,9 @@ def test_segments(hits):
     assert tuples(report, "ga_date", "ga_segment", "ga_users", "ga_sessions") == [
         (D1, "In-product", 1, 1), (D1, "Organic", 2, 2), (D2, "In-product", 1, 1),
     ]
-    asked = web.traffic_segments(hits, web.QUESTION_PAGES)
+    asked = web.traffic_segments(hits, web.on_pages(hits, web.QUESTION_PAGES))
     assert tuples(asked, "ga_segment", "ga_sessions") == [("In-product", 1), ("Organic", 1)]
-    pages = web.traffic_by_page(hits, web.KB_PAGES, "p")
+    pages = web.traffic_by_page(hits, web.by_product(hits, {"p": web.KB_PAGES}))
     assert set(pages.columns) == set(schemas.TABLES["ga_inproduct_vs_organic_by_page"].names)
     assert tuples(pages.where(F.col("ga_date") == D1), "ga_page_path", "ga_segment", "ga_pageviews") == [
         (KB, "In-product", 1), (KB, "Organic", 2), (KB + "?x=1", "In-product", 1), (KB + "?x=1", "Organic", 1),
@@ -80,22 +81,24 @@ def test_page_filters(spark):
     pages = spark.createDataFrame(
         [(p,) for p in ("/en-US/kb/a", "/en-us/KB/A?x=?y", "/en-US/kb/ab", "/x/en-US/kb/a", "/b", "", None)], "p string"
     )
-    urls = spark.createDataFrame([(site + "/en-US/kb/a  ",), ("/b",), ("/b",), ("",)], "value string")
-    listed = tuples(web.listed_pages(urls, site)(pages, "p"), "p")
-    assert listed == [("/b",), ("/en-US/kb/a",), ("/en-us/KB/A?x=?y",)]
-    clauses = web.url_clauses([site + "/en-US/kb/a  ", "/b"], site)
+    urls = [site + "/en-US/kb/a  ", "/b", "/b", ""]
+    frame_of_urls = spark.createDataFrame([(u,) for u in urls], "value string")
+    clauses = web.url_clauses(urls[:2], site)
     assert clauses == [("REGEXP", r"^/en-US/kb/a(\?.*)?$"), ("REGEXP", r"^/b(\?.*)?$")]
-    assert tuples(web.any_clause(clauses)(pages, "p"), "p") == listed
-    assert tuples(web.any_clause(clauses, ignore_case=False)(pages, "p"), "p") == [("/b",), ("/en-US/kb/a",)]
-    assert tuples(web.listed_pages(urls, site, ignore_case=False)(pages, "p"), "p") == [("/b",), ("/en-US/kb/a",)]
+    any_case = [("/b",), ("/en-US/kb/a",), ("/en-us/KB/A?x=?y",)]
+    for ignore_case, wanted in ((True, any_case), (False, any_case[:2])):
+        for test in (web.listed_pages(urls, site, ignore_case), web.any_clause(clauses, ignore_case)):
+            assert tuples(web.on_pages(pages, test, "p"), "p") == wanted
+        hits = pages.withColumnRenamed("p", "page_path")
+        assert tuples(web.on_listed_pages(hits, frame_of_urls, site, ignore_case), "page_path") == wanted
 
 
 def test_preview_pages(spark):
     kept = ["/en-US/kb/about-acme-preview-x", "/de/kb/acme-sync-troubleshooting-and-tips", "/kb/send-usage-data-acme-mobile-browsers"]
     pages = spark.createDataFrame([(p,) for p in [*kept, "/acme-preview", "/kb/acme"]], "p string")
-    assert tuples(web.preview_pages("acme")(pages, "p"), "p") == sorted((p,) for p in kept)
+    assert tuples(web.on_pages(pages, web.preview_pages("acme"), "p"), "p") == sorted((p,) for p in kept)
     with pytest.raises(ValueError, match="unknown operator"):
-        web.clause("p", "NEAR", "x")
+        web.clause(F.col("p"), "NEAR", "x")
 
 
 def test_flatten(spark):
