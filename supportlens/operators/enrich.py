@@ -92,10 +92,15 @@ def model_sentiment(
 
 
 def classify(df: DataFrame, text: Column | str, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Adds topics, the sorted topics whose rules the text meets."""
+    """Adds topics, the sorted topics whose rules the text meets.
+
+    They come as a generated row: a filter on them (as Spark infers under an explode) would otherwise be pushed below
+    and repeat the matching.
+    """
     folded = df.withColumn("_text", col(text)).withColumn("_folded", fold("_text"))
     found = folded.withColumn("_found", words_found("_folded", rules))
-    return found.withColumn("topics", topics("_text", "_folded", "_found", rules)).drop("_text", "_folded", "_found")
+    met = topics("_text", "_folded", "_found", rules)
+    return found.select(*df.columns, F.inline(F.array(F.struct(met.alias("topics")))))
 
 
 def add_topics(df: DataFrame, text: Column | str, rules: Sequence[tuple[str, str]]) -> DataFrame:

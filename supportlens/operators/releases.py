@@ -16,8 +16,8 @@ RECORD = (
 
 def release_rows(documents: DataFrame, json: str = "value") -> DataFrame:
     """Documents whose `releases` map names to records, one row a release."""
-    parsed = documents.select(F.from_json(json, f"releases map<string, {RECORD}>").alias("doc"))
-    return parsed.select(F.explode("doc.releases").alias("release", "record")).select("release", "record.*")
+    releases = F.from_json(json, f"releases map<string, {RECORD}>")["releases"]
+    return documents.select(F.explode(releases).alias("release", "record")).select("release", "record.*")
 
 
 def release_calendar(

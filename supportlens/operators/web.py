@@ -213,9 +213,9 @@ def exit_rates(
     return report.orderBy(F.desc("ga_pageviews")) if ordered else report
 
 
-def flatten_report(responses: DataFrame, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Nested report responses to one row each: dimension values, then the metric values of all date ranges."""
-    rows = responses.select(F.explode("reports").alias("r")).select(F.explode("r.data.rows").alias("row"))
+def flatten_report(reports: DataFrame, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Nested reports to one row each of their rows: dimension values, then the metric values of all date ranges."""
+    rows = reports.select(F.explode("data.rows").alias("row"))
     values = F.flatten(F.transform("row.metrics", lambda m: m["values"]))
     flat = rows.select(F.col("row.dimensions").alias("_d"), values.alias("_m"))
     return flat.select(

@@ -93,8 +93,7 @@ def _flatten(spark, sf):
     )
     report = F.struct(F.struct(F.array(row).alias("rows")).alias("data"))
     json = load(spark, sf, "events", spread_by="event_id").select(F.to_json(F.struct(F.array(report).alias("reports"))).alias("value"))
-    responses = json.select(F.from_json("value", REPORT).alias("r")).select("r.*")
-    return web.flatten_report(responses, ["ga_date", "ga_event"], ["id_now", "key_now", "id_before", "key_before"])
+    return web.flatten_report(parse_pages(json, REPORT, "reports"), ["ga_date", "ga_event"], ["id_now", "key_now", "id_before", "key_before"])
 
 
 def _calendar(spark, sf):

@@ -58,7 +58,8 @@ def read_pages(spark: SparkSession, path: str, schema: str, records: str) -> Dat
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REPORT).json(path)
+    """Saved analytics responses, one a line, to one row a report."""
+    return read_pages(spark, path, REPORT, "reports")
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:

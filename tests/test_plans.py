@@ -66,6 +66,14 @@ def test_only_needed_columns_are_read(spark, name, columns):
     assert {c.split(":")[0] for schema in read for c in schema.split(",") if c} == columns
 
 
+@pytest.mark.parametrize(
+    "name, costly", [("topic_counts", "RLIKE"), ("language_filter", "regexp_extract_all"), ("release_calendar", "from_json"), ("report_flatten", "from_json")]
+)
+def test_costly_columns_are_not_repeated_in_filters(spark, name, costly):
+    filters = [line for line in plan_of(spark, name).splitlines() if re.search(r"\) Filter|- Filter|DataFilters", line)]
+    assert not any(costly in line for line in filters)
+
+
 def test_filters_reach_the_files(spark):
     plan = plan_of(spark, "incremental_scan")
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan

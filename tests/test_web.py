@@ -1,5 +1,6 @@
 """Web reports on a handful of hits."""
 
+import json
 from datetime import date
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from supportlens import schemas
 from supportlens.operators import web
+from supportlens.sources.readers import REPORT, parse_pages
 from test_operators import frame, tuples
 
 HIT = (
@@ -102,12 +104,9 @@ def test_preview_pages(spark):
 
 
 def test_flatten(spark):
-    reports = spark.createDataFrame(
-        [([{"data": {"rows": [{"dimensions": ["d1", "d2"], "metrics": [{"values": ["v1", "v2"]}, {"values": ["w1"]}]}]}}],)],
-        "reports array<struct<data: struct<rows: array<struct<dimensions: array<string>, "
-        "metrics: array<struct<values: array<string>>>>>>>>",
-    )
-    flat = web.flatten_report(reports, ["a", "b"], ["x", "y", "z", "none"])
+    rows = {"rows": [{"dimensions": ["d1", "d2"], "metrics": [{"values": ["v1", "v2"]}, {"values": ["w1"]}]}]}
+    pages = spark.createDataFrame([(json.dumps({"reports": [{"data": rows}, {"data": {}}]}),)], "value string")
+    flat = web.flatten_report(parse_pages(pages, REPORT, "reports"), ["a", "b"], ["x", "y", "z", "none"])
     assert [tuple(r) for r in flat.collect()] == [("d1", "d2", "v1", "v2", "w1", None)]
 
 
