@@ -15,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Frames of at most so many narrow rows (a few hundred bytes each) may be broadcast; larger ones join by shuffle.
 BROADCAST_ROWS = 20_000
 
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the session's `spark.checkpoint.dir`. Only a local session without that setting
@@ -23,8 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="llm-")
+        _local[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import exact_dedup, mixing, slots
+from supportlens.llm import exact_dedup, mixing, packing, slots, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,7 +24,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_virtual_slots, op7_exact_dedup, op10_mixing)}
+def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_round_trip(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op9_token_files, op10_mixing)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 
