@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import exact_dedup, mixing, packing, simhash, slots, token_files
+from supportlens.llm import exact_dedup, mixing, packing, quality_gam, simhash, slots, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_read(spark, sf_dir, "documents"))
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, _read(spark, sf_dir, "labels"))
+    return quality_gam.scored(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -36,7 +42,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op9_token_files, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op9_token_files, op10_mixing)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 
