@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import exact_dedup, licenses, mixing, packing, quality_gam, simhash, slots, token_files
+from supportlens.llm import exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,11 +42,15 @@ def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_read(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op4_license_diagonals, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op9_token_files, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op4_license_diagonals, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 
