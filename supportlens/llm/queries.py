@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files
+from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op4_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_read(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op4_license_diagonals, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op3_cover_tree, op4_license_diagonals, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 
