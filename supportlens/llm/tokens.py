@@ -1,20 +1,47 @@
 """Token ids by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
-Both vocabularies treat what stands between white space on its own, so chunks are encoded once and remembered. The memory of
-chunks is bounded. Texts where chunks could touch (runs of white space, unusual separators) are encoded whole.
+Both vocabularies treat what stands between white space on its own, so chunks are encoded once and remembered, and new chunks of
+plain Latin letters are cut as the vocabulary's pattern cuts them, with the parts encoded by its model and remembered too. Both memories are
+bounded. All else (runs of white space, unusual separators, other scripts) is encoded whole.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
+import unicodedata
 
-#: Chunks remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Chunks and parts that a Python worker remembers twice over: the latest ones, and those before them until used again.
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 48
 
 _RUN = re.compile(r"\s\s")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_MARKS = ".,"
+
+
+def _kinds() -> bytes:
+    """Classes of Latin-1 characters: w letters and numbers, white space, s stops and commas, m other marks, x separators."""
+    kinds = ["w" if unicodedata.category(c)[0] in "LN" else "m" for c in map(chr, range(256))]
+    for c in "\t\n\x0b\x0c\r \x85\xa0":
+        kinds[ord(c)] = " "
+    for c in _MARKS:
+        kinds[ord(c)] = "s"
+    for c in "\x1c\x1d\x1e\x1f":
+        kinds[ord(c)] = "x"
+    return "".join(kinds).encode()
+
+
+_KINDS = _kinds()
+
+
+def _kinds_of(text: str) -> bytes | None:
+    """The classes of a text's characters, None if some are not Latin-1."""
+    try:
+        return text.encode("latin-1").translate(_KINDS)
+    except UnicodeEncodeError:
+        return None
 
 
 def vocabulary(name: str) -> str:
@@ -24,20 +51,80 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-class _Chunks(dict):
-    def __init__(self, tokenizer, prefix: str = ""):
+#: Letters whose classes and lower case are beyond doubt, and their classes in the patterns.
+_PLAIN = re.compile("[!-~¡-\u012f\u0131-\u017f]*")
+_LETTERS, _NUMBERS = (
+    "".join(c for c in map(chr, range(0x21, 0x180)) if unicodedata.category(c)[0] == kind) for kind in "LN"
+)
+_BYTE_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\\s{_LETTERS}{_NUMBERS}]+|\\s+")
+_WORD_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+
+
+def _visible() -> str:
+    """Byte-level models spell bytes as visible characters: those that are visible as they are, the rest from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+
+
+_VISIBLE = _visible()
+
+
+class _Remembered(dict):
+    """Encoded texts; a new one is encoded on the way. When full, what was not used since the last time goes."""
+
+    def __init__(self):
         super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids
-        data = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[chunk] = data
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        data = self.before.get(text)
+        if data is None:
+            data = self.made(text)
+            if len(text) > LONGEST_REMEMBERED:
+                return data
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[text] = data
         return data
 
+    def made(self, text: str) -> bytes:
+        raise NotImplementedError
+
+
+class _Parts(_Remembered):
+    """Parts that the model encodes on their own."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenize = tokenizer.model.tokenize
+
+    def made(self, text: str) -> bytes:
+        spelt = text if text.isalpha() and text.isascii() else codecs.charmap_decode(text.encode(), "strict", _VISIBLE)[0]
+        ids = [t.id for t in self.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Chunks(_Remembered):
+    def __init__(self, tokenizer, parts: _Parts, pattern: re.Pattern, lower: bool, prefix: str = ""):
+        super().__init__()
+        self.tokenizer, self.parts, self.pattern, self.lower, self.prefix = tokenizer, parts, pattern, lower, prefix
+
+    def made(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            if self.lower:  # a part as it is, remembered here
+                return self.parts.made(chunk.lower())
+            return self.parts[self.prefix + chunk]
+        if _PLAIN.fullmatch(chunk):
+            text = self.prefix + (chunk.lower() if self.lower else chunk)
+            return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
+        return self.whole(self.prefix + chunk)
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
@@ -52,11 +139,13 @@ class ByteEncoder:
 
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
-        self.whole, self.first, self.later = _Chunks(tokenizer), _Chunks(tokenizer), _Chunks(tokenizer, " ")
+        parts = _Parts(tokenizer)
+        self.first, self.later = (_Chunks(tokenizer, parts, _BYTE_PARTS, False, prefix) for prefix in ("", " "))
 
     def __call__(self, text: str) -> bytes:
-        if _RUN.search(text):
-            return self.whole.__missing__(text)
+        kinds = _kinds_of(text)
+        if _RUN.search(text) if kinds is None else b"  " in kinds or b"x" in kinds:
+            return self.first.whole(text)
         parts = []
         for line in text.split("\n"):
             head, *rest = line.split(" ")
@@ -68,11 +157,18 @@ class WordEncoder:
     """For vocabularies that drop white space and end words."""
 
     def __init__(self, path: str):
-        self.chunks = _Chunks(_tokenizer(path))
+        tokenizer = _tokenizer(path)
+        self.chunks = _Chunks(tokenizer, _Parts(tokenizer), _WORD_PARTS, True)
 
     def __call__(self, text: str) -> bytes:
-        if _SEPARATORS.search(text):
-            return self.chunks.__missing__(text)
+        kinds = _kinds_of(text)
+        if _SEPARATORS.search(text) if kinds is None else b"x" in kinds:
+            return self.chunks.whole(text)
+        if kinds is not None:
+            text = text.lower()
+            if not (b"ss" in kinds or b"sm" in kinds or b"ms" in kinds):  # no mark that the pattern keeps with another one
+                for mark in _MARKS:  # words are remembered better without their marks
+                    text = text.replace(mark, " " + mark)
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
 

@@ -11,7 +11,7 @@ from supportlens.llm.packing import CAPACITY
 
 BYTE, WORD = tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("word_bpe_49k.json")
 ODD = ["", " ", "\n", " a", "a ", "a\n", "\na", "a\n\nb", "a  b", "it's I'll 'tis", "x y\u0085z", "é ́e", "\x1ca\x1fb",
-       "ΟΔΟΣ ΣΑΣ", "<|endoftext|> a<|startoftext|>b", "１２ ½ x²", "a \n b", "\t\ta", "日本語 テキスト", "İstanbul", "a" * 5000]
+       "ΟΔΟΣ ΣΑΣ", "<|endoftext|> a<|startoftext|>b", "１２ ½ x²", "a \n b", "\t\ta", "日本語 テキスト", "İstanbul", "a" * 5000, "İı ſß Ⱥ µª º²½ ÷× Ÿ", "it'S 're''s 'LL", "a_b__c --- ³x9¼", "\xad\xa0x \x7f y"]
 
 
 def whole(path):
@@ -24,7 +24,8 @@ def whole(path):
 def test_chunks_encode_like_whole_texts(small_docs, kind, path):
     encode, want = kind(path), whole(path)
     rng = random.Random(3)
-    mixed = ["".join(rng.choices(["a", "B", " ", "\n", "'s", ".", "7", "é", "́", "　", "\x1d", "\t", "ß", "_"], k=12)) for _ in range(3000)]
+    mixed = ["".join(rng.choices(["a", "B", " ", "\n", "'s", ".", "7", "é", "́", "　", "\x1d", "\t", "ß", "_", "Ÿ", "²", "İ", "½", "+", "É", "\xad"], k=12)) for _ in range(3000)]
+    mixed += ["".join(rng.choices(["ab", "Cd", " ", ". ", ", ", ".", "\\n", "é"], k=9)) for _ in range(3000)]
     texts = ODD + mixed + [r.text for r in small_docs.limit(60).collect()]
     for text in texts:
         assert np.frombuffer(encode(text), "<u4").tolist() == want(text), repr(text[:80])
