@@ -12,9 +12,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens import schemas, values
-from supportlens.functions.time import collection_week
-from supportlens.operators import enrich, incremental, releases, reviews, terms, trends, web
+from supportlens import schemas
+from supportlens.functions.time import collection_week, ntz
+from supportlens.operators import enrich, forum, incremental, releases, reviews, terms, trends, web
 from supportlens.sources import readers, sinks
 
 
@@ -27,10 +27,12 @@ def load_tweet_sentiment(
     end: datetime,
     language: enrich.Step = enrich.detect_language,
     sentiment: enrich.Step = enrich.score_sentiment,
+    first: datetime | None = None,
 ) -> None:
-    """New mentions up to `end`, detected, filtered, scored, classified by the rules (stored if they changed)."""
+    """New mentions up to `end`, detected, filtered, scored, classified by the rules (stored if they changed). The first
+    load takes all mentions, or those after `first`."""
     sinks.ensure_table(spark, target, "twitter_sentiment")
-    start = sinks.stored_watermark(spark, target, "created_at", values.FIRST_LOAD)
+    start = sinks.stored_watermark(spark, target, "created_at", first)
     sinks.sync_rules(spark, rules, rules_table)
     new = sinks.plain(incremental.scan_range(spark.table(mentions), "created_at", start, end, ordered=False))
     rich = enrich.enrich_tweets(new, readers.rule_list(spark.table(rules_table)), language, sentiment)
@@ -44,34 +46,54 @@ def load_question_sentiment(
     end: datetime,
     language: enrich.Step = enrich.detect_language,
     sentiment: enrich.Step = enrich.score_sentiment,
+    first: datetime | None = None,
 ) -> None:
-    """New questions up to `end`, detected, filtered and scored."""
+    """Questions asked since the last load and up to `end`, detected, filtered and scored, once each in their latest
+    version. The first load takes all questions, or those after `first`."""
     sinks.ensure_table(spark, target, "forum_sentiment")
-    start = sinks.stored_watermark(spark, target, "created_date", values.FIRST_LOAD)
-    new = sinks.plain(incremental.scan_range(spark.table(questions), "created_date", start, end, ordered=False))
+    start = sinks.stored_watermark(spark, target, "created_date", first)
+    stored = _updated_from(spark.table(questions), start)
+    new = sinks.plain(incremental.scan_range(stored, "created_date", start, end, ordered=False))
+    new = forum.latest(new, "question_id", new.columns)
     sinks.append(enrich.enrich_questions(new, language, sentiment), target, "forum_sentiment")
 
 
-def _open_days(stored: DataFrame, day: str, first: str, end: date) -> tuple[date, date] | None:
-    return incremental.next_window(date.fromisoformat(first), end, incremental.read_watermark(stored, day))
+def _updated_from(questions: DataFrame, start: datetime | date | None) -> DataFrame:
+    """Of questions stored by their last update, those that can have been asked after `start`: no update comes before."""
+    if start is None or "updated_day" not in questions.columns:
+        return questions
+    day = F.col("updated_day")
+    return questions.where(day.isNull() | (day >= ntz(start).cast("date")))
 
 
-def load_term_counts(spark: SparkSession, mentions: str, target: str, end: date, ignore: Sequence[str]) -> None:
-    """Daily term counts of all days not counted yet, `end` exclusive."""
-    stored = sinks.ensure_table(spark, target, "twitter_word_frequencies")
-    days = _open_days(stored, "tweet_dt", values.FIRST_TERM_LOAD, end)
+def _open_days(spark: SparkSession, name: str, day: str, first: date | None, end: date) -> tuple[date | None, date] | None:
+    """Days of [first, end) after the last one stored, all days before `end` without either; None if there are none."""
+    loaded = sinks.stored_watermark(spark, name, day)
+    if first is None and loaded is None:
+        return None, end
+    return incremental.next_window(first or date.min, end, loaded)
+
+
+def load_term_counts(
+    spark: SparkSession, mentions: str, target: str, end: date, ignore: Sequence[str], first: date | None = None
+) -> None:
+    """Daily term counts of all days not counted yet, `end` exclusive. A day is counted once: mentions that arrive after
+    their day was counted are left out, so `end` should stay behind the load of mentions."""
+    sinks.ensure_table(spark, target, "twitter_word_frequencies")
+    days = _open_days(spark, target, "tweet_dt", first, end)
     if days:
         new = incremental.scan_days(spark.table(mentions), "created_at", *days, ["full_text"])
         sinks.append(terms.term_counts(new, F.col("day"), "full_text", ignore), target, "twitter_word_frequencies")
 
 
-def load_keyword_counts(spark: SparkSession, questions: str, target: str, end: date) -> None:
-    """Daily keyword counts of all days not counted yet, `end` exclusive."""
-    stored = sinks.ensure_table(spark, target, "forum_word_frequencies")
-    days = _open_days(stored, "forum_dt", values.FIRST_LOAD, end)
+def load_keyword_counts(spark: SparkSession, questions: str, target: str, end: date, first: date | None = None) -> None:
+    """Daily keyword counts of all days not counted yet, `end` exclusive; a question counts once, in its latest version."""
+    sinks.ensure_table(spark, target, "forum_word_frequencies")
+    days = _open_days(spark, target, "forum_dt", first, end)
     if days:
         columns = ["created_date", "question_content", "title", "metadata_array"]
-        new = incremental.scan_days(spark.table(questions), "created_date", *days, columns)
+        asked = forum.latest(_updated_from(spark.table(questions), days[0]), "question_id")
+        new = incremental.scan_days(asked, "created_date", *days, columns)
         sinks.append(terms.keyword_counts(new), target, "forum_word_frequencies")
 
 
@@ -87,8 +109,8 @@ WEB_REPORTS: dict[str, Callable[..., DataFrame]] = {
 }
 PRODUCT_REPORTS: dict[str, Callable[..., DataFrame]] = {
     "ga_total_users_kb_by_product": lambda hits, products: web.total_users(web.by_product(hits, products)),
-    "ga_inproduct_vs_organic_by_product": lambda h, products: web.traffic_segments(h, web.by_product(h, products)),
-    "ga_inproduct_vs_organic_by_page": lambda h, products: web.traffic_by_page(h, web.by_product(h, products), False),
+    "ga_inproduct_vs_organic_by_product": lambda h, products: web.traffic_segments(h, products),
+    "ga_inproduct_vs_organic_by_page": lambda h, products: web.traffic_by_page(h, products, False),
     "ga_kb_exit_rate_by_product": lambda hits, products: web.exit_rates(hits, products, ordered=False),
 }
 
@@ -127,13 +149,15 @@ def load_trends(
 
     `fetch` gives saved source data of [start, end): queries (region, query, value), the wide series, its queries.
     """
-    stored = sinks.ensure_table(spark, queries_table, "trend_queries")
-    sinks.ensure_table(spark, series_table, "trend_timeseries")
-    week = collection_week(today, incremental.read_watermark(stored, "update_date"))
+    sinks.ensure_table(spark, queries_table, "trend_queries")
+    series = sinks.ensure_table(spark, series_table, "trend_timeseries")
+    week = collection_week(today, sinks.stored_watermark(spark, queries_table, "update_date"))
     if week:
         queries, wide, names = fetch(*week)
+        # the series first: the queries' date says that the week is complete
+        if series.where(F.col("query_key").startswith(f"{week[1]}#")).isEmpty():
+            sinks.append(trends.query_series(wide, week[1], names), series_table, "trend_timeseries")
         sinks.append(trends.rising_queries(queries, week[1], dictionary), queries_table, "trend_queries")
-        sinks.append(trends.query_series(wide, week[1], names), series_table, "trend_timeseries")
 
 
 def load_release_calendar(spark: SparkSession, documents: DataFrame, target: str) -> None:
@@ -149,7 +173,7 @@ def load_store_reviews(spark: SparkSession, export: str, path: str) -> None:
 
 
 def load_mirror(
-    spark: SparkSession, url: str, tables: dict[str, tuple[str | None, tuple[int, int], int]], properties: dict[str, str], path: str
+    spark: SparkSession, url: str, tables: dict[str, tuple[str, tuple[int, int], int]], properties: dict[str, str], path: str
 ) -> None:
     """Database tables anew; each with its key, the key's bounds and the number of ranges to read it by."""
     for table, (key, bounds, partitions) in tables.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,13 +61,20 @@ def score_sentiment(
     return scored.withColumn("discrete_sentiment", sentiment_bin("score", "magnitude"))
 
 
-def model_step(predict: Callable[[pd.Series], pd.DataFrame], schema: str, limit: int | None = None) -> Step:
-    """A step for a model of the user's own: texts in by Arrow batch, the schema's columns out. A model that takes
-    texts of limited length gets them capped."""
+def model_step(
+    predict: Callable[[pd.Series], pd.DataFrame] | None,
+    schema: str,
+    limit: int | None = None,
+    loader: Callable[[], Callable[[pd.Series], pd.DataFrame]] | None = None,
+) -> Step:
+    """A step for a model of the user's own: whole texts in by Arrow batch, the schema's columns out. Only a caller whose
+    model takes texts of limited length gives a limit. With `loader` in place of predict, the model is made once a task."""
 
     @F.pandas_udf(schema)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return predict(texts)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = predict if loader is None else loader()
+        for texts in batches:
+            yield model(texts)
 
     def step(df: DataFrame, text: Column) -> DataFrame:
         given = text if limit is None else cap_text(text, limit)
@@ -77,14 +84,14 @@ def model_step(predict: Callable[[pd.Series], pd.DataFrame], schema: str, limit:
 
 
 def model_language(
-    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = values.LANGUAGE_TEXT_LIMIT
+    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = None
 ) -> Step:
     """A language step whose language and confidence come from a model."""
     return model_step(predict, "language string, confidence double", limit)
 
 
 def model_sentiment(
-    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = values.SENTIMENT_TEXT_LIMIT
+    predict: Callable[[pd.Series], pd.DataFrame], limit: int | None = None
 ) -> Step:
     """A sentiment step whose score and magnitude come from a model."""
     step = model_step(predict, "score double, magnitude double", limit)

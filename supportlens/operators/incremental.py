@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens.functions.time import from_utc, ntz
+from supportlens.operators.skew import first_by
 
 
 def watermark(df: DataFrame, column: str, default: Any = None) -> DataFrame:
@@ -36,8 +37,15 @@ def read_watermark(df: DataFrame | None, column: str, default: Any = None) -> An
 
 
 def within(df: DataFrame, ts: str, start: Any, end: Any, ends: str) -> DataFrame:
-    """Rows between two times; ends says which bounds belong: '(]' or '[)'. Tables stored by day list only its days."""
-    low, high, at = ntz(start), ntz(end), F.col(ts)
+    """Rows between two times; ends says which bounds belong: '(]' or '[)'. Tables stored by day list only its days.
+    Without a start everything up to the end counts, rows without a time too."""
+    high, at = ntz(end), F.col(ts)
+    if start is None:
+        if f"{ts}_day" in df.columns:
+            day = F.col(f"{ts}_day")
+            df = df.where(day.isNull() | (day <= high.cast("date")))
+        return df.where(at.isNull() | (at <= high if ends == "(]" else at < high))
+    low = ntz(start)
     if f"{ts}_day" in df.columns:
         df = df.where(F.col(f"{ts}_day").between(low.cast("date"), high.cast("date")))
     return df.where((at > low) & (at <= high) if ends == "(]" else (at >= low) & (at < high))
@@ -46,11 +54,15 @@ def within(df: DataFrame, ts: str, start: Any, end: Any, ends: str) -> DataFrame
 def scan_range(
     df: DataFrame, ts: str, start: Any, end: Any, limit: int | None = None, ordered: bool = True
 ) -> DataFrame:
-    """Rows after start up to end, oldest first. A load that only appends should pass ordered=False."""
+    """Rows after start up to end, oldest first. A load that only appends should pass ordered=False.
+
+    With a limit, as many of the oldest rows and all further ones of the last one's time, so that a next scan from that
+    time on misses none."""
     rows = within(df, ts, start, end, "(]")
-    if ordered:
-        rows = rows.orderBy(ts)
-    return rows if limit is None else rows.limit(limit)
+    if limit is not None:
+        last = rows.select(ts).orderBy(F.col(ts).asc_nulls_first()).limit(limit).agg(F.max(ts)).scalar()
+        rows = rows.where(F.col(ts).isNull() | (F.col(ts) <= last))
+    return rows.orderBy(ts) if ordered else rows
 
 
 def scan_days(df: DataFrame, ts: str, start: date, end: date, columns: Sequence[str]) -> DataFrame:
@@ -76,13 +88,11 @@ def next_window(start: date, end: date, loaded: date | None) -> tuple[date, date
     return None if start >= end else (start, end)
 
 
-def since(df: DataFrame, column: str, value: Any, cap: int | None = None) -> DataFrame:
-    """Rows past a watermark (all of them without one), with the source's row cap if one is asked for."""
+def since(df: DataFrame, column: str, value: Any) -> DataFrame:
+    """Rows past a watermark, all of them without one."""
     if value is None:
-        rows = df
-    else:
-        rows = df.where(F.col(column) > (ntz(value) if isinstance(value, datetime) else F.lit(value)))
-    return rows if cap is None else rows.limit(cap)
+        return df
+    return df.where(F.col(column) > (ntz(value) if isinstance(value, datetime) else F.lit(value)))
 
 
 def id_range(df: DataFrame, column: str) -> DataFrame:
@@ -91,13 +101,15 @@ def id_range(df: DataFrame, column: str) -> DataFrame:
 
 
 def new_rows(batch: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the batch whose keys are not loaded yet, so that a second run adds nothing."""
-    return batch.join(loaded.select(*keys), list(keys), "left_anti")
+    """Rows of the batch whose keys are not loaded yet, one row a key: a second run adds nothing, and no key comes twice.
+    Of rows that share a key, the one with the least hash of all its columns stays."""
+    once = first_by(batch, keys, [F.xxhash64(*batch.columns), *map(F.col, batch.columns)])
+    return once.join(loaded.select(*keys), list(keys), "left_anti")
 
 
 def replace_months(table: DataFrame, batch: DataFrame, ts: str) -> DataFrame:
     """The table after each month the batch touches is replaced by the batch's rows."""
     month: Column = F.trunc(F.col(ts).cast("date"), "MM")
-    touched = batch.select(month.alias("_month")).distinct()  # twelve rows a year at most, hence the broadcast
-    kept = table.withColumn("_month", month).join(F.broadcast(touched), "_month", "left_anti").drop("_month")
+    touched = batch.select(month.alias("_month")).distinct()
+    kept = table.withColumn("_month", month).join(touched, "_month", "left_anti").drop("_month")
     return kept.unionByName(batch)

@@ -38,19 +38,19 @@ def _convert(df: DataFrame, source: str, kind: str, compat: bool, zone: str) ->
 
 
 def range_predicates(column: str, cuts: Sequence[str] = tuple(values.VOTE_CUTS)) -> list[str]:
-    """SQL conditions that cut a table at the given days into disjoint ranges; a null is in none."""
+    """SQL conditions that cut a table at the given days into disjoint ranges; rows without a value are the last one."""
     bounds = [f"{column} <= '{cuts[0]}'"]
     bounds += [f"{column} > '{low}' AND {column} <= '{high}'" for low, high in zip(cuts, cuts[1:])]
-    return [*bounds, f"{column} > '{cuts[-1]}'"]
+    return [*bounds, f"{column} > '{cuts[-1]}'", f"{column} IS NULL"]
 
 
 def range_chunks(df: DataFrame, column: str, cuts: Sequence[str] = tuple(values.VOTE_CUTS)) -> DataFrame:
-    """All rows that fall in a range, with its number in `chunk`, from one scan."""
-    cases = F
+    """All rows with the number of their range in `chunk`, from one scan; rows without a value have the last number."""
+    cases = F.when(F.col(column).isNull(), len(cuts) + 1)
     for number, cut in enumerate(cuts):
         cases = cases.when(F.col(column) <= ntz(cut), number)
     chunk = cases.otherwise(len(cuts))
-    return df.where(F.col(column).isNotNull()).withColumn("chunk", chunk)
+    return df.withColumn("chunk", chunk)
 
 
 def votes_by_document(votes: DataFrame, revisions: DataFrame, documents: DataFrame, until: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins and top-1 picks that hold when one key has a large share of all rows."""
+"""Top-1 picks that hold when one key has a large share of all rows."""
 
 from __future__ import annotations
 
@@ -7,28 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-
-
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key. Spark keeps at most one row a key and map task before the shuffle (WindowGroupLimit),
     so a hot key costs no more than any other."""
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")
-
-
-def keyed_join(
-    big: DataFrame, keyed: DataFrame, keys: Sequence[str], rows: str, spread: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Inner join of big to keyed, which has one row a key and in `rows` the number of big's rows with that key.
-
-    Keys above hot_rows are cut into parts of about that size: big's rows by a hash of their `spread` columns, keyed's
-    row by copies. The list of such keys is broadcast; it cannot exceed big's rows / hot_rows. Null keys drop out.
-    """
-    parts = F.ceil(F.col(rows) / F.lit(hot_rows)).cast("int")
-    hot = keyed.where(F.col(rows) > hot_rows).select(*keys, parts.alias("_parts"))
-    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_parts")))
-    left = big.join(F.broadcast(hot), list(keys), "left").withColumn("_part", part.cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))
-    right = keyed.withColumn("_part", copies).drop(rows)
-    return left.drop("_parts").join(right, [*keys, "_part"], "inner").drop("_part")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supportlens.functions.text import escape_newlines
 from supportlens.functions.time import seconds_between
-from supportlens.operators.skew import HOT_ROWS, keyed_join
+from supportlens.operators.skew import first_by
 
 PARENT = "in_reply_to_status_id_str"
 
@@ -24,29 +24,29 @@ def tweet_rows(tweets: DataFrame) -> DataFrame:
 
 
 def enrich_replies(mentions: DataFrame, posts: DataFrame) -> DataFrame:
-    """Each tweet with text, time and author of the post it answers, nulls where there is none.
+    """Each tweet once, with text, time and author of the post it answers, nulls where there is none.
 
-    Tweets that answer nothing skip the join, so no task gets all the null keys.
+    A post stored several times counts once, in its earliest version. Tweets that answer nothing have keys of their own in
+    the join, which no post has, so that no task gets all of them.
     """
-    parents = posts.select(
-        F.col("id_str").alias(PARENT),
+    once = first_by(posts.where("id_str is not null"), ["id_str"], [F.col("created_at").asc_nulls_last(), F.col("user_id").asc()])
+    parents = once.select(
+        F.col("id_str").cast("string").alias("_key"),
         F.col("full_text").alias("in_reply_to_status_text"),
         F.col("created_at").alias("in_reply_to_status_created_at"),
         F.col("user_id").alias("in_reply_to_status_user_id"),
     )
-    replies = mentions.where(F.col(PARENT).isNotNull()).join(parents, PARENT, "left")
-    others = mentions.where(F.col(PARENT).isNull())
-    columns = [*mentions.columns, *[c for c in parents.columns if c != PARENT]]
-    return replies.unionByName(others, allowMissingColumns=True).select(*columns)
+    alone = F.concat(F.lit("none "), F.pmod(F.xxhash64("id_str"), F.lit(100_000)).cast("string"))
+    keyed = mentions.withColumn("_key", F.coalesce(F.col(PARENT).cast("string"), alone))
+    return keyed.join(parents, "_key", "left").select(*mentions.columns, *[c for c in parents.columns if c != "_key"])
 
 
-def reply_first_response(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The fastest replies to each post, ties kept; rows without a parent or a time drop out."""
+def reply_first_response(reviews: DataFrame) -> DataFrame:
+    """The fastest replies to each post, ties kept; rows without a parent or a time drop out.
+
+    Each task keeps the fastest of its own before the shuffle, so a post with very many replies costs no more than others.
+    """
     timed = reviews.withColumn("response_time", seconds_between("in_reply_to_status_created_at", "created_at"))
-    fastest = (
-        timed.where(F.col(PARENT).isNotNull())
-        .groupBy(PARENT)
-        .agg(F.min("response_time").alias("_fastest"), F.count("*").alias("_replies"))
-    )
-    joined = keyed_join(timed, fastest, [PARENT], "_replies", spread=["id_str"], hot_rows=hot_rows)
-    return joined.where("response_time = _fastest").select(*reviews.columns, "response_time")
+    known = timed.where(F.col(PARENT).isNotNull() & F.col("response_time").isNotNull())
+    rank = F.rank().over(Window.partitionBy(PARENT).orderBy("response_time"))
+    return known.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

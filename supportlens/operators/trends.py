@@ -18,8 +18,9 @@ def with_regions(terms: DataFrame, regions: Sequence[str] = tuple(values.TREND_R
 
 
 def translate(queries: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Adds translated_query from a dictionary (original_query, translated_query); the original where it has none."""
-    known = dictionary.select("original_query", F.col("translated_query").alias("_translated"))
+    """Adds translated_query from a dictionary (original_query, translated_query), the least of several; the original
+    where it has none."""
+    known = dictionary.groupBy("original_query").agg(F.min("translated_query").alias("_translated"))
     joined = queries.join(known, "original_query", "left")
     return joined.withColumn("translated_query", F.coalesce("_translated", "original_query")).drop("_translated")
 

@@ -7,15 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from supportlens.functions.text import strip_prefix
 from supportlens.operators.incremental import within
-from supportlens.operators.skew import HOT_ROWS, keyed_join
 
 # Which pages count: a condition on a path column.
 PageTest = Callable[[Column], Column]
@@ -123,50 +123,43 @@ def users_by_country(hits: DataFrame) -> DataFrame:
     return hits.groupBy(_day(), F.col("country").alias("ga_country")).agg(F.count_distinct("user_id").alias("ga_users"))
 
 
-def _session_segments(hits: DataFrame, segments: dict[str, tuple[str, str]]) -> DataFrame:
-    """One row a session in a segment: day, session_id, its segments, its number of hits. It may be in several."""
-    flags = [F.max(clause(F.col(column), "EXACT", value)).alias(f"_s{i}") for i, (column, value) in enumerate(segments.values())]
-    names = F.array_compact(F.array(*[F.when(F.col(f"_s{i}"), F.lit(name)) for i, name in enumerate(segments)]))
-    known = hits.where("session_id is not null")
-    sessions = known.groupBy(_day(), "session_id").agg(*flags, F.count("*").alias("_hits"))
-    return sessions.select("ga_date", "session_id", names.alias("_segments"), "_hits").where(F.size("_segments") > 0)
-
-
-def segment_hits(
-    hits: DataFrame,
-    segments: dict[str, tuple[str, str]],
-    counted: DataFrame,
-    spread: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """`counted` rows (with ga_date and session_id) of sessions with a hit in a segment, once for each such segment.
+def _segmented(hits: DataFrame, segments: dict[str, tuple[str, str]], keys: Sequence[Column | str]) -> DataFrame:
+    """Rows of the keys beside day and session, with `_views`, once for each segment that the session has a hit in.
 
-    Membership is decided over all of a session's hits, before any page filter.
+    One pass over the hits: they are summed by the keys with the segments' flags, and the flags of a session's rows are
+    brought together on these sums. Membership is so decided over all of a session's hits, before any page filter.
     """
-    sessions = _session_segments(hits, segments)
-    member = keyed_join(counted, sessions, ["ga_date", "session_id"], "_hits", spread, hot_rows)
-    return member.withColumn("ga_segment", F.explode("_segments")).drop("_segments")
-
-
-def traffic_segments(hits: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """Users and sessions a day, in-product against organic; of the hits `seen`, if only some count."""
-    seen = hits if seen is None else seen
-    product = _product(seen)
-    visits = seen.groupBy(_day(), "session_id", "user_id", *product).agg(F.count("*").alias("_n"))
-    member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "user_id"])
-    return member.groupBy("ga_date", "ga_segment", *product).agg(
+    flags = [F.max(clause(F.col(column), "EXACT", value)).alias(f"_s{i}") for i, (column, value) in enumerate(segments.values())]
+    sums = hits.where("session_id is not null").groupBy(_day(), "session_id", *keys).agg(*flags, F.count("*").alias("_views"))
+    session = Window.partitionBy("ga_date", "session_id")
+    names = [F.when(F.max(f"_s{i}").over(session), F.lit(name)) for i, name in enumerate(segments)]
+    named = sums.withColumn("_segments", F.array_compact(F.array(*names)))
+    return named.withColumn("ga_segment", F.explode("_segments")).drop("_segments", *[f"_s{i}" for i in range(len(segments))])
+
+
+def _counting(rows: DataFrame, pages: PageTest | Mapping[str, PageTest] | None, path: str) -> DataFrame:
+    """Rows of the pages that count: all, those of one test, or those of each product."""
+    if pages is None:
+        return rows
+    return by_product(rows, pages, path) if isinstance(pages, Mapping) else on_pages(rows, pages, path)
+
+
+def traffic_segments(hits: DataFrame, pages: PageTest | Mapping[str, PageTest] | None = None) -> DataFrame:
+    """Users and sessions a day, in-product against organic; of the hits on some pages, if only those count."""
+    rows = _segmented(hits, TRAFFIC_SEGMENTS, ["user_id"] if pages is None else ["user_id", "page_path"])
+    counted = _counting(rows, pages, "page_path")
+    return counted.groupBy("ga_date", "ga_segment", *_product(counted)).agg(
         F.count_distinct("user_id").alias("ga_users"), F.count_distinct("session_id").alias("ga_sessions")
     )
 
 
-def traffic_by_page(hits: DataFrame, seen: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+def traffic_by_page(
+    hits: DataFrame, pages: PageTest | Mapping[str, PageTest] | None = None, ordered: bool = True
+) -> DataFrame:
     """The same a page, most viewed first."""
-    seen = hits if seen is None else seen
-    product = _product(seen)
-    page = F.col("page_path").alias("ga_page_path")
-    visits = seen.groupBy(_day(), page, "session_id", "user_id", *product).agg(F.count("*").alias("_views"))
-    member = segment_hits(hits, TRAFFIC_SEGMENTS, visits, ["ga_date", "ga_page_path", "user_id"])
-    report = member.groupBy("ga_date", "ga_page_path", "ga_segment", *product).agg(
+    rows = _segmented(hits, TRAFFIC_SEGMENTS, ["user_id", F.col("page_path").alias("ga_page_path")])
+    counted = _counting(rows, pages, "ga_page_path")
+    report = counted.groupBy("ga_date", "ga_page_path", "ga_segment", *_product(counted)).agg(
         F.sum("_views").alias("ga_pageviews"),
         F.count_distinct("user_id").alias("ga_users"),
         F.count_distinct("session_id").alias("ga_sessions"),
@@ -176,9 +169,7 @@ def traffic_by_page(hits: DataFrame, seen: DataFrame | None = None, ordered: boo
 
 def search_clicks(hits: DataFrame) -> DataFrame:
     """Users and unique events (session and action) a day, of sessions that searched or clicked a result."""
-    events = hits.groupBy(_day(), "session_id", "user_id", "event_action").agg(F.count("*").alias("_n"))
-    member = segment_hits(hits, SEARCH_SEGMENTS, events, ["ga_date", "user_id", "event_action"])
-    return member.groupBy("ga_date", "ga_segment").agg(
+    return _segmented(hits, SEARCH_SEGMENTS, ["user_id", "event_action"]).groupBy("ga_date", "ga_segment").agg(
         F.count_distinct("user_id").alias("ga_users"),
         F.count_distinct("session_id", "event_action").alias("ga_uniqueEvents"),
     )
@@ -188,23 +179,25 @@ def exit_rates(
     hits: DataFrame, pages: PageTest | Mapping[str, PageTest] = KB_PAGES, ordered: bool = True
 ) -> DataFrame:
     """Views, exits (sessions that end there) and their ratio in percent, a day and page; most viewed first. Pages may
-    be given by product."""
-    views = hits.groupBy(_day(), F.col("page_path").alias("ga_exitPagePath")).agg(
-        F.count("*").alias("_views"), F.lit(0).cast("long").alias("_exits")
-    )
-    last = hits.where("session_id is not null").groupBy(_day(), "session_id").agg(
-        F.max_by("page_path", F.struct("ts", "hit_id")).alias("ga_exitPagePath")
-    )
-    exits = last.groupBy("ga_date", "ga_exitPagePath").agg(
-        F.lit(0).cast("long").alias("_views"), F.count("*").alias("_exits")
-    )
-    both = views.unionByName(exits).groupBy("ga_date", "ga_exitPagePath")
-    totals = both.agg(F.sum("_exits").alias("ga_exits"), F.sum("_views").alias("ga_pageviews"))
+    be given by product.
+
+    One pass over the hits: views and the last hit of each session and page, its time and id in one number, which a
+    hash aggregate holds. From these rows come the page a session ends on and the sums by page. Hits without a session
+    are views, but end nothing.
+    """
+    moment = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(19,0)") * F.lit(Decimal(10**19)).cast("decimal(20,0)")
+    last = (moment + F.coalesce("hit_id", F.lit(0)).cast("decimal(19,0)")).cast("decimal(38,0)")
     path = "ga_exitPagePath"
-    kept = by_product(totals, pages, path) if isinstance(pages, Mapping) else on_pages(totals, pages, path)
+    seen = hits.select(_day(), F.col("page_path").alias(path), "session_id", last.alias("_last"))
+    visits = seen.groupBy("ga_date", "session_id", path).agg(F.count("*").alias("_views"), F.max("_last").alias("_last"))
+    # pages without a session have keys of their own, so that they don't meet in one task
+    session = Window.partitionBy("ga_date", "session_id", F.when(F.col("session_id").isNull(), F.col(path)))
+    ends = F.col("session_id").isNotNull() & (F.col("_last") == F.max("_last").over(session))
+    totals = visits.withColumn("_ends", F.coalesce(ends, F.lit(False)).cast("long")).groupBy("ga_date", path)
+    kept = _counting(totals.agg(F.sum("_ends").alias("ga_exits"), F.sum("_views").alias("ga_pageviews")), pages, path)
     report = kept.select(
         "ga_date",
-        "ga_exitPagePath",
+        path,
         (F.col("ga_exits") / F.col("ga_pageviews") * 100).alias("ga_exitRate"),
         "ga_exits",
         "ga_pageviews",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from supportlens.operators.skew import first_by
 from supportlens.sources.readers import read_table
 
 
@@ -35,12 +34,13 @@ def tweets(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
 
 
 def question_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw question rows: the first user turn of each conversation, in three versions, the first of them undated."""
-    asked = first_by(load(spark, folder, "conversations").where("role = 'user'"), ["conv_id"], [F.col("turn")])
-    created = at("conv_id * 3607")
+    """Raw question rows: every turn of a user, in three versions, the first of them undated. Turns of the system are no
+    posts of a forum."""
+    asked = load(spark, folder, "conversations").where("role = 'user'")
+    created = at("conv_id * 3607 + turn * 60")
     versions = asked.withColumn("v", F.explode(F.array(*[F.lit(i) for i in range(3)])))
     return versions.select(
-        F.col("conv_id").alias("question_id"),
+        F.expr("conv_id * 1000 + turn").alias("question_id"),
         F.concat("text", F.lit(" v"), F.col("v").cast("string")).alias("question_content"),
         created.alias("created_date"),
         F.when(F.col("v") > 0, created + F.col("v") * F.expr("interval '1' hour")).alias("updated"),
@@ -50,21 +50,23 @@ def question_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def answer_versions(spark: SparkSession, folder: str) -> DataFrame:
-    created = at("conv_id * 3607 + (conv_id * 7919 + turn * 104729) % 200000")
-    answers = load(spark, folder, "conversations").where("role = 'assistant'")
+    """Raw answer rows: every turn of an assistant, to the last question before it in its conversation, if there is one."""
+    created = at("conv_id * 3607 + turn * 60 + (conv_id * 7919 + turn * 104729) % 200000")
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    asked = F.max(F.expr("case when role = 'user' then conv_id * 1000 + turn end")).over(before)
+    answers = load(spark, folder, "conversations").withColumn("question_id", asked).where("role = 'assistant'")
     versions = answers.withColumn("v", F.explode(F.array(*[F.lit(i) for i in range(3)])))
     return versions.select(
         F.expr("conv_id * 1000 + turn").alias("answer_id"),
-        F.col("conv_id").alias("question_id"),
+        "question_id",
         F.concat("text", F.lit(" v"), F.col("v").cast("string")).alias("answer_content"),
         created.alias("created_date"),
         F.when(F.col("v") > 0, created + F.col("v") * F.expr("interval '1' hour")).alias("updated"),
     )
 
 
-def hits(spark: SparkSession, folder: str) -> DataFrame:
-    """Web hits: the events, with a page by type and key, a session a user and day, and the user's nation."""
-    nation = load(spark, folder, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("country"))
+def hits(spark: SparkSession, folder: str, countries: bool = False) -> DataFrame:
+    """Web hits: the events, with a page by type and key, a session a user and day, and if asked for the user's nation."""
     rows = load(spark, folder, "events").select(
         F.col("event_id").alias("hit_id"),
         "ts",
@@ -81,6 +83,9 @@ def hits(spark: SparkSession, folder: str) -> DataFrame:
             "case event_type when 'click' then 'Result Clicked' when 'view' then 'Search' else '' end"
         ).alias("event_action"),
     )
+    if not countries:
+        return rows
+    nation = load(spark, folder, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("country"))
     return rows.join(nation, F.col("user_id") % 25 == F.col("n_nationkey"), "left").drop("n_nationkey")
 
 
@@ -100,8 +105,8 @@ def _at(seconds: str) -> str:
     return f"make_timestamp(({_START} + {seconds}) * 1000000)"
 
 
-_QUESTION_TIME = "conv_id * 3607"
-_ANSWER_TIME = "conv_id * 3607 + (conv_id * 7919 + turn * 104729) % 200000"
+_QUESTION_TIME = "conv_id * 3607 + turn * 60"
+_ANSWER_TIME = "conv_id * 3607 + turn * 60 + (conv_id * 7919 + turn * 104729) % 200000"
 
 SQL: dict[str, str] = {
     "tweets": f"""tweets AS (
@@ -109,16 +114,16 @@ SQL: dict[str, str] = {
     doc_id % 97 AS user_id, CASE WHEN doc_id % 5 <> 0 THEN doc_id // 3 END AS in_reply_to_status_id_str
   FROM documents)""",
     "questions_raw": f"""questions_raw AS (
-  SELECT conv_id AS question_id, text || ' v' || v AS question_content, {_at(_QUESTION_TIME)} AS created_date,
+  SELECT conv_id * 1000 + turn AS question_id, text || ' v' || v AS question_content, {_at(_QUESTION_TIME)} AS created_date,
     CASE WHEN v > 0 THEN {_at(_QUESTION_TIME + " + v * 3600")} END AS updated,
     'About the ' || role || ' in ' || conv_id AS title,
     CASE conv_id % 3 WHEN 0 THEN 'os Linux' WHEN 1 THEN 'OS X' ELSE '' END AS metadata_array
-  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role = 'user')
-  {_VERSIONS} WHERE n = 1)""",
+  FROM conversations {_VERSIONS} WHERE role = 'user')""",
     "answers_raw": f"""answers_raw AS (
-  SELECT conv_id * 1000 + turn AS answer_id, conv_id AS question_id, text || ' v' || v AS answer_content,
+  SELECT conv_id * 1000 + turn AS answer_id, question_id, text || ' v' || v AS answer_content,
     {_at(_ANSWER_TIME)} AS created_date, CASE WHEN v > 0 THEN {_at(_ANSWER_TIME + " + v * 3600")} END AS updated
-  FROM conversations {_VERSIONS} WHERE role = 'assistant')""",
+  FROM (SELECT *, max(CASE WHEN role = 'user' THEN conv_id * 1000 + turn END) OVER (PARTITION BY conv_id ORDER BY turn
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS question_id FROM conversations) {_VERSIONS} WHERE role = 'assistant')""",
     "hits": """hits AS (
   SELECT event_id AS hit_id, ts, CAST(ts AS DATE) AS ga_date, user_id,
     user_id || '#' || CAST(ts AS DATE) AS session_id,

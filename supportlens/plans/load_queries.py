@@ -94,7 +94,7 @@ def _days(spark, sf):
 
 
 def _watermark(spark, sf):
-    return incremental.watermark(load(spark, sf, "events"), "ts", values.FIRST_LOAD)
+    return incremental.watermark(load(spark, sf, "events"), "ts", "2010-05-01")
 
 
 def _watermark_by(spark, sf):
@@ -231,7 +231,8 @@ FROM orders""",
   CAST(date_trunc('month', o_orderdate) AS DATE) AS month_first, last_day(o_orderdate) AS month_last,
   o_orderdate < DATE '1999-12-30' AS settled FROM orders""",
     "incremental_scan": f"SELECT * FROM events WHERE {_RANGE} ORDER BY ts",
-    "incremental_scan_limit": f"SELECT event_id, ts FROM events WHERE {_RANGE} ORDER BY ts LIMIT 500",
+    "incremental_scan_limit": f"""SELECT event_id, ts FROM events
+  WHERE {_RANGE} AND ts <= (SELECT max(ts) FROM (SELECT ts FROM events WHERE {_RANGE} ORDER BY ts LIMIT 500))""",
     "day_slices": """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events
 WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-09' GROUP BY 1, 2""",
     "watermark": "SELECT coalesce(max(ts), TIMESTAMP '2010-05-01') AS watermark FROM events",
@@ -248,9 +249,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)""
     "rules_changed": """SELECT topic, keywords, CAST(sum(sign) AS BIGINT) AS extra FROM (
   SELECT p_type AS topic, regexp_replace(p_name, '^red ', 'dark red ') AS keywords, 1 AS sign FROM part
   UNION ALL SELECT p_type, p_name, -1 FROM part) GROUP BY 1, 2 HAVING sum(sign) <> 0""",
-    "vote_chunks": """SELECT o_orderkey, created, CASE WHEN created <= TIMESTAMP '1996-12-31' THEN 0
+    "vote_chunks": """SELECT o_orderkey, created, CASE WHEN created IS NULL THEN 3 WHEN created <= TIMESTAMP '1996-12-31' THEN 0
   WHEN created <= TIMESTAMP '1999-12-31' THEN 1 ELSE 2 END AS chunk
-FROM (SELECT o_orderkey, nullif(o_orderdate, TIMESTAMP '1996-02-02') AS created FROM orders) WHERE created IS NOT NULL""",
+FROM (SELECT o_orderkey, nullif(o_orderdate, TIMESTAMP '1996-02-02') AS created FROM orders)""",
     "kb_votes_join": """SELECT c_custkey AS document_id, c_name AS title, c_mktsegment AS locale, l_shipdate AS created,
   l_linenumber AS helpful FROM lineitem, orders, customer
 WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND l_shipdate <= TIMESTAMP '1998-12-31'""",

@@ -43,7 +43,7 @@ def _kb_users_products(spark, sf):
 
 
 def _countries(spark, sf):
-    return web.users_by_country(hits(spark, sf))
+    return web.users_by_country(hits(spark, sf, countries=True))
 
 
 def _segments(spark, sf):
@@ -51,7 +51,7 @@ def _segments(spark, sf):
 
 
 def _segments_products(spark, sf):
-    return web.traffic_segments(hits(spark, sf), _product_hits(spark, sf))
+    return web.traffic_segments(hits(spark, sf), _products(spark, sf))
 
 
 def _segments_pages(spark, sf):
@@ -59,7 +59,7 @@ def _segments_pages(spark, sf):
 
 
 def _segments_pages_products(spark, sf):
-    return web.traffic_by_page(hits(spark, sf), _product_hits(spark, sf))
+    return web.traffic_by_page(hits(spark, sf), _products(spark, sf))
 
 
 def _search(spark, sf):
@@ -182,15 +182,14 @@ def _trend_queries(spark, sf):
     return trends.rising_queries(trends.with_regions(terms), WEEK_END, dictionary)
 
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 def _trend_series(spark, sf):
     """Hourly counts of events, one column a type, as the trend source's frames; unpivoted again."""
-    hourly = load(spark, sf, "events").select(F.expr("cast(date_trunc('hour', ts) as timestamp_ntz)").alias("date"), "event_type")
-    wide = hourly.groupBy("date").pivot("event_type", EVENT_TYPES).count()
+    events = load(spark, sf, "events")
+    types = word_list(events.select("event_type").where("event_type is not null").distinct().orderBy("event_type"))
+    hourly = events.select(F.expr("cast(date_trunc('hour', ts) as timestamp_ntz)").alias("date"), "event_type")
+    wide = hourly.groupBy("date").pivot("event_type", types).count()
     wide = wide.select(F.lit("DE").alias("region"), "*", F.lit(False).alias("isPartial"))
-    return trends.query_series(wide, WEEK_END, EVENT_TYPES)
+    return trends.query_series(wide, WEEK_END, types)
 
 
 def _weekly_sentiment(spark, sf):

@@ -109,6 +109,10 @@ STORED_BY_DAY = {
     "twitter_reviews": "created_at",
     "twitter_sentiment": "created_at",
     "survey_responses": "date_submitted",
+    "twitter_word_frequencies": "tweet_dt",
+    "forum_word_frequencies": "forum_dt",
+    "trend_queries": "update_date",
+    **{name: "ga_date" for name in TABLES if name.startswith("ga_")},
 }
 
 # Hits the web reports read: one row a page view or event.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,13 +38,10 @@ TWEET = (
 
 
 def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A parquet table. With spread_by its rows are dealt to all cores by that column, but only where the files offer
-    fewer splits than there are cores (one row group cannot be split): worth it before parsing or matching texts."""
+    """A parquet table. With spread_by its rows are dealt out anew by that column, for files of one row group, which can't
+    be split: worth it before parsing or matching texts. Tables of many row groups need none."""
     table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by is None or table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, spread_by)
+    return table if spread_by is None else table.repartition(F.col(spread_by))
 
 
 def parse_pages(pages: DataFrame, schema: str, records: str, json: str = "value") -> DataFrame:
@@ -90,12 +87,26 @@ def read_csv(
     )
 
 
-def check_bad_rows(rows: DataFrame, allowed: int) -> DataFrame:
-    """The good rows; an error once more than `allowed` rows were bad."""
-    bad = rows.where("_corrupt is not null").take(allowed + 1)
-    if len(bad) > allowed:
-        raise ValueError(f"more than {allowed} bad rows")
-    return rows.where("_corrupt is null").drop("_corrupt")
+def split_bad_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good rows, and the bad ones with what could be read of them and their raw lines in `_corrupt`."""
+    return rows.where("_corrupt is null").drop("_corrupt"), rows.where("_corrupt is not null")
+
+
+def check_bad_rows(rows: DataFrame, allowed: int, aside: str | None = None) -> DataFrame:
+    """The good rows; an error once more than `allowed` rows are bad. Where some are allowed they are appended to the
+    folder `aside` first, and counted by that write. With none allowed the good rows raise as they are read, in no
+    further pass."""
+    good, bad = split_bad_rows(rows)
+    if not allowed:
+        stop = F.raise_error(F.concat(F.lit("more than 0 bad rows: "), F.col("_corrupt")))
+        return rows.where(F.col("_corrupt").isNull() | stop.cast("boolean")).drop("_corrupt")
+    if aside is None:
+        raise ValueError("bad rows that are allowed need a folder to be stored in")
+    seen = Observation("bad rows")
+    bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").json(aside)
+    if seen.get["n"] > allowed:
+        raise ValueError(f"more than {allowed} bad rows, stored in {aside}")
+    return good
 
 
 def read_store_reviews(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -143,21 +154,19 @@ def read_database(
     url: str,
     table: str,
     properties: dict[str, str],
-    key: str | None = "id",
-    bounds: tuple[int, int] = (0, 1),
-    partitions: int = 1,
+    key: str,
+    bounds: tuple[int, int],
+    partitions: int,
     compat: bool = False,
 ) -> DataFrame:
-    """A source table as its typed mirror, read by ranges of its key so that no one task reads it whole."""
+    """A source table as its typed mirror, read by `partitions` ranges of its key between the bounds, so that no one task
+    reads it whole; keys outside the bounds are in the outer ranges."""
     source = f"(select {mirror_query(table)} from {table}) as t"
-    if key is None:
-        rows = spark.read.jdbc(url, source, properties=properties)
-    else:
-        rows = spark.read.jdbc(url, source, key, bounds[0], bounds[1], partitions, properties=properties)
+    rows = spark.read.jdbc(url, source, key, bounds[0], bounds[1], partitions, properties=properties)
     return conform(rows, table, compat)
 
 
-def read_votes(spark: SparkSession, url: str, properties: dict[str, str], cuts: Sequence[str] | None = None) -> DataFrame:
-    """The vote table by ranges of its creation day."""
-    predicates = range_predicates("created", cuts) if cuts else range_predicates("created")
+def read_votes(spark: SparkSession, url: str, properties: dict[str, str], cuts: Sequence[str]) -> DataFrame:
+    """The vote table by ranges of its creation day. The last cut should be near today: what is after it is one range."""
+    predicates = range_predicates("created", cuts)
     return conform(spark.read.jdbc(url, "wiki_helpfulvote", predicates=predicates, properties=properties), "wiki_helpfulvote")

@@ -59,13 +59,10 @@ SCORE_CUTOFF = 0.2
 MAGNITUDE_CUTOFF = 0.5
 NEGATIVE, NEUTRAL, POSITIVE = "negativ", "neutral", "positive"
 
-# Where the first load starts, how long an answer may take, what the release calendar spans.
-FIRST_LOAD = "2010-05-01"
-FIRST_TERM_LOAD = "2019-03-23"
+# How long an answer may take, what the release calendar spans.
 ANSWER_DEADLINE_SECONDS = 86400
 CALENDAR_WEEKS_BEFORE, CALENDAR_WEEKS_AFTER, CALENDAR_MIN_MAJOR = 4, 8, 57
 SETTLING_DAYS = 2
-FETCH_CAP = 10_000_000
 SOURCE_ZONE = "America/Los_Angeles"
 SURVEY_ZONE = "US/Eastern"
 VOTE_CUTS = ["2013-12-31", "2016-12-31"]

@@ -55,10 +55,13 @@ MENTIONS = schemas.TABLES["twitter_mentions"]
 def test_csv_and_bad_rows(spark, tmp_path):
     text = 'id_str,created_at,full_text,user_id,in_reply_to_status_id_str\n1,2020-01-01 00:00:00,"a ""b"", c",5,\nx,y,z,u,v\n'
     rows = readers.read_csv(spark, write(tmp_path, "m.csv", text), MENTIONS)
-    good = readers.check_bad_rows(rows, 1).collect()
+    good = readers.check_bad_rows(rows, 1, str(tmp_path / "bad")).collect()
+    assert [r["_corrupt"] for r in spark.read.json(str(tmp_path / "bad")).collect()] == ["x,y,z,u,v"]
     assert [tuple(r) for r in good] == [(1, datetime(2020, 1, 1), 'a "b", c', 5, None)]
-    with pytest.raises(ValueError, match="more than 0 bad rows"):
-        readers.check_bad_rows(rows, 0)
+    with pytest.raises(Exception, match="more than 0 bad rows"):
+        readers.check_bad_rows(rows, 0).collect()
+    with pytest.raises(ValueError, match="more than 1 bad rows"):
+        readers.check_bad_rows(rows.union(rows), 1, str(tmp_path / "worse"))
 
 
 def test_utf16_reviews(spark, tmp_path):
@@ -117,7 +120,7 @@ def test_tables_by_day(spark):
     spark.sql("create database if not exists support")
     name, columns = "support.posts_by_day", "id_str long, created_at ntz, full_text string, user_id long, in_reply_to_status_id_str long"
     sinks.ensure_table(spark, name, "twitter_mentions")
-    assert sinks.stored_watermark(spark, name, "created_at", values.FIRST_LOAD) == datetime(2010, 5, 1)
+    assert sinks.stored_watermark(spark, name, "created_at", "2010-05-01") == datetime(2010, 5, 1)
     days = [(1, "2020-01-01 23:00:00"), (2, "2020-01-02 01:00:00"), (3, "2020-01-02 02:00:00"), (4, None)]
     sinks.append(frame(spark, [(i, at, "x", 1, None) for i, at in days], columns), name, "twitter_mentions")
     assert sinks.stored_watermark(spark, name, "created_at") == datetime(2020, 1, 2, 2)
@@ -197,6 +200,6 @@ def test_streamed_terms(spark, tmp_path):
     write(source, "a.json", "\n".join(map(json.dumps, lines)))
     stream = files.file_stream(spark, str(source), MENTIONS)
     out = str(tmp_path / "out")
-    query = files.load_available(stream, lambda df: files.daily_terms(df, "created_at", "full_text", ["app"]), out, str(tmp_path / "state"))
+    query = files.load_available(stream, lambda df: files.daily_terms(df, "created_at", "full_text", "2 days", ["app"]), out, str(tmp_path / "state"))
     assert query.awaitTermination(120)
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(date(2020, 1, 1), "slow", 4)]

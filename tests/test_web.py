@@ -52,9 +52,9 @@ def test_segments(hits):
     assert tuples(report, "ga_date", "ga_segment", "ga_users", "ga_sessions") == [
         (D1, "In-product", 1, 1), (D1, "Organic", 2, 2), (D2, "In-product", 1, 1),
     ]
-    asked = web.traffic_segments(hits, web.on_pages(hits, web.QUESTION_PAGES))
+    asked = web.traffic_segments(hits, web.QUESTION_PAGES)
     assert tuples(asked, "ga_segment", "ga_sessions") == [("In-product", 1), ("Organic", 1)]
-    pages = web.traffic_by_page(hits, web.by_product(hits, {"p": web.KB_PAGES}))
+    pages = web.traffic_by_page(hits, {"p": web.KB_PAGES})
     assert set(pages.columns) == set(schemas.TABLES["ga_inproduct_vs_organic_by_page"].names)
     assert tuples(pages.where(F.col("ga_date") == D1), "ga_page_path", "ga_segment", "ga_pageviews") == [
         (KB, "In-product", 1), (KB, "Organic", 2), (KB + "?x=1", "In-product", 1), (KB + "?x=1", "Organic", 1),
@@ -108,12 +108,3 @@ def test_flatten(spark):
     pages = spark.createDataFrame([(json.dumps({"reports": [{"data": rows}, {"data": {}}]}),)], "value string")
     flat = web.flatten_report(parse_pages(pages, REPORT, "reports"), ["a", "b"], ["x", "y", "z", "none"])
     assert [tuple(r) for r in flat.collect()] == [("d1", "d2", "v1", "v2", "w1", None)]
-
-
-@pytest.mark.parametrize("hot_rows", [1, 3])
-def test_hot_sessions(hits, hot_rows):
-    visits = hits.groupBy(F.to_date("ts").alias("ga_date"), "session_id", "user_id", "page_path").count()
-    plain = web.segment_hits(hits, web.TRAFFIC_SEGMENTS, visits, ["page_path"])
-    split = web.segment_hits(hits, web.TRAFFIC_SEGMENTS, visits, ["page_path"], hot_rows)
-    columns = ["ga_date", "session_id", "page_path", "ga_segment", "count"]
-    assert tuples(split, *columns) == tuples(plain, *columns)
