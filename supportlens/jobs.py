@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supportlens import schemas
-from supportlens.functions.time import collection_week, ntz
-from supportlens.operators import enrich, forum, incremental, releases, reviews, terms, trends, web
+from supportlens.functions.time import collection_week, from_utc, ntz, survey_text_to_utc
+from supportlens.operators import enrich, forum, incremental, releases, reviews, social, survey, terms, trends, web
 from supportlens.sources import readers, sinks
 
 
@@ -58,6 +58,63 @@ def load_question_sentiment(
     sinks.append(enrich.enrich_questions(new, language, sentiment), target, "forum_sentiment")
 
 
+def load_mentions(spark: SparkSession, path: str, target: str) -> None:
+    """New posts of saved tweet objects: those past the greatest id stored, each once."""
+    stored = sinks.ensure_table(spark, target, "twitter_mentions")
+    rows = social.tweet_rows(readers.read_tweets(spark, path))
+    new = incremental.since(rows, "id_str", incremental.read_watermark(stored, "id_str"))
+    sinks.append_new(new, target, "twitter_mentions", ["id_str"])
+
+
+def load_replies(spark: SparkSession, path: str, posts: str, target: str) -> None:
+    """New posts of saved tweet objects with the post they answer, looked up in the table `posts`."""
+    stored = sinks.ensure_table(spark, target, "twitter_reviews")
+    rows = social.tweet_rows(readers.read_tweets(spark, path))
+    new = incremental.since(rows, "id_str", incremental.read_watermark(stored, "id_str"))
+    sinks.append_new(social.enrich_replies(new, sinks.plain(spark.table(posts))), target, "twitter_reviews", ["id_str"])
+
+
+def _load_pages(spark: SparkSession, rows: DataFrame, target: str, table: str, key: str) -> None:
+    """Versions updated from the source-zone day of the last stored update on, or not dated; each stored once."""
+    stored = sinks.ensure_table(spark, target, table)
+    start = incremental.source_day(stored, "updated").first()["start"] if stored.take(1) else None
+    if start is not None:
+        rows = rows.where(F.col("updated").isNull() | (from_utc(F.col("updated")).cast("date") >= F.lit(start)))
+    sinks.append_new(rows, target, table, [key, "updated"])
+
+
+def load_questions(spark: SparkSession, path: str, target: str) -> None:
+    """Saved pages of forum questions, the versions not stored yet."""
+    rows = forum.question_rows(readers.read_pages(spark, path, readers.QUESTION_PAGE, "results"))
+    _load_pages(spark, rows, target, "forum_questions_raw", "question_id")
+
+
+def load_answers(spark: SparkSession, path: str, target: str) -> None:
+    """Saved pages of forum answers, the versions not stored yet."""
+    rows = forum.answer_rows(readers.read_pages(spark, path, readers.ANSWER_PAGE, "results"))
+    _load_pages(spark, rows, target, "forum_answers_raw", "answer_id")
+
+
+def load_survey(spark: SparkSession, path: str, target: str, aside: str) -> None:
+    """Saved survey pages: responses submitted since the last stored one, that time included, each once. Records whose times
+    can't be read are kept in the folder `aside`."""
+    sinks.ensure_table(spark, target, "survey_responses")
+    pages = readers.read_pages(spark, path, readers.SURVEY_PAGE, "data")
+    sinks.write_ndjson(survey.unread_rows(pages), aside)
+    mark = sinks.stored_watermark(spark, target, "date_submitted")
+    rows = survey.survey_rows(pages)
+    if mark is not None:
+        rows = rows.where(F.col("date_submitted") >= ntz(mark))
+    sinks.append_new(rows, target, "survey_responses", ["response_id"])
+
+
+def export_survey(spark: SparkSession, path: str, out: str, end: datetime, start: datetime | None = None) -> None:
+    """Saved survey pages to CSV as they came: responses submitted in [start, end), by default the day before `end`."""
+    pages = readers.read_pages(spark, path, readers.SURVEY_PAGE, "data")
+    timed = pages.withColumn("_at", survey_text_to_utc("date_submitted", True))
+    sinks.write_csv(survey.export_rows(incremental.scan_submitted(timed, "_at", end, start)), out)
+
+
 def _updated_from(questions: DataFrame, start: datetime | date | None) -> DataFrame:
     """Of questions stored by their last update, those that can have been asked after `start`: no update comes before."""
     if start is None or "updated_day" not in questions.columns:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -102,9 +104,10 @@ def id_range(df: DataFrame, column: str) -> DataFrame:
 
 def new_rows(batch: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch whose keys are not loaded yet, one row a key: a second run adds nothing, and no key comes twice.
-    Of rows that share a key, the one with the least hash of all its columns stays."""
-    once = first_by(batch, keys, [F.xxhash64(*batch.columns), *map(F.col, batch.columns)])
-    return once.join(loaded.select(*keys), list(keys), "left_anti")
+    Of rows that share a key, the one with the least hash of all its columns stays. Nulls are keys like others."""
+    once = first_by(batch, keys, [F.xxhash64(*batch.columns)])
+    known = loaded.select(*[F.col(k).alias(f"_loaded_{k}") for k in keys])
+    return once.join(known, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_loaded_{k}")) for k in keys]), "left_anti")
 
 
 def replace_months(table: DataFrame, batch: DataFrame, ts: str) -> DataFrame:

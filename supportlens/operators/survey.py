@@ -27,7 +27,8 @@ QUESTIONS = {"2": "goal_accomplished", "4": "rating"}
 
 
 def survey_rows(data: DataFrame, observed: bool = False) -> DataFrame:
-    """API survey records to table rows. Rows without two readable times drop out; an unanswered question is ''."""
+    """API survey records to table rows. Rows without two readable times drop out, `unread_rows` has them; an unanswered
+    question is ''."""
     typed = {"contact_id": parse_long, "longitude": parse_double, "latitude": parse_double}
     rows = data.select(
         parse_long(F.col("id")).alias("response_id"),
@@ -39,6 +40,12 @@ def survey_rows(data: DataFrame, observed: bool = False) -> DataFrame:
     return rows.where("time_started is not null and date_submitted is not null")
 
 
+def unread_rows(data: DataFrame, observed: bool = False) -> DataFrame:
+    """The records that survey_rows leaves out, as they came, to be stored aside."""
+    times = [survey_text_to_utc(name, observed) for name in ("date_started", "date_submitted")]
+    return data.where(times[0].isNull() | times[1].isNull())
+
+
 def export_rows(data: DataFrame) -> DataFrame:
     """The export's plain projection: the source's own texts, and '' for what was not answered."""
     return data.select(

@@ -31,6 +31,7 @@ _QUESTION_HEAD = (
 _MENTION = "id_str: long, created_at: timestamp, full_text: string, user_id in_reply_to_status_id_str: long"
 _SENTIMENT = "score magnitude: double, discrete_sentiment: string"
 
+# Names, order and types of the stored columns.
 TABLES: dict[str, T.StructType] = {
     "forum_questions_raw": table(
         _QUESTION_HEAD + "solution: long, solved_by: string, num_votes num_votes_past_week last_answer: long, "
@@ -120,7 +121,7 @@ HITS = table(
     "hit_id: long, ts: timestamp, user_id: long, session_id page_path country source medium event_action: string"
 )
 
-# Database tables and what each column is: int, bool, date and str as they say; text is str with line ends escaped;
+# Database tables and what each column is: int, bool, date and str as they say; text is str with line ends escaped;
 # utc is a local time to move to UTC; int! must convert or the job fails.
 MIRROR: dict[str, str] = {
     "kb_votes": "document_id: int!, title locale: str, created: utc, helpful: int!",

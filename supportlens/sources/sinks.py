@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
@@ -69,8 +71,27 @@ def append(df: DataFrame, name: str, table: str) -> None:
 
 
 def append_new(df: DataFrame, name: str, table: str, keys: Sequence[str]) -> None:
-    """Append of rows whose keys are not there yet; a second run adds nothing."""
-    append(new_rows(df, df.sparkSession.table(name), keys), name, table)
+    """Append of rows whose keys are not there yet; a second run adds nothing. Of a table stored by day, only the batch's
+    days are compared: a row that comes again comes with its time."""
+    loaded, days = df.sparkSession.table(name), _by_day(df, table)[1]
+    if days:
+        low, high = df.agg(F.min(STORED_BY_DAY[table]).cast("date"), F.max(STORED_BY_DAY[table]).cast("date")).first()
+        day = F.col(days[0])
+        loaded = loaded.where(day.isNull() | day.between(F.lit(low), F.lit(high)))
+    append(new_rows(df, loaded, keys), name, table)
+
+
+def staging(spark: SparkSession, name: str) -> str:
+    """A fresh folder for staged files in the shared `spark.checkpoint.dir`; a local session without it has its own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="staged-")
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def overwrite(df: DataFrame, name: str, table: str) -> None:
@@ -88,8 +109,10 @@ def sync_rules(spark: SparkSession, rules: DataFrame, name: str) -> bool:
 
 
 def write_months(df: DataFrame, path: str, ts: str) -> None:
-    """Replaces the months the frame holds, and only those, in a table parted by month."""
-    month = F.date_format(F.col(ts), "yyyy-MM").alias("month")
+    """Replaces the months the frame holds, and only those, in a table parted by month. A row without a time belongs to
+    no month and is an error: it would replace such rows of earlier loads."""
+    dated = F.coalesce(F.date_format(F.col(ts), "yyyy-MM"), F.raise_error(F.lit(f"a row without {ts}")))
+    month = dated.alias("month")
     df.select("*", month).hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "month"
     ).parquet(path)
@@ -100,9 +123,9 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", quote_all: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ",", quote_all: bool = False, encoding: str = "UTF-8") -> None:
     """Staged CSV with header; quotes double, line ends stay inside quotes."""
-    df.write.mode("overwrite").csv(path, sep=sep, header=True, quoteAll=quote_all, escape='"')
+    df.write.mode("overwrite").csv(path, sep=sep, header=True, quoteAll=quote_all, escape='"', encoding=encoding)
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

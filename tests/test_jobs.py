@@ -1,5 +1,6 @@
 """The scheduled loads, each run twice."""
 
+import json
 from datetime import date, datetime
 
 import pytest
@@ -108,3 +109,85 @@ def test_calendar_and_reviews(spark, db, tmp_path):
     for _ in range(2):
         jobs.load_store_reviews(spark, str(export), str(tmp_path / "out"))
     assert tuples(spark.read.parquet(str(tmp_path / "out")), "Review_Text", "month") == [("a  b", "2020-01")]
+
+
+def write_lines(path, *records):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / f"{len(list(path.iterdir()))}.json").write_text("\n".join(map(json.dumps, records)))
+    return str(path)
+
+
+def tweet(id_, text="x", parent=None, at="2020-01-01 00:00:00"):
+    return {"id_str": str(id_), "created_at": at, "full_text": text, "user": {"id": 5}, "in_reply_to_status_id_str": parent and str(parent)}
+
+
+def test_raw_mentions_and_replies(spark, db, tmp_path):
+    path = write_lines(tmp_path / "t", tweet(1), tweet(2, "y", 1), tweet(2, "y", 1))
+    for wanted in (2, 2):
+        jobs.load_mentions(spark, path, "jobs.raw_mentions")
+        jobs.load_replies(spark, path, "jobs.raw_mentions", "jobs.raw_replies")
+        assert spark.table("jobs.raw_mentions").count() == spark.table("jobs.raw_replies").count() == wanted
+    write_lines(tmp_path / "t", tweet(3, "z", 2, "2020-01-02 00:00:00"))
+    jobs.load_mentions(spark, path, "jobs.raw_mentions")
+    jobs.load_replies(spark, path, "jobs.raw_mentions", "jobs.raw_replies")
+    told = tuples(spark.table("jobs.raw_replies"), "id_str", "in_reply_to_status_text")
+    assert told == [(1, None), (2, "x"), (3, "y")]
+
+
+def test_raw_questions_and_answers(spark, db, tmp_path):
+    def page(*records):
+        return {"count": 1, "results": list(records)}
+
+    def post(id_, updated, **more):
+        return {"id": id_, "content": "c", "created": "2020-01-01T00:00:00Z", "updated": updated, "creator": {"username": "u"}, **more}
+
+    first = [post(1, "2020-01-01T05:00:00Z"), post(2, "2020-01-01T23:30:00Z"), post(2, "2020-01-01T23:30:00Z"), post(3, None)]
+    q = write_lines(tmp_path / "q", page(*first))
+    a = write_lines(tmp_path / "a", page(*[{**p, "question": 9} for p in first]))
+    for _ in range(2):
+        jobs.load_questions(spark, q, "jobs.raw_questions")
+        jobs.load_answers(spark, a, "jobs.raw_answers")
+        assert spark.table("jobs.raw_questions").count() == spark.table("jobs.raw_answers").count() == 3
+    write_lines(tmp_path / "q", page(post(1, "2020-01-03T00:00:00Z"), post(4, "2020-01-01T23:45:00Z")))
+    jobs.load_questions(spark, q, "jobs.raw_questions")
+    assert sorted(r["question_id"] for r in spark.table("jobs.raw_questions").collect()) == [1, 1, 2, 3, 4]
+
+
+def test_raw_survey_and_its_export(spark, db, tmp_path):
+    def response(id_, at):
+        return {"id": str(id_), "date_started": at, "date_submitted": at, "status": "Complete", "survey_data": {"2": {"answer": "Yes"}}}
+
+    path = write_lines(tmp_path / "s", {"data": [response(1, "2020-01-01 10:00:00 EST"), response(2, "some day"), response(3, "2020-01-02 10:00:00 EST")]})
+    for _ in range(2):
+        jobs.load_survey(spark, path, "jobs.survey", str(tmp_path / "aside"))
+        assert tuples(spark.table("jobs.survey"), "response_id") == [(1,), (3,)]
+        assert [r["id"] for r in spark.read.json(str(tmp_path / "aside")).collect()] == ["2"]
+    jobs.export_survey(spark, path, str(tmp_path / "out"), datetime(2020, 1, 3))
+    assert [r["id"] for r in spark.read.csv(str(tmp_path / "out"), header=True).collect()] == ["3"]
+
+
+def test_trends_after_a_failure_between_the_tables(spark, db, monkeypatch):
+    queries = spark.createDataFrame([("DE", "q", 5)], "region string, query string, value long")
+    wide = frame(spark, [("DE", "2020-01-01", False, 7)], "region string, date ntz, isPartial boolean, q long")
+    words = spark.createDataFrame([("q", "b"), ("q", "a")], "original_query string, translated_query string")
+
+    def load():
+        jobs.load_trends(spark, lambda *_: (queries, wide, ["q"]), words, "jobs.broken_q", "jobs.broken_s", date(2020, 1, 15))
+
+    append = jobs.sinks.append
+    monkeypatch.setattr(jobs.sinks, "append", lambda df, name, table: append(df, name, table) if table == "trend_timeseries" else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load()
+    monkeypatch.undo()
+    for _ in range(2):
+        load()
+        assert tuples(spark.table("jobs.broken_q"), "translated_query") == [("a",)]
+        assert spark.table("jobs.broken_s").count() == 1
+
+
+@pytest.mark.parametrize("table, column", [("twitter_mentions", "created_at"), ("ga_total_users", "ga_date"), ("twitter_word_frequencies", "tweet_dt")])
+def test_watermarks_read_days(spark, db, table, column):
+    name = f"jobs.by_day_{table}"
+    jobs.sinks.ensure_table(spark, name, table)
+    days = spark.table(name).where(F.col(f"{column}_day") == F.lit(date(2020, 1, 1)))
+    assert "PartitionFilters: [isnotnull(" in days._jdf.queryExecution().executedPlan().toString()
