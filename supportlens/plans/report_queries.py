@@ -96,7 +96,7 @@ def _flatten(spark, sf):
     return web.flatten_report(parse_pages(json, REPORT, "reports"), ["ga_date", "ga_event"], ["id_now", "key_now", "id_before", "key_before"])
 
 
-def _calendar(spark, sf):
+def release_documents(spark, sf):
     """Parts as release documents, one release a document."""
     record = F.struct(
         F.col("p_brand").alias("product"),
@@ -108,10 +108,13 @@ def _calendar(spark, sf):
         F.when(F.col("p_size") > 40, F.lit(True)).alias("is_security_driven"),
     )
     name = F.concat(F.lit("r-"), F.col("p_partkey").cast("string"))
-    documents = load(spark, sf, "part").select(
+    return load(spark, sf, "part").select(
         F.to_json(F.struct(F.create_map(name, record).alias("releases"))).alias("value")
     )
-    return releases.release_calendar(releases.release_rows(documents))
+
+
+def _calendar(spark, sf):
+    return releases.release_calendar(releases.release_rows(release_documents(spark, sf)))
 
 
 def _survey_records(spark, sf):

@@ -141,7 +141,7 @@ MIRROR: dict[str, str] = {
         "reply_to_tweet_id: int"
     ),
     "customercare_tweet": "tweet_id: int, raw_json locale: str, created: utc, reply_to_id: int, hidden: bool",
-    "users_profile": "user_id: int, name timezone country city locale mozillians: str, involved_from: date",
+    "users_profile": "user_id: int, name timezone country city locale contributor_handle: str, involved_from: date",
     "wiki_document_products": "id document_id product_id: int",
     "wiki_document_topics": "id document_id topic_id: int",
     "wiki_locale": "id: int, locale: str",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -144,9 +144,10 @@ def word_list(words: DataFrame, most: int = 100_000) -> list[str]:
     return [r[0] for r in rows]
 
 
-def mirror_query(table: str) -> str:
-    """The projection that reads a source table."""
-    return ", ".join(name for name, _ in mirror_kinds(MIRROR[table]))
+def mirror_query(table: str, source_names: Mapping[str, str] | None = None) -> str:
+    """The projection that reads a source table; source_names for columns that the source calls otherwise."""
+    known = source_names or {}
+    return ", ".join(known.get(name, name) for name, _ in mirror_kinds(MIRROR[table]))
 
 
 def read_database(
@@ -158,10 +159,11 @@ def read_database(
     bounds: tuple[int, int],
     partitions: int,
     compat: bool = False,
+    source_names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A source table as its typed mirror, read by `partitions` ranges of its key between the bounds, so that no one task
     reads it whole; keys outside the bounds are in the outer ranges."""
-    source = f"(select {mirror_query(table)} from {table}) as t"
+    source = f"(select {mirror_query(table, source_names)} from {table}) as t"
     rows = spark.read.jdbc(url, source, key, bounds[0], bounds[1], partitions, properties=properties)
     return conform(rows, table, compat)
 
