@@ -53,8 +53,10 @@ _ODD_CASES = ("\u017f\u212a\u0131\u0130", "skii")
 
 
 def fold(text: Column | str) -> Column:
-    """Lower case in which an ASCII keyword is found as it stands."""
-    return F.lower(F.translate(col(text), *_ODD_CASES))
+    """The text's runs of ASCII letters and digits in lower case, each between blanks: ' a b '. In it an ASCII keyword is
+    found as it stands, and one that begins or ends a word with the blank at that side."""
+    lower = F.lower(F.translate(col(text), *_ODD_CASES))
+    return F.concat(F.lit(" "), F.regexp_replace(lower, "[^a-z0-9]+", " "), F.lit(" "))
 
 
 def _runs(keyword: str) -> list[str] | None:
@@ -72,7 +74,7 @@ def rule_words(rules: Sequence[tuple[str, str]]) -> list[str]:
 
 def words_found(folded: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
     """Which of the rules' runs the folded text holds, from one pass over the text however many rules there are."""
-    runs = F.split(col(folded), "[^a-z0-9]+")
+    runs = F.split(col(folded), " ")
     return F.array_intersect(runs, F.array(*[F.lit(w) for w in rule_words(rules)]).cast("array<string>"))
 
 
@@ -84,7 +86,9 @@ def may_match(folded: Column | str, found: Column | str, keywords: str) -> Colum
         if runs:
             tests.append(reduce(and_, [F.array_contains(found, run) for run in runs]))
         elif bare.isascii() and bare.isalnum():
-            tests.append(F.contains(col(folded), F.lit(bare)))
+            first = " " if keyword.strip().startswith("_") else ""
+            last = " " if not first and keyword.strip().endswith("_") else ""
+            tests.append(F.contains(col(folded), F.lit(first + bare + last)))
         else:
             return F.lit(True)
     return reduce(or_, tests)

@@ -20,6 +20,7 @@ RULES = [
 KEYWORDS = ["the", "of", "and", "la", "les", "que", "der", "und", "is", "una", "quick heal"]
 UP, DOWN = ["the", "la", "der", "una", "is"], ["of", "les", "und", "que", "and"]
 BRANDS = ("the", "der")
+PRODUCT = "Acme"
 
 
 def _daily_terms(spark, sf):
@@ -40,6 +41,16 @@ def _topic_classify(spark, sf):
     return docs.select("doc_id", F.array_join("topics", "|").alias("topics"))
 
 
+def _topic_classify_full(spark, sf):
+    """The whole rule list; half of the documents get a sentence made of a rule's words."""
+    rules = values.topic_rules(PRODUCT)
+    said = F.array(*[F.lit(k.replace("_", "").replace(",", " ")) for _, k in rules])
+    place = F.pmod(F.col("doc_id"), F.lit(2 * len(rules))).cast("int")
+    text = F.concat_ws(" ", "text", F.get(said, place))
+    docs = enrich.classify(documents(spark, sf).select("doc_id", text.alias("text")), "text", rules)
+    return docs.select("doc_id", F.array_join("topics", "|").alias("topics"))
+
+
 def _topic_counts(spark, sf):
     docs = enrich.classify(documents(spark, sf), "text", RULES)
     found = docs.select("source", F.explode("topics").alias("topic"))
@@ -117,6 +128,7 @@ QUERIES = {
     "top_terms": _top_terms,
     "keyword_doc_freq": _keywords,
     "topic_classify": _topic_classify,
+    "topic_classify_full": _topic_classify_full,
     "topic_counts": _topic_counts,
     "sentiment_bins": _sentiment_bins,
     "language_vote": _language,
@@ -164,7 +176,7 @@ def _rule_sql(text: str, keywords: str) -> str:
     edge = rf"(?:^|[^{_W}])"
 
     def found(part: str) -> str:
-        bare = part.replace("_", "").replace(" ", r"\s")
+        bare = part.replace("_", "").replace("-", "--").replace(".", f"(?:[{_W}]|[^{_W}]{{2}})").replace(" ", r"\s")
         if part.startswith("_"):
             bare = bare + f"[{_W}]+"
         elif part.endswith("_"):
@@ -181,11 +193,11 @@ def _rule_sql(text: str, keywords: str) -> str:
     return f"{' + '.join(opened)}{blank} >= {len(parts)}"
 
 
-def _topics_sql(text: str) -> str:
-    names = sorted({t for t, _ in RULES})
+def _topics_sql(text: str, rules=tuple(RULES)) -> str:
+    names = sorted({t for t, _ in rules})
     cases = []
     for name in names:
-        test = " OR ".join(_rule_sql(text, k) for t, k in RULES if t == name)
+        test = " OR ".join(_rule_sql(text, k) for t, k in rules if t == name)
         cases.append(f"CASE WHEN {test} THEN '{name}' END")
     return f"list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL)"
 
@@ -221,6 +233,7 @@ def _lexicon_sql(source: str, key: str, text: str) -> str:
 
 
 _Q = "title || ' ' || question_content"
+_FULL = values.topic_rules(PRODUCT)
 
 ORACLE = {
     "term_freq_daily": _TERMS + "SELECT * FROM counts",
@@ -236,6 +249,9 @@ SELECT CAST(created_date AS DATE) AS forum_dt, forum_word, count(*) AS forum_fre
       regexp_extract_all(metadata_array, '{_TOKENS}', 1), lambda t: lower(t)),
       lambda t: t IN ('os x', 'linux')))) FROM questions)
 GROUP BY 1, 2"""),
+    "topic_classify_full": f"""SELECT doc_id, array_to_string({_topics_sql('text', _FULL)}, '|') AS topics FROM (
+  SELECT doc_id, concat_ws(' ', text, [{quoted([k.replace('_', '').replace(',', ' ') for _, k in _FULL])}][1 + doc_id % {2 * len(_FULL)}])
+    AS text FROM documents)""",
     "topic_classify": f"SELECT doc_id, array_to_string({_topics_sql('text')}, '|') AS topics FROM documents",
     "topic_counts": f"""SELECT source, topic, count(*) AS n
 FROM (SELECT source, unnest({_topics_sql('text')}) AS topic FROM documents) GROUP BY 1, 2""",
