@@ -65,11 +65,12 @@ def unit_draw(*parts: Column) -> Column:
 
 def semi(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id (null included) and text have a row (_id, _hash) in `kept`; fully repeated pairs
-    once. The texts move once: join and rank share a partitioning, and each task ranks before it sends."""
+    once. The texts move once, since rank and join share a partitioning, and each task drops its repeated pairs before it
+    sends them."""
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
     rows = rows.withColumns({"_null": F.col("_id").isNull(), "_id": F.coalesce("_id", F.lit(0))})
     kept = kept.withColumns({"_null": F.col("_id").isNull(), "_id": F.coalesce("_id", F.lit(0))})
     key = ["_id", "_null", "_hash"]
     first = Window.partitionBy(*key).orderBy(F.lit(1))
-    found = rows.join(kept, key, "left_semi").withColumn("_rank", F.row_number().over(first))
-    return found.filter("_rank = 1").select("_row.*")
+    once = rows.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1")
+    return once.join(kept, key, "left_semi").select("_row.*")
