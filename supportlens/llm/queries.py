@@ -59,6 +59,18 @@ QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op3_cove
 _SPACES = r"[\x20\x09-\x0D]"
 
 ORACLE = {
+    "op3_cover_tree": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+            WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+        reach AS (
+            SELECT vec_id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.vec_id),
+        least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM least LEFT JOIN counts ON a = vec_id""",
     "op7_exact_dedup": rf"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
