@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,10 +83,6 @@ def composite_key(*parts: Column | str) -> Column:
     return F.concat(*joined[1:])
 
 
-def in_list(value: Column, items: Sequence[str]) -> Column:
-    return value.isin(list(items))
-
-
 def load_name(prefix: str, start: str, end: str) -> str:
     """Range-stamped folder of one load."""
     return f"{prefix}/start={start}/end={end}"

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from supportlens import values
 from supportlens.functions import time as tm
 from supportlens.functions.cast import safe_cast
 from supportlens.operators import incremental, mirror, tables

@@ -116,11 +116,6 @@ STORED_BY_DAY = {
     **{name: "ga_date" for name in TABLES if name.startswith("ga_")},
 }
 
-# Hits the web reports read: one row a page view or event.
-HITS = table(
-    "hit_id: long, ts: timestamp, user_id: long, session_id page_path country source medium event_action: string"
-)
-
 # Database tables and what each column is: int, bool, date and str as they say; text is str with line ends escaped;
 # utc is a local time to move to UTC; int! must convert or the job fails.
 MIRROR: dict[str, str] = {

@@ -110,7 +110,8 @@ def check_bad_rows(rows: DataFrame, allowed: int, aside: str | None = None) -> D
 
 
 def read_store_reviews(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Review exports come in UTF-16; quoted texts may hold line ends."""
+    """Review exports come in UTF-16; quoted texts may hold line ends. Such files can't be split: each is one task, so large
+    exports should come as many files (the source gives one a month)."""
     return check_bad_rows(read_csv(spark, path, schema, encoding="UTF-16", multi_line=True), 0)
 
 
