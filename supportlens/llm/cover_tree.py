@@ -31,7 +31,8 @@ COSINE = 0.9
 SAMPLE, CENTRES = 4096, 1024
 #: Vectors of a chunk, about.
 CHUNK = 4096
-RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+#: Of the nested levels. Unrelated vectors are about 1.4 apart, so that nodes of radius 1 and more would never be dropped.
+RADII = (0.5, 0.25, 0.125, 0.0625)
 #: Room for rounding: nothing is dropped or taken whole on a difference so small.
 ROOM = 1e-5
 BLOCK = 1024
@@ -176,21 +177,21 @@ class Links:
 
 
 def _start(a: Tree, b: Tree, t: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of top nodes in reach, by blocks. Nodes of one row come first, where one threshold serves a whole block."""
-    na, nb = (tree.nodes[0][np.argsort(tree.radius[0][tree.nodes[0]] > 0, kind="stable")] for tree in (a, b))
-    for low in range(0, len(na), BLOCK):
-        i = na[low : low + BLOCK]
-        for start in range(0, len(nb), BLOCK * 4):
-            j = nb[start : start + BLOCK * 4]
-            cosine = a.x32[i] @ b.x32[j].T
-            ri, rj = a.radius[0][i], b.radius[0][j]
-            if ri.any() or rj.any():
-                near = cosine >= _reach(ri[:, None] + rj[None, :] + t) - ROOM
-            else:
-                near = cosine >= _reach(t) - ROOM
-            x, y = np.nonzero(near)
-            x, y = i[x], j[y]
-            yield (x[x <= y], y[x <= y]) if same else (x, y)
+    """Pairs of top nodes in reach, by blocks. For nodes without extent one threshold serves a whole block."""
+    (la, wa), (lb, wb) = ((n[tree.radius[0][n] == 0], n[tree.radius[0][n] > 0]) for tree in (a, b) for n in (tree.nodes[0],))
+    for left, right in ((la, lb), (la, wb), (wa, lb), (wa, wb)):
+        for low in range(0, len(left), BLOCK):
+            i = left[low : low + BLOCK]
+            for start in range(0, len(right), BLOCK * 4):
+                j = right[start : start + BLOCK * 4]
+                if same and i[0] > j[-1] and left is la and right is lb:
+                    continue  # met from the other side
+                reach = _reach(t)
+                if right is wb or left is wa:
+                    reach = _reach(a.radius[0][i][:, None] + b.radius[0][j][None, :] + t).astype(np.float32)
+                at = np.flatnonzero(a.x32[i] @ b.x32[j].T >= reach - np.float32(ROOM))
+                x, y = i[at // len(j)], j[at % len(j)]
+                yield (x[x <= y], y[x <= y]) if same else (x, y)
 
 
 def traverse(a: Tree, b: Tree, cosine: float, same: bool) -> Links:
