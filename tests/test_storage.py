@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from supportlens import schemas, values
 from supportlens.operators import forum, incremental, survey
@@ -203,3 +204,38 @@ def test_streamed_terms(spark, tmp_path):
     query = files.load_available(stream, lambda df: files.daily_terms(df, "created_at", "full_text", "2 days", ["app"]), out, str(tmp_path / "state"))
     assert query.awaitTermination(120)
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(date(2020, 1, 1), "slow", 4)]
+
+
+def test_rows_too_late_for_their_day(spark):
+    counted = spark.createDataFrame([(date(2020, 1, 1), "slow", 4)], "tweet_dt date, tweet_word string, tweet_freq long")
+    batch = frame(spark, [(1, "2020-01-01 09:00:00"), (2, "2020-01-02 09:00:00")], "id long, at ntz")
+    assert tuples(files.too_late(batch, counted, "at"), "id") == [(1,)]
+
+
+def test_months_need_times(spark, tmp_path):
+    rows = frame(spark, [(1, None)], "id long, at ntz")
+    with pytest.raises(Exception, match="a row without at"):
+        sinks.write_months(rows, str(tmp_path / "m"), "at")
+
+
+def test_models_see_whole_texts_and_load_once_a_task(spark):
+    from supportlens.operators import enrich
+
+    def loader():
+        import pandas as pd
+
+        calls = []
+
+        def model(texts):
+            calls.append(1)
+            return pd.DataFrame({"n": texts.str.len(), "calls": len(calls)})
+
+        return model
+
+    df = spark.range(6).selectExpr("id", "repeat('x', 9000) AS text").repartition(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        rows = enrich.model_step(None, "n long, calls long", loader=loader)(df, F.col("text")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["n"] for r in rows} == {9000} and max(r["calls"] for r in rows) == 3
