@@ -27,8 +27,6 @@ TEMPLATES = [
     ("gpl", "licensed under the GNU General Public License, version 3"),
     ("lgpl", "licensed under the GNU Lesser General Public License, version 3"),
     ("agpl", "licensed under the GNU Affero General Public License, version 3"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-                "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
