@@ -230,9 +230,14 @@ def load_store_reviews(spark: SparkSession, export: str, path: str) -> None:
 
 
 def load_mirror(
-    spark: SparkSession, url: str, tables: dict[str, tuple[str, tuple[int, int], int]], properties: dict[str, str], path: str
-) -> None:
-    """Database tables anew; each with its key, the key's bounds and the number of ranges to read it by."""
+    spark: SparkSession, url: str, tables: dict[str, tuple[str, tuple[int, int], int]], properties: dict[str, str], path: str,
+    staged: bool = False,
+) -> None:
+    """Database tables anew; each with its key, the key's bounds and the number of ranges to read it by. `staged` writes
+    them as lines of JSON, for a warehouse to load."""
     for table, (key, bounds, partitions) in tables.items():
         rows = readers.read_database(spark, url, table, properties, key, bounds, partitions)
-        rows.write.mode("overwrite").parquet(f"{path}/{table}")
+        if staged:
+            sinks.write_ndjson(rows, f"{path}/{table}")
+        else:
+            rows.write.mode("overwrite").parquet(f"{path}/{table}")
