@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Puts this package's place on the Python workers' path, for sessions started elsewhere. Executors of a cluster need the
+    package at that place too, or by --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; Spark's file system removes it when the application ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
