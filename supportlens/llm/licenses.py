@@ -3,8 +3,8 @@
 All rolling k-grams of a document's words are looked at. Words are numbered by the templates' vocabulary, so that a k-gram's
 number stands for its words exactly; a k-gram with a word that no template holds can't join and goes no further. Spark joins the
 others to their template positions. Hits on one diagonal (word position less template position) are votes for one
-placing of the template; diagonals a few words apart are one placing with words put in or left out. A placing is a span if
-enough of the template's words are matched and the matches are dense in the text.
+placing of the template; diagonals a few words apart are one placing with words put in or left out. The words of each placing are then
+aligned with the template's; it is a span if enough of the template's words are matched and the matches are dense in the text.
 
 Base phrases are found apart and always stay.
 """
@@ -27,10 +27,12 @@ K = 4
 SLACK = 4
 #: Least share of the template's words that are matched, and of the span's words that are matches.
 COVERAGE, DENSITY = 0.75, 0.6
+#: What a word put in costs an alignment, in matched words; every one is tried.
+GAPS = (0.05, 0.25, 0.5)
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
-ROWS = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, grams array<struct<pos:int,gram:bigint>>"
+ROWS = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, grams array<struct<pos:int,gram:bigint>>, ids array<int>"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -61,19 +63,49 @@ class Templates:
         self.texts = [np.array([self.numbers[w] for w in t], np.int64) for t in texts]
         self.phrases = [(np.array([self.numbers[w] for w in p], np.int64), label) for p, label in spoken]
 
-    def grams(self, ids: np.ndarray) -> np.ndarray:
+    def grams(self, ids: np.ndarray, k: int) -> np.ndarray:
         """The number of the k-gram at each position, 0 where a word is unknown."""
-        n = max(0, len(ids) - self.k + 1)
+        n = max(0, len(ids) - k + 1)
         number, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(self.k):
+        for j in range(k):
             part = ids[j : j + n]
             number = number * self.base + part
             known &= part > 0
         return np.where(known, number, 0)
 
+    def seed(self, ids: np.ndarray) -> int:
+        """Words of the k-grams that vote for a template: two for short ones, where a changed word leaves no longer run."""
+        return self.k if len(ids) >= 2 * self.k else 2
+
     def positions(self) -> list[tuple[int, int, int]]:
-        """(gram, template, position): bounded by the templates' words."""
-        return [(int(g), t, i) for t, ids in enumerate(self.texts) for i, g in enumerate(self.grams(ids))]
+        """(gram, template, position): bounded by the templates' words. Numbers of k-grams of different k differ."""
+        return [(int(g), t, i) for t, ids in enumerate(self.texts) for i, g in enumerate(self.grams(ids, self.seed(ids)))]
+
+    def align(self, template: int, ids: np.ndarray, low: int, high: int, coverage: float, density: float) -> tuple[int, int, float] | None:
+        """First word, last word and coverage of the template's best placing in the text's words low..high, if one is good enough."""
+        words = self.texts[template]
+        m, low, high = len(words), max(0, low), min(len(ids), high)
+        part, best = ids[low:high], None
+        n = self.base
+        if np.minimum(np.bincount(part, minlength=n), np.bincount(words, minlength=n))[1:].sum() < coverage * m:
+            return None  # not even in any order
+        for gap in GAPS:
+            # rows: score, matches, first word of the best chain that ends at or before each template word
+            score, count, first = np.full(m + 1, -np.inf), np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+            for i, word in enumerate(part.tolist()):
+                score -= gap
+                at = np.flatnonzero(words == word) if word else ()
+                if not len(at):
+                    continue
+                go_on = score[at] + gap > 0  # `score` holds the chains before this word, which itself is no gap
+                ends = np.where(go_on, score[at] + gap, 0) + 1
+                counts, starts = np.where(go_on, count[at], 0) + 1, np.where(go_on, first[at], i)
+                for j, s, c, f in zip((at + 1).tolist(), ends.tolist(), counts.tolist(), starts.tolist(), strict=True):
+                    if c >= coverage * m and c >= density * (i - f + 1) and (best is None or c > best[2]):
+                        best = (low + f, low + i, c)
+                    end = j + int(np.searchsorted(score[j:], s))  # scores rise along the template
+                    score[j:end], count[j:end], first[j:end] = s, c, f
+        return best and (best[0], best[1], best[2] / m)
 
 
 def license_rows(docs: DataFrame, templates: Templates, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,6 +113,8 @@ def license_rows(docs: DataFrame, templates: Templates, id_col: str = "doc_id",
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = text.schema["doc_id"].dataType.simpleString()
 
+    seeds = np.unique([g for g, _, _ in templates.positions()])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = templates.numbers.__getitem__
         for batch in batches:
@@ -99,12 +133,17 @@ def license_rows(docs: DataFrame, templates: Templates, id_col: str = "doc_id",
                         labels.append(label)
                         starts.append(at)
                 places = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-                grams = templates.grams(ids)
-                hits = np.flatnonzero(grams)
+                hits, grams = [], []
+                for k in sorted({2, templates.k}):
+                    own = templates.grams(ids, k)
+                    hits.append(np.flatnonzero(np.isin(own, seeds)))
+                    grams.append(own[hits[-1]])
+                hits, grams = np.concatenate(hits), np.concatenate(grams)
                 rows.append({
                     "n_words": len(found), "n_base": len(places), "base_labels": labels,
                     "first_word": int(places.min()) if len(places) else None, "last_word": int(places.max()) if len(places) else None,
-                    "grams": [{"pos": p, "gram": g} for p, g in zip(hits.tolist(), grams[hits].tolist(), strict=True)],
+                    "grams": [{"pos": p, "gram": g} for p, g in zip(hits.tolist(), grams.tolist(), strict=True)],
+                    "ids": ids if len(hits) else [],
                 })
             columns = [batch.column(0)]
             for name, type_ in _ARROW.items():
@@ -116,33 +155,43 @@ def license_rows(docs: DataFrame, templates: Templates, id_col: str = "doc_id",
 
 _ARROW = {
     "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.list_(pa.string()),
-    "grams": pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.int64())])),
+    "grams": pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.int64())])), "ids": pa.list_(pa.int32()),
 }
 
 
 def license_spans(rows: DataFrame, templates: Templates, coverage: float = COVERAGE, density: float = DENSITY, slack: int = SLACK) -> DataFrame:
     """Verified spans: row, doc_id, label, template, first_word, last_word (positions in the text), coverage."""
-    spark, k = rows.sparkSession, templates.k
+    spark = rows.sparkSession
     table = spark.createDataFrame(templates.positions(), "gram bigint, template int, tpos int")
-    hits = rows.select("row", "doc_id", F.inline("grams")).join(F.broadcast(table), "gram")
-    hits = hits.withColumn("diagonal", F.col("pos") - F.col("tpos"))
-    votes = hits.groupBy("row", "doc_id", "template", "diagonal").agg(
-        F.min("pos").alias("low"), F.max("pos").alias("high"), F.collect_set("tpos").alias("tpos")  # at most the template's length
-    )
+    hits = rows.select("row", F.inline("grams")).join(F.broadcast(table), "gram")
+    votes = hits.select("row", "template", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct()
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > slack, F.lit(True)).cast("int")
     merged = votes.withColumn("new", new).withColumn("placing", F.sum("new").over(order))
-    spread = F.flatten(F.collect_list("tpos"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(spread, lambda t: F.sequence(t, t + (k - 1))))))
-    placed = merged.groupBy("row", "doc_id", "template", "placing").agg(
-        F.min("low").alias("first_word"), (F.max("high") + (k - 1)).alias("last_word"), covered.alias("matched")
-    )
-    facts = spark.createDataFrame([(t, templates.labels[t], len(ids)) for t, ids in enumerate(templates.texts)], "template int, label string, words int")
-    told = placed.join(F.broadcast(facts), "template").withColumn("coverage", F.col("matched") / F.col("words"))
-    dense = F.col("matched") >= density * (F.col("last_word") - F.col("first_word") + 1)
-    return told.filter((F.col("coverage") >= coverage) & dense).select(
-        "row", "doc_id", "label", "template", "first_word", "last_word", "coverage"
-    )
+    placed = merged.groupBy("row", "template", "placing").agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+    placed = placed.groupBy("row").agg(F.collect_list(F.struct("template", "low", "high")).alias("placings"))  # at most the text's hits
+    joined = rows.select("row", "doc_id", "ids").join(placed, "row")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, out = [], []
+            for i, (ids, placings) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                ids = ids.values.to_numpy()
+                for p in placings.as_py():
+                    m = len(templates.texts[p["template"]])
+                    more = int(m / density) - m + slack  # a span is at most so much longer than its template
+                    found = templates.align(p["template"], ids, p["low"] - more, p["high"] + m + more, coverage, density)
+                    if found:
+                        at.append(i)
+                        out.append((templates.labels[p["template"]], p["template"], *found))
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64()]
+            places = pa.array(at, pa.int64())
+            arrays = [batch.column(0).take(places), batch.column(1).take(places), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "label", "template", "first_word", "last_word", "coverage"])
+
+    return joined.mapInArrow(verify, f"row bigint, doc_id {kind}, label string, template int, first_word bigint, last_word bigint, coverage double")
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, **limits) -> DataFrame:
@@ -154,7 +203,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     made = Templates(templates, phrases)
     rows = license_rows(docs, made)
     found = license_spans(rows, made, **limits).groupBy("row").agg(F.collect_set("label").alias("found"), F.max("coverage").alias("coverage"))
-    joined = rows.drop("grams").join(found, "row", "left")
+    joined = rows.drop("grams", "ids").join(found, "row", "left")
     every = F.concat("base_labels", F.coalesce("found", F.array().cast("array<string>")))
     listed = [F.array_join(F.sort_array(F.array_distinct(x)), ",") for x in (F.col("base_labels"), every)]
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("coverage", F.lit(0.0)))

@@ -63,3 +63,19 @@ def test_odd_documents(odd_docs, no_docs):
     one = next(r for r in rows if r.doc_id == 1)
     assert (one.n_words, one.n_base, one.first_word, one.last_word, one.base_labels, one.labels, one.score) == (0, 0, None, None, "", "", 0.0)
     assert licenses.scan_licenses(no_docs).collect() == []
+
+
+def test_short_notices_with_one_word_changed_or_put_in(make_docs):
+    docs, want = [], {}
+    for label, text in TEMPLATES:
+        words = brute_words(text)
+        if len(words) > 12:
+            continue
+        for i in range(1, len(words)):
+            for own in (words[:i] + ["zebra"] + words[i + 1 :], words[:i] + ["zebra"] + words[i:]):
+                want[len(docs)] = label
+                docs.append((len(docs), f"walks a while {' '.join(own)} and on"))
+    docs += [(-1, "Licensed under CC BY-SA 3.0"), (-2, "Licensed under CC BY-NC-SA 4.0")]
+    want |= {-1: "cc-by-sa", -2: "cc-by-nc"}
+    rows = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(make_docs(*docs)).collect()}
+    assert [(docs[d], rows[d]) for d in want if want[d] not in rows[d]] == []
