@@ -79,3 +79,9 @@ def test_short_notices_with_one_word_changed_or_put_in(make_docs):
     want |= {-1: "cc-by-sa", -2: "cc-by-nc"}
     rows = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(make_docs(*docs)).collect()}
     assert [(docs[d], rows[d]) for d in want if want[d] not in rows[d]] == []
+
+
+def test_mozilla_notice(make_docs):
+    notice = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    row = licenses.scan_licenses(make_docs((1, f"some code {notice} more code"))).first()
+    assert (row.labels, row.score) == ("mpl-2.0", 1.0)
