@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files
+from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files, whitening
 from supportlens.llm.common import let_workers_import
 
 
@@ -55,7 +55,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_simhash_pivots, op3_cover_tree, op4_license_diagonals, op5_complement_packing, op6_virtual_slots, op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing)}
+def op11_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_gam, op2_simhash_pivots, op3_cover_tree, op4_license_diagonals, op5_complement_packing, op6_virtual_slots,
+        op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing, op11_jacobi_whitening,
+    )
+}
 
 _SPACES = r"[\x20\x09-\x0D]"
 
