@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 
-from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, token_files, whitening
+from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, spelling, token_files, whitening
 from supportlens.llm.common import let_workers_import
 
 
@@ -59,15 +61,23 @@ def op11_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_read(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_simhash_pivots, op3_cover_tree, op4_license_diagonals, op5_complement_packing, op6_virtual_slots,
-        op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing, op11_jacobi_whitening,
+        op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing, op11_jacobi_whitening, op12_spelling_forms,
     )
 }
 
 _SPACES = r"[\x20\x09-\x0D]"
+_UPPER = string.ascii_uppercase
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+#: As many ASCII characters that aren't lower-case letters, without the quote.
+_SINGLE = "".join(c for c in map(chr, range(0x20, 0x7F)) if not c.islower() and c != "'")[: len(_ACCENTED)]
 
 ORACLE = {
     "op3_cover_tree": """
@@ -82,6 +92,41 @@ ORACLE = {
         counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
         SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM least LEFT JOIN counts ON a = vec_id""",
+    "op12_spelling_forms": rf"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                        ORDER BY i) AS steps FROM range(256) t(i)),
+        runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{6,}}')) AS run
+            FROM documents),
+        counted AS (SELECT id, translate(run, '{_UPPER}', '{_UPPER.lower()}') AS run, count(*) AS n FROM runs GROUP BY ALL),
+        bytes AS (SELECT *, hex(encode(id || ':' || run)) AS h FROM counted),
+        summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                       list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                       lambda a, b: xor(a >> 8, steps[1 + (xor(a, b) & 255)]), 4294967295)) AS h
+            FROM bytes, crc),
+        made AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+            FROM summed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        -- One byte a letter, since the distance counts bytes.
+        spelt AS (SELECT *, translate(word, '{_ACCENTED}', '{_SINGLE}') AS s, length(word) AS l FROM words),
+        pairs AS (
+            SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM spelt x JOIN spelt y ON y.l BETWEEN x.l - 1 AND x.l + 1
+            WHERE levenshtein(x.s, y.s) = 1),
+        best AS (
+            SELECT word, n, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS other FROM pairs GROUP BY ALL),
+        near AS (
+            SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * words.n THEN other END AS form,
+                   CASE WHEN most >= 5 * words.n THEN most END AS form_n
+            FROM words LEFT JOIN best USING (word)),
+        ways AS (
+            SELECT word, word AS root, 0 AS step FROM near
+            UNION ALL SELECT w.word, near.form, step + 1 FROM ways w JOIN near ON near.word = w.root WHERE near.form IS NOT NULL),
+        ends AS (SELECT word, arg_max(root, step) AS root FROM ways GROUP BY word)
+        SELECT near.word, form, root, n, n_near, form_n FROM near JOIN ends USING (word)""",
     "op7_exact_dedup": rf"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
