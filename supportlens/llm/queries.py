@@ -6,7 +6,7 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
-from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, spelling, token_files, whitening
+from supportlens.llm import cover_tree, exact_dedup, licenses, mixing, packing, pii, quality_gam, simhash, slots, spelling, token_files, warc, whitening
 from supportlens.llm.common import let_workers_import
 
 
@@ -65,11 +65,16 @@ def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(_read(spark, sf_dir, "documents"))
 
 
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_simhash_pivots, op3_cover_tree, op4_license_diagonals, op5_complement_packing, op6_virtual_slots,
         op7_exact_dedup, op8_pii_field, op9_token_files, op10_mixing, op11_jacobi_whitening, op12_spelling_forms,
+        op13_warc_archives,
     )
 }
 
@@ -127,6 +132,15 @@ ORACLE = {
             UNION ALL SELECT w.word, near.form, step + 1 FROM ways w JOIN near ON near.word = w.root WHERE near.form IS NOT NULL),
         ends AS (SELECT word, arg_max(root, step) AS root FROM ways GROUP BY word)
         SELECT near.word, form, root, n, n_near, form_n FROM near JOIN ends USING (word)""",
+    "op13_warc_archives": """
+        WITH p AS (
+            SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        r AS (
+            SELECT *, payload_bytes >= 1000 AS long, row_number() OVER w AS place, first(page_id) OVER w AS last
+            FROM p WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST))
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN long AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN long AND place > 1 THEN last END AS refers_to
+        FROM r""",
     "op7_exact_dedup": rf"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
