@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from supportlens.llm import quality_gam
-from test_simhash import brute_components, brute_print
+from test_near_copies import brute_kept
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -38,8 +38,7 @@ def test_exact_dedup(stages):
 
 
 def test_near_dedup(stages):
-    roots = brute_components({r.doc_id: brute_print(r.text) for r in stages["exact_dedup"]})
-    assert sorted(r.doc_id for r in stages["near_dedup"]) == sorted(set(roots.values()))
+    assert sorted(r.doc_id for r in stages["near_dedup"]) == brute_kept({r.doc_id: r.text for r in stages["exact_dedup"]})
 
 
 def brute_targets(sizes):
@@ -104,7 +103,14 @@ def test_run(spark, stages):
 def test_odd_documents(spark, odd_docs, no_docs, tmp_path):
     labels = spark.createDataFrame([(1, 1), (4, 1), (7, 1)], "doc_id bigint, quality int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    for docs in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs):
-        for _, stage in corpus_pipeline.STAGES:
+    for docs, some in ((odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), True), (no_docs, False)):
+        before = docs
+        for name, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, str(tmp_path))
-            docs.collect()
+            rows = docs.collect()
+            if name in ("quality", "exact_dedup", "near_dedup"):
+                assert {r.doc_id for r in rows} <= {r.doc_id for r in before.collect()} and docs.columns == before.columns
+            if name in ("exact_dedup", "near_dedup"):
+                assert len(rows) <= before.count() and bool(rows) == bool(before.count())
+            before = docs
+        assert some or not rows
