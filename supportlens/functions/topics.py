@@ -82,12 +82,13 @@ def may_match(folded: Column | str, found: Column | str, keywords: str) -> Colum
     """False only where no part of the rule can match; cheap, so it stands before the pattern."""
     tests = []
     for keyword in keywords.split(","):
-        bare, runs = keyword.strip().lower().replace("_", ""), _runs(keyword)
+        word, runs = keyword.strip().lower(), _runs(keyword)
+        bare, opened = word.replace("_", ""), word.startswith("_") or word.endswith("_")
         if runs:
             tests.append(reduce(and_, [F.array_contains(found, run) for run in runs]))
-        elif bare.isascii() and bare.isalnum():
-            first = " " if keyword.strip().startswith("_") else ""
-            last = " " if not first and keyword.strip().endswith("_") else ""
+        elif opened and bare.isascii() and bare.isalnum():
+            first = " " if word.startswith("_") else ""
+            last = "" if first else " "
             tests.append(F.contains(col(folded), F.lit(first + bare + last)))
         else:
             return F.lit(True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions import text as tx
 from supportlens.functions.sentiment import sentiment_bin
-from supportlens.operators import enrich, reviews, terms
+from supportlens.operators import enrich, reviews, rule_index, terms
 from supportlens.plans.inputs import documents, load, question_versions, tweets, with_inputs
 from supportlens.operators.forum import latest
 
@@ -51,6 +51,35 @@ def _topic_classify_full(spark, sf):
     return docs.select("doc_id", F.array_join("topics", "|").alias("topics"))
 
 
+# Rules made of a part: its number, colour and noun, alone, together, as a phrase, and as the beginning or end of a word.
+PART_RULES = [
+    "sku{p}", "sku{p},{noun}", "sku{p},{colour},{noun}", "_sku{p}", "x{p}_", "_sku{p},{noun}", "x{p}_,{colour}", "sku{p} {colour}",
+    "{colour} {noun},sku{p}", "sku{p},no{p}", "_x{p},_sku{p}", "{noun} sku{p}",
+]
+
+
+def _part_rules(spark, sf):
+    words = F.split("p_name", " ")
+    parts = load(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("p"), words[0].alias("colour"), words[1].alias("noun"), F.concat_ws("-", "p_type", "p_brand").alias("kind")
+    )
+    def made(rule):
+        for name in ("p", "colour", "noun"):
+            rule = F.replace(rule, F.lit("{" + name + "}"), F.col(name))
+        return rule
+    rules = F.transform(F.array(*map(F.lit, PART_RULES)), made)
+    return parts.select(F.posexplode(rules).alias("n", "keywords"), "kind").select(F.concat_ws("-", "kind", "n").alias("topic"), "keywords")
+
+
+def _topic_index(spark, sf):
+    """At least as many as ten rules a part, as rows; each document names a few parts after its text."""
+    n = F.col("doc_id")
+    said = F.concat_ws(" ", F.concat(F.lit("SKU"), n), F.concat(F.lit("sku"), n % 500, F.lit("7 re-x"), n % 300), F.concat(F.lit("yx"), n % 90), F.element_at(F.split("text", " "), 1), F.lit("red bolt"))
+    docs = documents(spark, sf).select("doc_id", F.concat_ws(" ", "text", said).alias("text"))
+    found = rule_index.classify(docs, "text", rule_index.index_rules(_part_rules(spark, sf)), "doc_id")
+    return found.select("doc_id", F.size("topics").alias("n"), F.array_join("topics", "|").alias("topics"))
+
+
 def _topic_counts(spark, sf):
     docs = enrich.classify(documents(spark, sf), "text", RULES)
     found = docs.select("source", F.explode("topics").alias("topic"))
@@ -129,6 +158,7 @@ QUERIES = {
     "keyword_doc_freq": _keywords,
     "topic_classify": _topic_classify,
     "topic_classify_full": _topic_classify_full,
+    "topic_index": _topic_index,
     "topic_counts": _topic_counts,
     "sentiment_bins": _sentiment_bins,
     "language_vote": _language,
@@ -253,6 +283,34 @@ GROUP BY 1, 2"""),
   SELECT doc_id, concat_ws(' ', text, [{quoted([k.replace('_', '').replace(',', ' ') for _, k in _FULL])}][1 + doc_id % {2 * len(_FULL)}])
     AS text FROM documents)""",
     "topic_classify": f"SELECT doc_id, array_to_string({_topics_sql('text')}, '|') AS topics FROM documents",
+    "topic_index": rf"""
+WITH rules AS (
+  SELECT p_type || '-' || p_brand || '-' || n AS topic, list_transform(string_split(replace(replace(replace(
+      [{quoted(PART_RULES)}][n + 1], '{{p}}', CAST(p_partkey AS VARCHAR)), '{{colour}}', split_part(p_name, ' ', 1)),
+      '{{noun}}', split_part(p_name, ' ', 2)), ','), lambda k: trim(k)) AS parts
+  FROM part, range({len(PART_RULES)}) t(n)),
+parts AS (SELECT DISTINCT topic, parts, unnest(parts) AS part FROM rules),
+docs AS (SELECT doc_id, text || ' ' || concat_ws(' ', 'SKU' || doc_id, 'sku' || doc_id % 500 || '7 re-x' || doc_id % 300,
+    'yx' || doc_id % 90, split_part(text, ' ', 1), 'red bolt') AS text FROM documents),
+runs AS (SELECT doc_id, regexp_extract_all(text, '[{_W}]+') AS words, regexp_extract_all(text, '[^{_W}]+') AS gaps,
+    CASE WHEN regexp_matches(text, '^[{_W}]') THEN 0 ELSE 1 END AS lead FROM docs),
+placed AS (SELECT doc_id, words[i] AS word, CASE WHEN length(gaps[i + lead]) = 1 AND regexp_matches(gaps[i + lead], '[ \t\r\n]') THEN words[i] || gaps[i + lead] || words[i + 1] END AS pair
+  FROM runs, range(1, len(words) + 1) t(i)),
+shapes AS (SELECT DISTINCT doc_id, word, lower(word) AS w, 0 AS paired FROM placed
+  UNION ALL SELECT DISTINCT doc_id, pair, regexp_replace(lower(pair), '[ \t\r\n]', ' '), 1 FROM placed WHERE pair IS NOT NULL),
+met AS (
+  SELECT s.doc_id, r.topic, r.parts, s.word, 0 AS opened FROM shapes s JOIN parts r ON r.part = s.w
+  UNION SELECT s.doc_id, r.topic, r.parts, s.word, 1 FROM shapes s JOIN (SELECT * FROM parts WHERE part[1] = '_') r
+    ON paired = 0 AND regexp_extract(s.w, '^(sku[0-9]|x[0-9])') = regexp_extract(r.part, '^_(sku[0-9]|x[0-9])', 1) AND s.w > replace(r.part, '_', '')
+    AND starts_with(s.w, replace(r.part, '_', ''))
+  UNION SELECT s.doc_id, r.topic, r.parts, s.word, 1 FROM (SELECT * FROM shapes WHERE regexp_matches(w, 'x[0-9]+$')) s
+    JOIN (SELECT * FROM parts WHERE right(part, 1) = '_') r
+    ON paired = 0 AND regexp_extract(s.w, 'x[0-9]+$') = replace(r.part, '_', '') AND length(s.w) > length(r.part) - 1),
+counted AS (SELECT doc_id, topic, parts, count(*) FILTER (opened = 1) AS open, count(*) FILTER (opened = 0) AS closed FROM met GROUP BY ALL),
+found AS (SELECT DISTINCT doc_id, topic FROM counted
+  WHERE CASE WHEN len(list_filter(parts, lambda k: contains(k, '_'))) > 0 THEN open + CASE WHEN closed > 0 THEN 1 ELSE 0 END ELSE closed END >= len(parts))
+SELECT doc_id, CAST(count(topic) AS INTEGER) AS n, coalesce(string_agg(topic, '|' ORDER BY topic), '') AS topics
+FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
     "topic_counts": f"""SELECT source, topic, count(*) AS n
 FROM (SELECT source, unnest({_topics_sql('text')}) AS topic FROM documents) GROUP BY 1, 2""",
     "sentiment_bins": f"""SELECT l_orderkey, l_partkey, l_linenumber, {_BIN} AS sentiment
