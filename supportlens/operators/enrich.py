@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens import values
+from supportlens.functions.language import language_by_letters
 from supportlens.functions.sentiment import count_in, lexicon_score, sentiment_bin, words
 from supportlens.functions.text import cap_text, col, strip_tags, title_and_body
 from supportlens.functions.topics import fold, topic_records, topics, words_found
@@ -40,6 +41,11 @@ def detect_language(
     return counted.select(*df.columns, F.inline(F.array(result)))
 
 
+def letters_step(weights: Mapping[str, Sequence[int]]) -> Step:
+    """A language step by letters; `weights` as counted on texts of known language."""
+    return lambda df, text: language_by_letters(df, text, weights)
+
+
 def filter_language(df: DataFrame, lang: str = "en", confidence: float = 0.8, inclusive: bool = True) -> DataFrame:
     """Rows surely in `lang`, without the two helper columns. Tweets count the bound itself, questions do not."""
     sure = F.col("confidence") >= confidence if inclusive else F.col("confidence") > confidence

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from supportlens import values
+from supportlens.functions import language
 from supportlens.functions import text as tx
 from supportlens.functions.sentiment import sentiment_bin
 from supportlens.operators import enrich, reviews, rule_index, terms
@@ -103,6 +104,15 @@ def _language_filter(spark, sf):
     return enrich.filter_language(enrich.detect_language(docs, "text")).drop("text")
 
 
+def _language_letters(spark, sf):
+    """Weights of two thirds of the documents by the checksum of their id, all documents scored by them: whole and by 30 characters."""
+    docs = documents(spark, sf).select("doc_id", "text", "lang", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"))
+    weights = language.language_weights(language.language_table(docs.where("not held_out"), "text", "lang"))
+    whole = language.language_by_letters(docs, "text", weights)
+    both = language.language_by_letters(whole.withColumn("start", F.substring("text", 1, 30)).withColumnsRenamed({"language": "whole", "confidence": "sure"}), "start", weights)
+    return both.select("doc_id", "held_out", "lang", F.col("whole").alias("language"), F.round("sure", 6).alias("confidence"), F.col("language").alias("start_language"))
+
+
 def _lexicon(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     return enrich.score_sentiment(docs, "text", UP, DOWN).drop("text")
@@ -163,6 +173,7 @@ QUERIES = {
     "sentiment_bins": _sentiment_bins,
     "language_vote": _language,
     "language_filter": _language_filter,
+    "language_letters": _language_letters,
     "lexicon_sentiment": _lexicon,
     "enrich_tweets": _enrich_tweets,
     "enrich_questions": _enrich_questions,
@@ -318,6 +329,28 @@ FROM (SELECT *, l_discount * 20 - 1 AS score, l_quantity / 10 AS magnitude FROM
     "language_vote": _language_sql("documents", "doc_id", "text"),
     "language_filter": f"""SELECT doc_id FROM ({_language_sql('documents', 'doc_id', 'text')})
 WHERE language = 'en' AND confidence >= 0.8""",
+    "language_letters": rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS steps
+  FROM range(256) t(i)),
+docs AS (SELECT doc_id, text, lang, xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ord(d)),
+    lambda a, b: xor(a >> 8, steps[1 + (xor(a, b) & 255)]), 4294967295)) % 3 = 1 AS held_out FROM documents, crc),
+texts AS (SELECT doc_id, lang, held_out, 'whole' AS part, text FROM docs UNION ALL SELECT doc_id, lang, held_out, 'start', text[:30] FROM docs),
+letters AS (SELECT doc_id, lang, held_out, part, list_transform(string_split(' ' || regexp_replace(lower(text), '[^\p{{L}}]+', ' ', 'g') || ' ', ''),
+    lambda c: ord(c)) AS l FROM texts WHERE regexp_matches(text, '\p{{L}}')),
+runs AS (SELECT doc_id, lang, held_out, part, ((l[i] * 31 + l[i + 1]) * 31 + l[i + 2]) % {language.BUCKETS} AS bucket
+  FROM letters, range(1, len(l) - 1) t(i)),
+counts AS (SELECT lang, bucket, count(*) AS n FROM runs WHERE NOT held_out AND part = 'whole' GROUP BY 1, 2),
+totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY 1),
+scored AS (SELECT r.doc_id, r.part, t.lang AS guess,
+    CAST(sum(round(1000 * ln((coalesce(c.n, 0) + 1) / (t.total + {language.BUCKETS})))) AS DOUBLE) AS s
+  FROM (SELECT doc_id, part, bucket FROM runs) r CROSS JOIN totals t LEFT JOIN counts c ON c.lang = t.lang AND c.bucket = r.bucket GROUP BY ALL),
+ranked AS (SELECT *, max(s) OVER w AS best, row_number() OVER (PARTITION BY doc_id, part ORDER BY s DESC, guess) AS place FROM scored
+  WINDOW w AS (PARTITION BY doc_id, part)),
+said AS (SELECT doc_id, part, CASE WHEN max(s) - max(s) FILTER (place > 1) < 1000 * {language.MARGIN} THEN 'und' ELSE min(guess) FILTER (place = 1) END AS language,
+    1 / sum(exp((s - best) / 1000)) AS confidence FROM ranked GROUP BY 1, 2)
+SELECT doc_id, held_out, lang, coalesce(w.language, 'und') AS language, round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(s.language, 'und') AS start_language
+FROM docs LEFT JOIN (SELECT * FROM said WHERE part = 'whole') w USING (doc_id) LEFT JOIN (SELECT * FROM said WHERE part = 'start') s USING (doc_id)""",
     "lexicon_sentiment": _lexicon_sql("documents", "doc_id", "text"),
     "enrich_tweets": with_inputs("tweets", f"""
 , voted AS ({_language_sql('tweets', 'id_str', 'full_text')})
