@@ -46,3 +46,6 @@ TEMPLATES = [
 
 #: Phrases and their labels, found wherever their words stand one after the other.
 PHRASES = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
+
+#: Words that name a license, beside those of its label. A notice that has one is found only with it.
+NAMES = ["gnu", "general", "lesser", "affero", "mozilla", "creative", "commons", "attribution", "noncommercial", "sharealike"]

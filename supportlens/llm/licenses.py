@@ -1,10 +1,11 @@
 """License scans by diagonal voting.
 
 All rolling k-grams of a document's words are looked at. Words are numbered by the templates' vocabulary, so that a k-gram's
-number stands for its words exactly; a k-gram with a word that no template holds can't join and goes no further. Spark joins the
-others to their template positions. Hits on one diagonal (word position less template position) are votes for one
+number stands for its words exactly. The scan already drops k-grams that stand in no template, which are nearly all; Spark joins the
+others to all their template positions. Hits on one diagonal (word position less template position) are votes for one
 placing of the template; diagonals a few words apart are one placing with words put in or left out. The words of each placing are then
-aligned with the template's; it is a span if enough of the template's words are matched and the matches are dense in the text.
+aligned with the template's; it is a span if enough of the template's words are matched, the matches are dense in the text, and the
+words that name the license are among them. A span within one that fits better is no license of its own.
 
 Base phrases are found apart and always stay.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supportlens.llm.common import stored
-from supportlens.llm.license_templates import PHRASES, TEMPLATES
+from supportlens.llm.license_templates import NAMES, PHRASES, TEMPLATES
 
 K = 4
 #: Diagonals at most so many words apart are one placing.
@@ -47,7 +48,7 @@ class _Numbers(dict):
 
 
 class Templates:
-    def __init__(self, templates: list[tuple[str, str]], phrases: list[tuple[str, str]], k: int = K):
+    def __init__(self, templates: list[tuple[str, str]], phrases: list[tuple[str, str]], k: int = K, names: list[str] = NAMES):
         self.k = k
         self.labels = [label for label, _ in templates]
         texts = [words(text) for _, text in templates]
@@ -61,6 +62,9 @@ class Templates:
             raise ValueError("too many different words for exact numbers of k-grams")
         self.numbers = _Numbers({w: i + 1 for i, w in enumerate(vocabulary)})
         self.texts = [np.array([self.numbers[w] for w in t], np.int64) for t in texts]
+        # A license's name words: those of its label and of `names`. A notice without them is another license's.
+        told = [set(words(label)) | set(words(" ".join(names))) for label in self.labels]
+        self.needed = [np.unique([self.numbers[w] for w in t if w in own]).astype(np.int64) for t, own in zip(texts, told, strict=True)]
         self.phrases = [(np.array([self.numbers[w] for w in p], np.int64), label) for p, label in spoken]
 
     def grams(self, ids: np.ndarray, k: int) -> np.ndarray:
@@ -83,7 +87,7 @@ class Templates:
 
     def align(self, template: int, ids: np.ndarray, low: int, high: int, coverage: float, density: float) -> tuple[int, int, float] | None:
         """First word, last word and coverage of the template's best placing in the text's words low..high, if one is good enough."""
-        words = self.texts[template]
+        words, needed = self.texts[template], self.needed[template]
         m, low, high = len(words), max(0, low), min(len(ids), high)
         part, best = ids[low:high], None
         n = self.base
@@ -101,13 +105,23 @@ class Templates:
                 ends = np.where(go_on, score[at] + gap, 0) + 1
                 counts, starts = np.where(go_on, count[at], 0) + 1, np.where(go_on, first[at], i)
                 for j, s, c, f in zip((at + 1).tolist(), ends.tolist(), counts.tolist(), starts.tolist(), strict=True):
-                    if c >= coverage * m and c >= density * (i - f + 1) and (best is None or c > best[2]):
+                    fits = c >= coverage * m and c >= density * (i - f + 1) and (best is None or c > best[2])
+                    if fits and np.isin(needed, part[f : i + 1]).all():
                         best = (low + f, low + i, c)
                     end = j + int(np.searchsorted(score[j:], s))  # scores rise along the template
                     score[j:end], count[j:end], first[j:end] = s, c, f
         return best and (best[0], best[1], best[2] / m)
 
 
+    def outermost(self, spans: list[tuple]) -> list[tuple]:
+        """The spans (label, template, first, last, coverage) that lie within no other label's span of as high a coverage and more
+        words of its template, or of higher coverage and as many."""
+        size = lambda s: round(s[4] * len(self.texts[s[1]]))
+        within = lambda s, t: s[0] != t[0] and t[2] <= s[2] and s[3] <= t[3]
+        better = lambda t, s: t[4] >= s[4] and size(t) >= size(s) and (t[4], size(t)) != (s[4], size(s))
+        return [s for s in spans if not any(within(s, t) and better(t, s) for t in spans)]
+
+
 def license_rows(docs: DataFrame, templates: Templates, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, written once: row, doc_id, counts of base phrases, and the k-grams of template words."""
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -177,14 +191,16 @@ def license_spans(rows: DataFrame, templates: Templates, coverage: float = COVER
         for batch in batches:
             at, out = [], []
             for i, (ids, placings) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                ids = ids.values.to_numpy()
+                ids, spans = ids.values.to_numpy(), []
                 for p in placings.as_py():
                     m = len(templates.texts[p["template"]])
                     more = int(m / density) - m + slack  # a span is at most so much longer than its template
                     found = templates.align(p["template"], ids, p["low"] - more, p["high"] + m + more, coverage, density)
                     if found:
-                        at.append(i)
-                        out.append((templates.labels[p["template"]], p["template"], *found))
+                        spans.append((templates.labels[p["template"]], p["template"], *found))
+                best = templates.outermost(spans)
+                at += [i] * len(best)
+                out += best
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64()]
             places = pa.array(at, pa.int64())

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from supportlens.llm import licenses
 from supportlens.llm.license_templates import PHRASES, TEMPLATES
 
@@ -65,20 +67,91 @@ def test_odd_documents(odd_docs, no_docs):
     assert licenses.scan_licenses(no_docs).collect() == []
 
 
-def test_short_notices_with_one_word_changed_or_put_in(make_docs):
-    docs, want = [], {}
-    for label, text in TEMPLATES:
+def labels_of(make_docs, texts):
+    docs = make_docs(*enumerate(texts))
+    return [r.labels for r in sorted(licenses.scan_licenses(docs).collect(), key=lambda r: r.doc_id)]
+
+
+def joined(*labels):
+    return ",".join(sorted({x for label in labels for x in label.split(",") if x}))
+
+
+def test_notices_with_one_word_changed_or_put_in(make_docs):
+    """The exact label set of every short template with each single change: without its name words it is no notice of that license."""
+    made, texts, want = licenses.Templates(TEMPLATES, PHRASES), [], []
+    for t, (label, text) in enumerate(TEMPLATES):
         words = brute_words(text)
-        if len(words) > 12:
+        if len(words) > 16:
+            texts, want = texts + [text], want + [joined(label, brute_base(text)[4])]
             continue
-        for i in range(1, len(words)):
-            for own in (words[:i] + ["zebra"] + words[i + 1 :], words[:i] + ["zebra"] + words[i:]):
-                want[len(docs)] = label
-                docs.append((len(docs), f"walks a while {' '.join(own)} and on"))
-    docs += [(-1, "Licensed under CC BY-SA 3.0"), (-2, "Licensed under CC BY-NC-SA 4.0")]
-    want |= {-1: "cc-by-sa", -2: "cc-by-nc"}
-    rows = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(make_docs(*docs)).collect()}
-    assert [(docs[d], rows[d]) for d in want if want[d] not in rows[d]] == []
+        names = {w for w in words if made.numbers[w.encode()] in made.needed[t]}
+        for i in range(len(words)):
+            for own, lost in ((words[:i] + ["zebra"] + words[i + 1 :], words[i]), (words[:i] + ["zebra"] + words[i:], None)):
+                if lost in names and own.count(lost) == 0:
+                    continue
+                texts.append(f"walks a while {' '.join(own)} and on")
+                want.append(joined(label, brute_base(texts[-1])[4]))
+    assert [x for x in zip(texts, labels_of(make_docs, texts), want) if x[1] != x[2]] == []
+
+
+def test_notices_without_their_name(make_docs):
+    made, texts, lost = licenses.Templates(TEMPLATES, PHRASES), [], []
+    for t, (label, text) in enumerate(TEMPLATES):
+        words = brute_words(text)
+        for name in {w for w in words if made.numbers[w.encode()] in made.needed[t]}:
+            texts.append(" ".join("zebra" if w == name else w for w in words))
+            lost.append(label)
+    got = labels_of(make_docs, texts)
+    assert len(texts) > 30
+    assert [x for x in zip(texts, got, lost) if x[2] in x[1].split(",") and x[2] not in brute_base(x[0])[4].split(",")] == []
+
+
+def test_near_misses(make_docs):
+    """Notices of other licenses and versions, and sentences that only sound like one."""
+    cases = {
+        "licensed under the GNU General Public License, version 3": "gpl",
+        "licensed under the GNU General Public License, version 2": "gpl",
+        "licensed under the GNU Lesser General Public License, version 3": "gpl,lgpl",
+        "licensed under the GNU Affero General Public License, version 3": "agpl,gpl",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 3.0": "cc-by,cc-by-sa",
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc,cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution 3.0 International License": "cc-by",
+        "This work is licensed under a Creative Commons Zero 1.0 International License": "",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "Licensed under the Apache License, Version 1.1": "",
+        "This project is licensed under the Apache License": "",
+        "This project is licensed under the MIT License": "mit",
+        "This software is licensed under the MIT License": "mit",
+        "Released under the BSD License": "",
+        "released under the old license": "",
+        "GNU Software License, Version 1.0": "",
+        "Distributed under the Boost Software License, Version 1.0.": "boost",
+        "licensed under the Mozilla Public License, version 3": "",
+        "All rights reserved. Licensed under CC BY-ND 4.0": "cc-by,cc-by-nd,reserved",
+    }
+    got = labels_of(make_docs, [f"some words before {t} and more after" for t in cases])
+    assert dict(zip(cases, got)) == cases
+
+
+def test_small_table_against_all_placings(spark):
+    """The whole of sf0.01: spans sought at every place of every text, without k-grams, votes and diagonals."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    made = licenses.Templates(TEMPLATES, PHRASES)
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()}
+    marks = {w for t in made.texts for w in t.tolist()}
+    for d in docs.collect():
+        ids = np.array([made.numbers[w] for w in licenses.words(d.text)], np.int64)
+        spans, near = [], np.isin(ids, list(marks))
+        for t, text in enumerate(made.texts):
+            m, step = len(text), 3 * len(text) + 20
+            for low in range(0, len(ids), step // 2):
+                if near[low : low + step].sum() >= 0.75 * m:
+                    found = made.align(t, ids, low, low + step, licenses.COVERAGE, licenses.DENSITY)
+                    spans += [(made.labels[t], t, *found)] if found else []
+        assert got[d.doc_id] == joined(brute_base(d.text)[4], *(s[0] for s in made.outermost(spans))), d.text
 
 
 def test_mozilla_notice(make_docs):
