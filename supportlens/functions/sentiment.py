@@ -43,3 +43,15 @@ def lexicon_score(positive: Column | str, negative: Column | str) -> tuple[Colum
     """(score, magnitude): mean polarity of the polar words, and their number."""
     up, down = col(positive).cast("double"), col(negative).cast("double")
     return F.when(up + down > 0, (up - down) / (up + down)).otherwise(F.lit(0.0)), up + down
+
+
+def sentences(text: Column | str) -> Column:
+    """The runs between full stops, exclamation and question marks and line ends that hold a letter."""
+    return F.filter(F.regexp_extract_all(col(text), F.lit(r"[^.!?\n]+"), F.lit(0)), lambda s: F.rlike(s, F.lit(r"\p{L}")))
+
+
+def with_negation(found: Column | str, negators: Sequence[str], reach: int = values.NEGATION_REACH) -> Column:
+    """(word, negated) of a sentence's words: negated if one of the `reach` words before is a negator."""
+    found, listed = col(found), list(negators)
+    before = lambda i: F.slice(found, F.greatest(i - (reach - 1), F.lit(1)), F.least(i, F.lit(reach)))
+    return F.transform(found, lambda w, i: F.struct(w.alias("word"), F.exists(before(i), lambda x: x.isin(listed)).alias("negated")))

@@ -8,7 +8,7 @@ from supportlens import values
 from supportlens.functions import language
 from supportlens.functions import text as tx
 from supportlens.functions.sentiment import sentiment_bin
-from supportlens.operators import enrich, reviews, rule_index, terms
+from supportlens.operators import enrich, polarity, reviews, rule_index, terms
 from supportlens.plans.inputs import documents, load, question_versions, tweets, with_inputs
 from supportlens.operators.forum import latest
 
@@ -20,6 +20,7 @@ RULES = [
 ]
 KEYWORDS = ["the", "of", "and", "la", "les", "que", "der", "und", "is", "una", "quick heal"]
 UP, DOWN = ["the", "la", "der", "una", "is"], ["of", "les", "und", "que", "and"]
+TURNS = ["on", "to", "et", "las", "das"]
 BRANDS = ("the", "der")
 PRODUCT = "Acme"
 
@@ -118,6 +119,15 @@ def _lexicon(spark, sf):
     return enrich.score_sentiment(docs, "text", UP, DOWN).drop("text")
 
 
+def _polar_words(spark, sf):
+    return polarity.polar_words(documents(spark, sf), "text", UP, DOWN)
+
+
+def _sentence_sentiment(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return polarity.score_sentences(docs, "text", _polar_words(spark, sf), "doc_id", TURNS).drop("text")
+
+
 def _sentiment_step(df, text):
     return enrich.score_sentiment(df, text, UP, DOWN)
 
@@ -175,6 +185,8 @@ QUERIES = {
     "language_filter": _language_filter,
     "language_letters": _language_letters,
     "lexicon_sentiment": _lexicon,
+    "polar_words": _polar_words,
+    "sentence_sentiment": _sentence_sentiment,
     "enrich_tweets": _enrich_tweets,
     "enrich_questions": _enrich_questions,
     "html_strip": _strip,
@@ -273,6 +285,20 @@ def _lexicon_sql(source: str, key: str, text: str) -> str:
       FROM (SELECT {key}, {_words_sql(text)} AS words FROM {source})))"""
 
 
+_SENTENCES = r"""
+WITH said AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, '[^.!?\n]+'), lambda s: regexp_matches(s, '\p{L}'))) AS s,
+    generate_subscripts(list_filter(regexp_extract_all(text, '[^.!?\n]+'), lambda s: regexp_matches(s, '\p{L}')), 1) AS place FROM documents),
+spoken AS (SELECT doc_id, place, regexp_extract_all(lower(s), '\p{L}+') AS words FROM said),
+"""
+_POLAR = f"""flags AS (SELECT list_distinct(words) AS words, CAST(list_has_any(words, [{quoted(UP)}]) AS INT) AS up,
+    CAST(list_has_any(words, [{quoted(DOWN)}]) AS INT) AS down FROM spoken),
+totals AS (SELECT sum(up) AS all_up, sum(down) AS all_down FROM flags),
+counted AS (SELECT word, sum(up) AS up, sum(down) AS down FROM (SELECT unnest(words) AS word, up, down FROM flags WHERE up + down > 0) GROUP BY 1),
+rates AS (SELECT word, up, down, (up + 1) / (all_up + 1) AS a, (down + 1) / (all_down + 1) AS b FROM counted, totals),
+polar AS (SELECT word, CAST(round(1000 * (a - b) / (a + b)) AS INT) AS polarity FROM rates
+    WHERE up + down >= 5 AND word NOT IN ({quoted(UP + DOWN)}) AND abs(round(1000 * (a - b) / (a + b))) >= 200
+  UNION ALL SELECT unnest([{quoted(UP)}]), 1000 UNION ALL SELECT unnest([{quoted(DOWN)}]), -1000)
+"""
 _Q = "title || ' ' || question_content"
 _FULL = values.topic_rules(PRODUCT)
 
@@ -352,6 +378,15 @@ said AS (SELECT doc_id, part, CASE WHEN max(s) - max(s) FILTER (place > 1) < 100
 SELECT doc_id, held_out, lang, coalesce(w.language, 'und') AS language, round(coalesce(w.confidence, 0), 6) AS confidence, coalesce(s.language, 'und') AS start_language
 FROM docs LEFT JOIN (SELECT * FROM said WHERE part = 'whole') w USING (doc_id) LEFT JOIN (SELECT * FROM said WHERE part = 'start') s USING (doc_id)""",
     "lexicon_sentiment": _lexicon_sql("documents", "doc_id", "text"),
+    "polar_words": _SENTENCES + _POLAR + "SELECT word, polarity FROM polar",
+    "sentence_sentiment": _SENTENCES + _POLAR + f"""
+, placed AS (SELECT doc_id, place, words[i] AS word, list_has_any(words[greatest(i - 3, 1) : i - 1], [{quoted(TURNS)}]) AND i > 1 AS negated
+  FROM spoken, range(1, len(words) + 1) t(i)),
+scored AS (SELECT doc_id, place, sum(CASE WHEN negated THEN -polarity ELSE polarity END) / count(*) / 1000 AS s
+  FROM placed JOIN polar USING (word) GROUP BY 1, 2),
+texts AS (SELECT doc_id, round(avg(s), 6) AS score, round(sum(abs(s)), 6) AS magnitude FROM scored GROUP BY 1)
+SELECT doc_id, score, magnitude, {_BIN} AS discrete_sentiment
+FROM (SELECT doc_id, coalesce(score, 0) AS score, coalesce(magnitude, 0) AS magnitude FROM documents LEFT JOIN texts USING (doc_id))""",
     "enrich_tweets": with_inputs("tweets", f"""
 , voted AS ({_language_sql('tweets', 'id_str', 'full_text')})
 , scored AS ({_lexicon_sql('tweets', 'id_str', 'full_text')})

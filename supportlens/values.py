@@ -57,6 +57,9 @@ SENTIMENT_TEXT_LIMIT = 5000
 # Sentiment bins.
 SCORE_CUTOFF = 0.2
 MAGNITUDE_CUTOFF = 0.5
+# Words that turn the polarity of the words after them, and how far.
+NEGATORS = "no not never nor neither without cannot hardly nobody nothing".split()
+NEGATION_REACH = 3
 NEGATIVE, NEUTRAL, POSITIVE = "negativ", "neutral", "positive"
 
 # How long an answer may take, what the release calendar spans.
