@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from supportlens.functions.sentiment import sentiment_bin
 from supportlens.functions.time import survey_text_to_utc
-from supportlens.operators import measures, releases, survey, trends, web
+from supportlens.operators import measures, releases, sessions, survey, trends, web
 from supportlens.operators.incremental import scan_submitted
 from supportlens.plans.inputs import SITE, hits, listed_urls, load, with_inputs
 from supportlens.sources.readers import REPORT, SURVEY_PAGE, parse_pages, word_list
@@ -46,6 +46,32 @@ def _countries(spark, sf):
     return web.users_by_country(hits(spark, sf, countries=True))
 
 
+GAP = 240
+CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 12), datetime(2024, 1, 22)]
+
+
+def _sessions(spark, sf):
+    return sessions.sessions(hits(spark, sf))
+
+
+def _sessions_by_load(spark, sf):
+    """The hits in four loads, each with the sessions that the last one left open."""
+    rows, parts, open_, low = hits(spark, sf), [], None, None
+    for high in [*CUTS, None]:
+        part = rows.where(F.lit(True) if low is None else F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
+        part = part if high is None else part.where(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+        closed, open_ = sessions.load_part(part, open_, high or datetime(2100, 1, 1), GAP)
+        parts, low = [*parts, closed], high
+    done = parts[0]
+    for part in [*parts[1:], open_]:
+        done = done.unionByName(part)
+    return sessions.told(done)
+
+
+def _segments_sessions(spark, sf):
+    return web.traffic_segments(sessions.with_sessions(hits(spark, sf), gap=GAP))
+
+
 def _segments(spark, sf):
     return web.traffic_segments(hits(spark, sf))
 
@@ -212,6 +238,9 @@ def _weekly_satisfaction(spark, sf):
 
 
 QUERIES = {
+    "sessions": _sessions,
+    "sessions_by_load": _sessions_by_load,
+    "ga_segment_users_sessions": _segments_sessions,
     "ga_total_users": _total_users,
     "ga_kb_users": _kb_users,
     "ga_listed_users": _listed_users,
@@ -293,7 +322,25 @@ def _shares_sql(source: str, day: str, category: str) -> str:
   SELECT CAST(date_trunc('week', {day}) AS DATE) AS week, {category}, count(*) AS n FROM {source} GROUP BY 1, 2)"""
 
 
+def _sessions_sql(gap: int) -> str:
+    return f"""
+, begun AS (SELECT *, coalesce(ts > lag(ts) OVER w + INTERVAL {gap} MINUTE, true) AS begins FROM hits WINDOW w AS (PARTITION BY user_id ORDER BY ts, hit_id)),
+of_session AS (SELECT * EXCLUDE (session_id), max(CASE WHEN begins THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, hit_id) AS started FROM begun)
+"""
+
+
+_SESSION_ROWS = """SELECT user_id, started, max(ts) AS ended, count(*) AS hits, arg_min(page_path, (ts, hit_id)) AS first_page,
+  arg_max(page_path, (ts, hit_id)) AS last_page FROM of_session GROUP BY 1, 2"""
+
 ORACLE = {
+    "sessions": with_inputs("hits", _sessions_sql(30) + _SESSION_ROWS),
+    "sessions_by_load": with_inputs("hits", _sessions_sql(GAP) + _SESSION_ROWS),
+    "ga_segment_users_sessions": with_inputs("hits", _sessions_sql(GAP) + """
+, marked AS (SELECT *, user_id || '#' || started AS session_id FROM of_session),
+said AS (SELECT ga_date, session_id, unnest(list_filter([CASE WHEN bool_or(source = 'InProduct') THEN 'In-product' END,
+    CASE WHEN bool_or(medium = 'organic') THEN 'Organic' END], lambda x: x IS NOT NULL)) AS ga_segment FROM marked GROUP BY 1, 2)
+SELECT ga_date, ga_segment, count(DISTINCT user_id) AS ga_users, count(DISTINCT session_id) AS ga_sessions
+FROM marked JOIN said USING (ga_date, session_id) GROUP BY 1, 2"""),
     "ga_total_users": with_inputs("hits", _users_sql("true")),
     "ga_kb_users": with_inputs("hits", _users_sql(_KB)),
     "ga_listed_users": with_inputs("hits", _users_sql(_LISTED)),
