@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from supportlens.functions.sentiment import sentiment_bin
 from supportlens.functions.time import survey_text_to_utc
-from supportlens.operators import measures, releases, sessions, survey, trends, web
+from supportlens.operators import measures, releases, rollups, sessions, survey, trends, web
 from supportlens.operators.incremental import scan_submitted
 from supportlens.plans.inputs import SITE, hits, listed_urls, load, with_inputs
 from supportlens.sources.readers import REPORT, SURVEY_PAGE, parse_pages, word_list
+from supportlens.sources.sinks import staging
 
 WEEK_END = date(2024, 2, 5)
 CLAUSES = [("REGEXP", ".*/kb/.*TOPIC-1"), ("PARTIAL", "/kb/topic-25"), ("EXACT", "/en-us/kb/topic-7")]
@@ -68,6 +69,22 @@ def _sessions_by_load(spark, sf):
     return sessions.told(done)
 
 
+def _users_over(period):
+    """Users by country from the stored daily rollup of two loads, the second with new users."""
+
+    def query(spark, sf):
+        rows = hits(spark, sf, countries=True)
+        cut = F.lit(CUTS[0]).cast("timestamp_ntz")
+        loads, codes, path = [rows.where(F.col("ts") < cut), rows.where(F.col("ts") >= cut)], None, staging(spark, "rollup")
+        for n, load_ in enumerate(loads):
+            rollups.new_codes(load_, codes).write.mode("append").parquet(f"{path}/codes/load={n}")
+            codes = spark.read.parquet(f"{path}/codes").drop("load")
+            rollups.daily_users(load_, codes, ["country"]).write.parquet(f"{path}/days/load={n}")
+        return rollups.users_over(spark.read.parquet(f"{path}/days"), F.to_date(F.date_trunc(period, "day")), ["country"])
+
+    return query
+
+
 def _segments_sessions(spark, sf):
     return web.traffic_segments(sessions.with_sessions(hits(spark, sf), gap=GAP))
 
@@ -241,6 +258,8 @@ QUERIES = {
     "sessions": _sessions,
     "sessions_by_load": _sessions_by_load,
     "ga_segment_users_sessions": _segments_sessions,
+    "users_by_week": _users_over("week"),
+    "users_by_month": _users_over("month"),
     "ga_total_users": _total_users,
     "ga_kb_users": _kb_users,
     "ga_listed_users": _listed_users,
@@ -335,6 +354,8 @@ _SESSION_ROWS = """SELECT user_id, started, max(ts) AS ended, count(*) AS hits,
 ORACLE = {
     "sessions": with_inputs("hits", _sessions_sql(30) + _SESSION_ROWS),
     "sessions_by_load": with_inputs("hits", _sessions_sql(GAP) + _SESSION_ROWS),
+    **{f"users_by_{period}": with_inputs("hits", f"""SELECT CAST(date_trunc('{period}', ts) AS DATE) AS period, country,
+  count(DISTINCT user_id) AS users, CAST(count(*) AS BIGINT) AS hits FROM hits GROUP BY 1, 2""") for period in ("week", "month")},
     "ga_segment_users_sessions": with_inputs("hits", _sessions_sql(GAP) + """
 , marked AS (SELECT *, user_id || '#' || started AS session_id FROM of_session),
 said AS (SELECT ga_date, session_id, unnest(list_filter([CASE WHEN bool_or(source = 'InProduct') THEN 'In-product' END,
