@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 from supportlens.operators import forum, social
 from supportlens.plans.inputs import answer_versions, load, question_versions, tweets, with_inputs
 from supportlens.sources.readers import ANSWER_PAGE, QUESTION_PAGE, TWEET, parse_pages
+from supportlens.sources.sinks import staging
+from supportlens.streaming.latest import merge_all
 
 
 def _latest_question(spark, sf):
     return forum.latest(question_versions(spark, sf), "question_id")
 
 
+def _kept_question(spark, sf):
+    """The same from batches: the second versions first, then the undated first ones with a part again, then the last ones."""
+    raw, v = question_versions(spark, sf), F.substring("question_content", -1, 1)
+    batches = [raw.where(v == "1"), raw.where((v == "0") | ((v == "1") & (F.col("question_id") % 3 == 0))), raw.where(v == "2")]
+    return merge_all(batches, staging(spark, "kept"), "question_id", buckets=16)
+
+
 def _latest_answer(spark, sf):
     return forum.latest(answer_versions(spark, sf), "answer_id")
 
@@ -99,6 +108,7 @@ def _reply_first(spark, sf):
 
 QUERIES = {
     "latest_question": _latest_question,
+    "latest_question_kept": _kept_question,
     "latest_answer": _latest_answer,
     "question_first_response": _first_response,
     "over_24h_response": _over_deadline,
@@ -116,6 +126,7 @@ _LF = r"chr(10), '\n'"
 
 ORACLE = {
     "latest_question": with_inputs("questions", "SELECT * FROM questions"),
+    "latest_question_kept": with_inputs("questions", "SELECT * FROM questions"),
     "latest_answer": with_inputs("answers", "SELECT * FROM answers"),
     "question_first_response": with_inputs("questions answers first_responses", "SELECT * FROM first_responses"),
     "over_24h_response": with_inputs("questions answers first_responses", """SELECT * FROM questions
