@@ -52,8 +52,10 @@ def score_sentences(df: DataFrame, text: Column | str, polarity: DataFrame, key:
     spoken = df.select(F.col(key).alias("_key"), F.posexplode(sentences(text)).alias("_at", "_s"))
     said = spoken.select("_key", "_at", F.explode(with_negation(words("_s"), negators)).alias("_w")).select("_key", "_at", "_w.*")
     signed = F.when(F.col("negated"), -F.col("polarity")).otherwise(F.col("polarity"))
-    by_sentence = said.join(polarity, "word").groupBy("_key", "_at").agg((F.sum(signed) / F.count(F.lit(1)) / 1000.0).alias("_score"))
-    by_text = by_sentence.groupBy("_key").agg(F.round(F.avg("_score"), 6).alias("score"), F.round(F.sum(F.abs("_score")), 6).alias("magnitude"))
+    # Whole millionths, rounded to the next one, so that sums don't hang on their order.
+    mean = lambda total: F.floor((2 * total + F.count(F.lit(1))) / (2 * F.count(F.lit(1))))
+    by_sentence = said.join(polarity, "word").groupBy("_key", "_at").agg(mean(1000 * F.sum(signed)).alias("_score"))
+    by_text = by_sentence.groupBy("_key").agg((mean(F.sum("_score")) / 1e6).alias("score"), (F.sum(F.abs("_score")) / 1e6).alias("magnitude"))
     scored = df.join(by_text.withColumnRenamed("_key", key), key, "left").fillna(0.0, ["score", "magnitude"])
     return scored.select(*df.columns, "score", "magnitude", sentiment_bin("score", "magnitude").alias("discrete_sentiment"))
 

@@ -382,9 +382,9 @@ FROM docs LEFT JOIN (SELECT * FROM said WHERE part = 'whole') w USING (doc_id) L
     "sentence_sentiment": _SENTENCES + _POLAR + f"""
 , placed AS (SELECT doc_id, place, words[i] AS word, list_has_any(words[greatest(i - 3, 1) : i - 1], [{quoted(TURNS)}]) AND i > 1 AS negated
   FROM spoken, range(1, len(words) + 1) t(i)),
-scored AS (SELECT doc_id, place, sum(CASE WHEN negated THEN -polarity ELSE polarity END) / count(*) / 1000 AS s
+scored AS (SELECT doc_id, place, floor((2000 * sum(CASE WHEN negated THEN -polarity ELSE polarity END) + count(*)) / (2 * count(*))) AS s
   FROM placed JOIN polar USING (word) GROUP BY 1, 2),
-texts AS (SELECT doc_id, round(avg(s), 6) AS score, round(sum(abs(s)), 6) AS magnitude FROM scored GROUP BY 1)
+texts AS (SELECT doc_id, floor((2 * sum(s) + count(*)) / (2 * count(*))) / 1e6 AS score, sum(abs(s)) / 1e6 AS magnitude FROM scored GROUP BY 1)
 SELECT doc_id, score, magnitude, {_BIN} AS discrete_sentiment
 FROM (SELECT doc_id, coalesce(score, 0) AS score, coalesce(magnitude, 0) AS magnitude FROM documents LEFT JOIN texts USING (doc_id))""",
     "enrich_tweets": with_inputs("tweets", f"""
