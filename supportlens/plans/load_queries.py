@@ -180,7 +180,27 @@ def _conform_compat(spark, sf):
     return mirror.conform(thread, "forums_thread", compat=True)
 
 
+PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+def _bucket():
+    return (F.col("p_partkey") % 64).alias("bucket")
+
+
+def _part_fingerprints(spark, sf):
+    return tables.fingerprints(load(spark, sf, "part"), PART_COLUMNS, [_bucket()])
+
+
+def _part_changes(spark, sf):
+    """Buckets that differ once some parts have another size, two are repeated and a bucket is gone."""
+    parts = load(spark, sf, "part").select(*PART_COLUMNS)
+    size = F.when(F.col("p_partkey") % 64 == 9, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    later = parts.withColumn("p_size", size).where(F.col("p_partkey") % 64 != 20).unionAll(parts.where("p_partkey in (3, 70)"))
+    sides = [tables.fingerprints(side, PART_COLUMNS, [_bucket()]) for side in (parts, later)]
+    return tables.changed_parts(*sides)
+
+
 QUERIES = {
+    "part_fingerprints": _part_fingerprints,
+    "part_changes": _part_changes,
     "safe_cast": _safe_cast,
     "pacific_to_utc": _pacific,
     "utc_to_pacific_day": _pacific_day,
@@ -212,7 +232,16 @@ _PACIFIC = "AT TIME ZONE 'America/Los_Angeles' AT TIME ZONE 'UTC'"
 _RANGE = "ts > TIMESTAMP '2024-01-05 10:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'"
 _ENDS = r"replace(replace(replace(text, '. ', '.' || chr(13) || chr(10)), chr(10), '\n'), chr(13), '\n')"
 
+def _row_sql(columns) -> str:
+    return " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
 ORACLE = {
+    "part_fingerprints": f"""WITH hashed AS (SELECT p_partkey % 64 AS bucket, md5({_row_sql(PART_COLUMNS)}) AS h FROM part)
+SELECT bucket, count(*) AS n, CAST(sum(CAST('0x' || h[1:15] AS HUGEINT)) AS VARCHAR) AS total, bit_xor(CAST('0x' || h[17:31] AS BIGINT)) AS mixed
+FROM hashed GROUP BY 1""",
+    "part_changes": """SELECT DISTINCT p_partkey % 64 AS bucket, p_partkey % 64 <> 20 AS kept FROM part
+WHERE p_partkey % 64 IN (9, 20) OR p_partkey IN (3, 70)""",
     "safe_cast": f"""WITH {_RAW} SELECT event_id,
   CASE WHEN regexp_matches(raw, '^\\s*[0-9]+\\s*$') THEN CAST(trim(raw) AS BIGINT) END AS int_value,
   coalesce(raw, 'None') AS text_compat, coalesce(raw <> '', false) AS flag_compat, CAST(flag AS BIGINT) AS flag_int
