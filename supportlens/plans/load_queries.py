@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from supportlens.functions import time as tm
 from supportlens.functions.cast import safe_cast
-from supportlens.operators import incremental, mirror, tables
+from supportlens.operators import incremental, ledger, mirror, tables
 from supportlens.plans.inputs import documents, load, tweets, with_inputs
 
 
@@ -180,6 +180,20 @@ def _conform_compat(spark, sf):
     return mirror.conform(thread, "forums_thread", compat=True)
 
 
+def _ranges(spark, sf):
+    """Ranges of days by customer: from each order on, for up to 60 days, some of them empty."""
+    low = F.to_date("o_orderdate")
+    return load(spark, sf, "orders").select("o_custkey", low.alias("low"), F.date_add(low, (F.col("o_orderkey") % 61).cast("int")).alias("high"))
+
+
+def _merged_ranges(spark, sf):
+    return ledger.merged_ranges(_ranges(spark, sf), ["o_custkey"])
+
+
+def _missing_ranges(spark, sf):
+    return ledger.missing_ranges(_ranges(spark, sf), ["o_custkey"])
+
+
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
 def _bucket():
     return (F.col("p_partkey") % 64).alias("bucket")
@@ -199,6 +213,8 @@ def _part_changes(spark, sf):
 
 
 QUERIES = {
+    "loaded_ranges": _merged_ranges,
+    "missing_ranges": _missing_ranges,
     "part_fingerprints": _part_fingerprints,
     "part_changes": _part_changes,
     "safe_cast": _safe_cast,
@@ -236,7 +252,15 @@ def _row_sql(columns) -> str:
     return " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
 
 
+_RANGES = """WITH days AS (SELECT DISTINCT o_custkey, unnest(range(CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 61 AS INT), INTERVAL 1 DAY)) AS day FROM orders),
+islands AS (SELECT o_custkey, day, day - CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY day) AS INT) * INTERVAL 1 DAY AS island FROM days),
+ranges AS (SELECT o_custkey, CAST(min(day) AS DATE) AS low, CAST(max(day) AS DATE) + 1 AS high FROM islands GROUP BY o_custkey, island)
+"""
+
 ORACLE = {
+    "loaded_ranges": _RANGES + "SELECT * FROM ranges",
+    "missing_ranges": _RANGES + """SELECT * FROM (
+  SELECT o_custkey, high AS low, lead(low) OVER (PARTITION BY o_custkey ORDER BY low) AS high FROM ranges) WHERE high IS NOT NULL""",
     "part_fingerprints": f"""WITH hashed AS (SELECT p_partkey % 64 AS bucket, md5({_row_sql(PART_COLUMNS)}) AS h FROM part)
 SELECT bucket, count(*) AS n, CAST(sum(CAST('0x' || h[1:15] AS HUGEINT)) AS VARCHAR) AS total, bit_xor(CAST('0x' || h[17:31] AS BIGINT)) AS mixed
 FROM hashed GROUP BY 1""",
