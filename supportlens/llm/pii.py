@@ -1,19 +1,25 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Patterns give the base spans, which always stay. The field labels the words that hold a digit or an @ (no other word can be a
-span) with a kind or none. Neighbouring words share potentials, and so do distant words of the same digits or letters: loopy
-message passing then gives repeated mentions one label, so that a number or address whose other mention was found
-is found where its form alone would not tell.
+span) with a kind or none. Neighbouring words share potentials. So do the repeated and similar mentions of a document: words of the
+same digits or letters, numbers that differ in one digit, and numbers of one ending behind other prefixes. All mentions of a group hang
+on one shared node, and loopy message passing gives them one label, so that a number or address whose other mention was found is
+found where its form alone would not tell.
+
+The patterns are a one-sided teacher: what they find is personal data, but they miss some (a phone number with a card number behind
+it matches as one run of too many digits). So words that no pattern took but that look like a kind (`doubt`) teach nothing, neither
+as features nor in pairs; what has the form of no kind, or fails a kind's check sum, is taken for none.
 
 One pass over the texts makes a compact table of words; training and labelling read that table only. The weights come from all
 documents: the words' features by logistic regression on the base labels, the pair potentials from the counts of label pairs
-(piecewise training).
+(piecewise training): of neighbours, and of the mentions of one key in any documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +34,14 @@ from supportlens.llm.common import stored
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 CHAIN, SKIP = 0, 1
-#: Different combinations of word features and labels that training uses, the most frequent first: bounds the driver's memory.
+#: Training uses at most this many different combinations of word features and label, sampled by hash; bounds the driver's memory.
 TRAIN_SHAPES = 50_000
 #: A word is labelled if its probability is at least this.
 SURE = 0.9
-ROUNDS, DAMPING = 15, 0.3
+#: Messages move by STEP of their way; after SETTLE rounds the step shrinks by SHRINK a round, so that every document comes to rest.
+STEP, SETTLE, SHRINK, REST = 0.7, 50, 0.9, 1e-4
+#: Score of a label that a pattern gives.
+GIVEN = 30.0
 
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -128,34 +137,88 @@ SHAPES = 34
 BITS = SHAPES + 5
 
 
-def _key(word: str) -> int:
-    """Equal for words of the same digits (five and more) or else the same letters and digits; 0 for short words."""
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1
+
+
+def _core(word: str) -> str:
+    """Equal for words of the same digits (five and more) or else the same letters and digits; empty for short words."""
     digits = _digits(word)
     core = digits if len(digits) >= 5 and 2 * len(digits) > len(word) else "".join(filter(str.isalnum, word)).lower()
-    return xxhash.xxh64_intdigest(core.encode("utf-8", "surrogatepass")) >> 1 | 1 if len(core) >= 5 else 0
+    return core if len(core) >= 5 else ""
+
+
+def groups(cores: list[str]) -> list[int]:
+    """For each word the number of its group of repeated or similar mentions, that of the group's first word; -1 for words alone.
+
+    Similar are equal cores, numbers of 7 to 15 digits that end in the same seven, and numbers of 7 to 19 digits that differ in one. One
+    kind of likeness is looked at after the other, so that memory is a few entries a word.
+    """
+    top = list(range(len(cores)))
+
+    def find(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    def join(items: Iterator[tuple[str, int]]) -> None:
+        first: dict[str, int] = {}
+        for key, i in items:
+            a, b = find(first.setdefault(key, i)), find(i)
+            top[max(a, b)] = min(a, b)
+
+    join((c, i) for i, c in enumerate(cores) if c)
+    numbers = [(c, i) for c, i in {c: i for i, c in reversed(list(enumerate(cores)))}.items() if 7 <= len(c) <= 19 and c.isdecimal()]
+    join((c[-7:], i) for c, i in numbers if len(c) <= 15)
+    for at in range(max((len(c) for c, _ in numbers), default=0)):
+        join((f"{c[:at]}*{c[at + 1 :]}", i) for c, i in numbers if at < len(c))
+    roots = [find(i) for i in range(len(cores))]
+    size = Counter(roots)
+    return [r if size[r] > 1 else -1 for r in roots]
+
+
+def _doubtful(mask: int, phone: bool) -> bool:
+    """Whether a word looks like a kind: an address, four numbers of an IP address, 12 to 19 digits that pass Luhn; or, by its run, a phone."""
+    return bool(mask & (1 << 17 | 1 << 30 | 1 << 31)) or phone
 
 
 def word_nodes(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The marked words: place, feature bits, base label, key, and whether they follow the marked word before directly."""
+    """The marked words: place, feature bits, base label, doubt, key, group, digits, and whether they follow the marked word before
+    directly."""
     words = marked_words(text)
-    shapes = [_shape(text[a : min(b, a + 200)]) for a, b in words]
-    adjacent = [False] + [text[a[1] : b[0]].strip(" ()-.,\n\t") == "" and b[0] - a[1] <= 4 for a, b in zip(words, words[1:])]
-    nodes, s = [], 0
+    shapes = [_shape(text[a:b]) for a, b in words]
+    adjacent = [False] + [b[0] - a[1] <= 4 and text[a[1] : b[0]].strip(" ()-.,\n\t") == "" for a, b in zip(words, words[1:])]
+    cores = [_core(text[a:b]) for a, b in words]
+    digits = [len(_digits(text[a:b])) for a, b in words]
+    group = groups(cores)
+    by_kind = [[x for x in spans if x[1] == k] for k in range(len(KINDS))]
+    at = [0] * len(KINDS)
+    nodes, dialled = [], False
     for i, (start, end) in enumerate(words):
-        while s < len(spans) and spans[s][2] <= start and all(x[2] <= start for x in spans[s : s + 4]):
-            s += 1
-        label = next((k + 1 for a, k, b in spans[s : s + 8] if a < end and b > start), 0)
+        over = []
+        for k, own in enumerate(by_kind):  # spans of one kind don't overlap
+            while at[k] < len(own) and own[at[k]][2] <= start:
+                at[k] += 1
+            if at[k] < len(own) and own[at[k]][0] < end:
+                over.append(own[at[k]])
+        label = min(over)[1] + 1 if over else 0
         before, after = adjacent[i], i + 1 < len(words) and adjacent[i + 1]
         bits = (before, after, before and text[words[i - 1][0]] == "+", before and ")" in text[words[i - 1][0] : words[i - 1][1] + 1],
                 after and "-" in text[words[i + 1][0] : words[i + 1][1]])
         mask = shapes[i] | sum(1 << (SHAPES + j) for j, b in enumerate(bits) if b)
-        nodes.append({"start": start, "end": end, "mask": mask, "label": label, "key": _key(text[start:end]), "adjacent": before})
+        bare = bool(shapes[i] >> 12 & 1)
+        dialled = bare and (text[start] in "+(" or (before and dialled))  # a run of numbers that began with + or a bracket
+        doubt = not label and _doubtful(shapes[i], bare and (7 <= digits[i] <= 11 or dialled))
+        nodes.append({"start": start, "end": end, "mask": mask, "label": label, "doubt": doubt, "key": _hash(cores[i]) if cores[i] else 0,
+                      "group": group[i], "digits": digits[i], "adjacent": before})
     return nodes
 
 
-_NODE = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("mask", pa.int64()), ("label", pa.int32()), ("key", pa.int64()), ("adjacent", pa.bool_())])
+_NODE = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("mask", pa.int64()), ("label", pa.int32()), ("doubt", pa.bool_()), ("key", pa.int64()),
+                   ("group", pa.int64()), ("digits", pa.int64()), ("adjacent", pa.bool_())])
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_NODES = "array<struct<start:bigint,end:bigint,mask:bigint,label:int,key:bigint,adjacent:boolean>>"
+_NODES = "array<struct<start:bigint,end:bigint,mask:bigint,label:int,doubt:boolean,key:bigint,group:bigint,digits:bigint,adjacent:boolean>>"
 
 
 def pii_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,45 +239,55 @@ def pii_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return stored(text.mapInArrow(scan, f"doc_id {kind}, spans array<struct<start:bigint,kind:int,end:bigint>>, nodes {_NODES}"), "pii-rows")
 
 
-def edges(key: np.ndarray, adjacent: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """from, to and type of the edges among words in order: neighbours, and each mention of a key with the next one in its
-    document, so that any number of mentions needs as many edges."""
+def edges(group: np.ndarray, adjacent: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """from, to and type of the edges among words in order, and the documents of the shared nodes, which are numbered behind the
+    words: neighbours, and each mention with its group's shared node, so that any number of mentions needs as many edges."""
     chain = np.flatnonzero(adjacent)
-    known = np.flatnonzero(key)
-    order = known[np.lexsort((known, key[known], doc[known]))]
-    same = (key[order[1:]] == key[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
-    left, right = order[:-1][same], order[1:][same]
-    apart = ~(adjacent[right] & (right == left + 1))
-    left, right = left[apart], right[apart]
-    types = np.concatenate([np.full(len(chain), CHAIN), np.full(len(left), SKIP)])
-    return np.concatenate([chain - 1, left]), np.concatenate([chain, right]), types
+    known = np.flatnonzero(group >= 0)
+    shared, number = np.unique(np.stack([doc[known], group[known]]), axis=1, return_inverse=True)
+    types = np.concatenate([np.full(len(chain), CHAIN), np.full(len(known), SKIP)])
+    left, right = np.concatenate([chain - 1, known]), np.concatenate([chain, len(doc) + number.reshape(-1)])
+    return left, right, types, shared[0]
 
 
 @dataclass
 class Field:
-    """weights: a row of label scores for each feature bit, the last one for any word. pairs: potentials by edge type."""
+    """weights: a row of label scores for each feature bit, the last one for any word. pairs: potentials by edge type. prior: label
+    scores of shared nodes."""
 
     weights: np.ndarray
     pairs: np.ndarray
-
-    def marginals(self, mask: np.ndarray, left: np.ndarray, right: np.ndarray, types: np.ndarray) -> np.ndarray:
-        """Label probabilities of each word after loopy message passing; exact where the edges form no loop."""
-        own = _bits(mask) @ self.weights
+    prior: np.ndarray
+
+    def marginals(self, mask: np.ndarray, known: np.ndarray, left: np.ndarray, right: np.ndarray, types: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Label probabilities of each word after loopy message passing; exact where the edges form no loop. doc: the document of each
+        word and shared node. known: labels of the words that patterns took, which are given, or 0. A document's messages stop when they
+        are at rest, whatever other documents do."""
+        own = np.concatenate([_bits(mask) @ self.weights, np.tile(self.prior, (len(doc) - len(mask), 1))])
+        given = np.flatnonzero(known)
+        own[given] = GIVEN * np.eye(len(LABELS))[known[given]]
         n_edges = len(left)
         src, dst = np.concatenate([left, right]), np.concatenate([right, left])
         potential = np.concatenate([self.pairs[types], self.pairs[types].transpose(0, 2, 1)])
-        back = np.concatenate([np.arange(n_edges) + n_edges, np.arange(n_edges)])
         messages = np.zeros((2 * n_edges, len(LABELS)))
-        for _ in range(ROUNDS if n_edges else 0):
-            belief = own.copy()
-            np.add.at(belief, dst, messages)
-            out = _log_sum(potential + (belief[src] - messages[back])[:, :, None], 1)
+        live, step, rounds = np.arange(n_edges), STEP, 0
+        while len(live):
+            both = np.concatenate([live, live + n_edges])
+            back = np.concatenate([live + n_edges, live])
+            nodes, place = np.unique(dst[both], return_inverse=True)
+            belief = own[nodes]
+            np.add.at(belief, place, messages[both])
+            came = belief[np.searchsorted(nodes, src[both])] - messages[back]
+            out = _log_sum(potential[both] + came[:, :, None], 1)
             out -= _log_sum(out, 1)[:, None]
-            change = np.abs(out - messages).max()
-            messages = DAMPING * messages + (1 - DAMPING) * out
-            if change < 1e-4:
-                break
+            moved = np.zeros(int(doc.max()) + 1)
+            np.maximum.at(moved, doc[src[both]], step * np.abs(out - messages[both]).max(axis=1))
+            messages[both] += step * (out - messages[both])
+            live = live[moved[doc[src[live]]] >= REST]
+            rounds += 1
+            step *= SHRINK if rounds > SETTLE else 1
         np.add.at(own, dst, messages)
+        own = own[: len(mask)]
         return np.exp(own - _log_sum(own, 1)[:, None])
 
 
@@ -244,11 +317,15 @@ def fit(shapes: list[tuple[int, int, int]], pairs: np.ndarray, steps: int = 400)
             grad = x.T @ ((p - y) * share[:, None]) + 1e-5 * weights
             pace += grad**2
             weights -= 0.5 * grad / np.sqrt(pace + 1e-10)
-    both = pairs + pairs.transpose(0, 2, 1) + 0.5
-    both[SKIP] += 4.0 * np.eye(len(LABELS))  # repeated mentions agree unless the documents say otherwise
-    joint = both / both.sum(axis=(1, 2), keepdims=True)
-    alone = joint.sum(axis=2)
-    return Field(weights, np.clip(np.log(joint / (alone[:, :, None] * alone[:, None, :])), -4, 4))
+    both = pairs + pairs.transpose(0, 2, 1)
+    chain = (both[CHAIN] + 0.5) / (both[CHAIN] + 0.5).sum()
+    alone = chain.sum(axis=1)
+    # mentions agree at one rate for all labels, which few pairs tell: a mention takes the other's label or else any
+    share = (both[SKIP] + 0.1).sum(axis=1) / (both[SKIP] + 0.1).sum()
+    same, by_chance = (np.trace(both[SKIP]) + 0.5) / (both[SKIP].sum() + 1), (share**2).sum()
+    rate = max(0.0, (same - by_chance) / (1 - by_chance))
+    skip = np.log(rate * np.diag(1 / share) + 1 - rate)
+    return Field(weights, np.stack([np.log(chain / (alone[:, None] * alone[None, :])), skip]), np.log(share))
 
 
 def _flat(batch_nodes: pa.ListArray) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -261,22 +338,32 @@ def _flat(batch_nodes: pa.ListArray) -> tuple[dict[str, np.ndarray], np.ndarray]
 
 def train(rows: DataFrame) -> Field:
     """The field of all documents' words."""
-    shapes = rows.select(F.inline("nodes")).groupBy("mask", "label").count()
-    shapes = [tuple(r) for r in shapes.orderBy(F.desc("count"), "mask", "label").limit(TRAIN_SHAPES).collect()]
+    words = rows.select(F.inline("nodes")).where("not doubt")
+    shapes = words.groupBy("mask", "label").count()
+    shapes = [tuple(r) for r in shapes.orderBy(F.xxhash64("mask", "label"), "mask", "label").limit(TRAIN_SHAPES).collect()]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, len(LABELS), len(LABELS)), np.int64)
+        total = np.zeros((len(LABELS), len(LABELS)), np.int64)
         for batch in batches:
-            nodes, doc = _flat(batch.column(0))
-            left, right, types = edges(nodes["key"], nodes["adjacent"], doc)
-            np.add.at(total, (types, nodes["label"][left], nodes["label"][right]), 1)
+            nodes, _ = _flat(batch.column(0))
+            right = np.flatnonzero(nodes["adjacent"])
+            right = right[~(nodes["doubt"][right] | nodes["doubt"][right - 1])]
+            np.add.at(total, (nodes["label"][right - 1], nodes["label"][right]), 1)
         place = np.argwhere(total)
-        columns = [pa.array(place[:, i].astype(np.int32)) for i in range(3)]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(total[tuple(place.T)])], ["type", "a", "b", "n"])
+        columns = [pa.array(place[:, i].astype(np.int32)) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(total[tuple(place.T)])], ["a", "b", "n"])
 
     pairs = np.zeros((2, len(LABELS), len(LABELS)))
-    for r in rows.select("nodes").mapInArrow(count, "type int, a int, b int, n bigint").groupBy("type", "a", "b").agg(F.sum("n").alias("n")).collect():
-        pairs[r["type"], r["a"], r["b"]] = r["n"]
+    for r in rows.select("nodes").mapInArrow(count, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+        pairs[CHAIN, r["a"], r["b"]] = r["n"]
+    kinds = range(len(LABELS))
+    keys = words.where("key != 0").groupBy("key").agg(*[F.count_if(F.col("label") == k).alias(f"n{k}") for k in kinds])
+    # n mentions of a key weigh n - 1 pairs, in whole thousandths so that their sum has one value
+    n = sum((F.col(f"n{k}") for k in kinds), F.lit(0))
+    ways = {(a, b): F.col(f"n{a}") * (F.col(f"n{b}") - int(a == b)) for a in kinds for b in kinds}
+    sums = keys.where(n > 1).agg(*[F.sum(F.floor(1000.0 * w / n).cast("long")).alias(f"p{a}{b}") for (a, b), w in ways.items()]).first()
+    for a, b in ways:
+        pairs[SKIP, a, b] = (sums[f"p{a}{b}"] or 0) / 1000
     return fit(shapes, pairs)
 
 
@@ -292,24 +379,21 @@ def _added(nodes: dict[str, np.ndarray], lo: int, hi: int, label: np.ndarray, sp
         while j < hi and label[j] == label[i] and nodes["adjacent"][j] and not nodes["label"][j] and label[i] >= 3:
             j += 1
         start, end, kind = int(nodes["start"][i]), int(nodes["end"][j - 1]), int(label[i]) - 1
-        if _plausible(kind, nodes["mask"][i:j]) and all(s["end"] <= start or s["start"] >= end for s in spans):
+        if _plausible(kind, nodes["mask"][i:j], int(nodes["digits"][i:j].sum())) and all(s["end"] <= start or s["start"] >= end for s in spans):
             found.append((start, kind, end))
         i = j
     return found
 
 
-def _plausible(kind: int, masks: np.ndarray) -> bool:
-    """email: an @ with a dot behind it; ip: four numbers; card: 12 digits and more without letters; phone: a word of seven digits
-    and more without letters, or several words."""
+def _plausible(kind: int, masks: np.ndarray, digits: int) -> bool:
+    """email: an @ with a dot behind it; ip: four numbers; card: 12 to 19 digits without letters; phone: 7 to 15 digits without letters."""
     has = lambda bit: bool((masks >> bit & 1).any())
     lettered = has(13) or has(14)
     if kind == 0:
         return has(17)
     if kind == 1:
         return has(30)
-    if kind == 2:
-        return not lettered and (has(8) or has(9) or has(10) or len(masks) >= 3)
-    return not lettered and (has(5) or has(6) or has(7) or has(8) or len(masks) >= 2)
+    return not lettered and (12 <= digits <= 19 if kind == 2 else 7 <= digits <= 15)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -323,8 +407,8 @@ def labelled(rows: DataFrame, model: Field) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, doc = _flat(batch.column(2))
-            left, right, types = edges(nodes["key"], nodes["adjacent"], doc)
-            p = model.marginals(nodes["mask"], left, right, types)
+            left, right, types, shared = edges(nodes["group"], nodes["adjacent"], doc)
+            p = model.marginals(nodes["mask"], nodes["label"], left, right, types, np.concatenate([doc, shared]))
             found = np.where(p.max(axis=1) >= SURE, p.argmax(axis=1), 0) if len(p) else np.zeros(0, int)
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             out = []
