@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,18 +38,42 @@ def _convert(df: DataFrame, source: str, kind: str, compat: bool, zone: str) ->
     return safe_cast(df, source, kind, compat)
 
 
-def range_predicates(column: str, cuts: Sequence[str] = tuple(values.VOTE_CUTS)) -> list[str]:
-    """SQL conditions that cut a table at the given days into disjoint ranges; rows without a value are the last one."""
-    bounds = [f"{column} <= '{cuts[0]}'"]
-    bounds += [f"{column} > '{low}' AND {column} <= '{high}'" for low, high in zip(cuts, cuts[1:])]
-    return [*bounds, f"{column} > '{cuts[-1]}'", f"{column} IS NULL"]
+#: A day or wall clock as text or value, or a number.
+Cut = str | date | datetime | int | float
 
 
-def range_chunks(df: DataFrame, column: str, cuts: Sequence[str] = tuple(values.VOTE_CUTS)) -> DataFrame:
+def balanced_cuts(df: DataFrame, column: str, ranges: int, accuracy: int = 100) -> tuple[Cut | None, list[Cut]]:
+    """The column's greatest value and the rising cuts, at most ranges - 1, that part its rows into near equal ranges.
+
+    Both come from one aggregate: the watermark of a stored table and the cuts for the next extract of its source need one pass and no
+    sort. The quantile sketch merges over tasks in bounded memory; a range's size is off by at most two parts in `accuracy` of the
+    mean. A value is never split: one that holds more than a range's share is the end of a larger range.
+    """
+    shares = [k / ranges for k in range(1, ranges)]
+    sketch = F.percentile_approx(column, shares or [0.5], accuracy * ranges)
+    greatest, cuts = df.agg(F.max(column), sketch).first()
+    return greatest, sorted({c for c in cuts or [] if c < greatest}) if shares else []
+
+
+def _in_sql(cut: Cut) -> str:
+    return str(cut) if isinstance(cut, (int, float)) else f"'{cut}'"
+
+
+def range_predicates(column: str, cuts: Sequence[Cut] = tuple(values.VOTE_CUTS)) -> list[str]:
+    """SQL conditions that cut a table at the given days or values into disjoint ranges; rows without a value are the last one."""
+    if not cuts:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    shown = [_in_sql(cut) for cut in cuts]
+    bounds = [f"{column} <= {shown[0]}"]
+    bounds += [f"{column} > {low} AND {column} <= {high}" for low, high in zip(shown, shown[1:])]
+    return [*bounds, f"{column} > {shown[-1]}", f"{column} IS NULL"]
+
+
+def range_chunks(df: DataFrame, column: str, cuts: Sequence[Cut] = tuple(values.VOTE_CUTS)) -> DataFrame:
     """All rows with the number of their range in `chunk`, from one scan; rows without a value have the last number."""
     cases = F.when(F.col(column).isNull(), len(cuts) + 1)
     for number, cut in enumerate(cuts):
-        cases = cases.when(F.col(column) <= ntz(cut), number)
+        cases = cases.when(F.col(column) <= (F.lit(cut) if isinstance(cut, (int, float)) else ntz(cut)), number)
     chunk = cases.otherwise(len(cuts))
     return df.withColumn("chunk", chunk)
 

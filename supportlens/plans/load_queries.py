@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from supportlens.functions import time as tm
 from supportlens.functions.cast import safe_cast
-from supportlens.operators import incremental, ledger, mirror, tables
-from supportlens.plans.inputs import documents, load, tweets, with_inputs
+from supportlens.operators import incremental, ledger, mirror, phrases, tables
+from supportlens.plans.inputs import at, documents, load, tweets, with_inputs
 
 
 def _dirty(spark, sf):
@@ -137,6 +138,42 @@ def _chunks(spark, sf):
     return mirror.range_chunks(votes, "created", ["1996-12-31", "1999-12-31"])
 
 
+def _balanced(spark, sf):
+    """Orders with times that crowd at the beginning, and some without, cut into sixteen ranges: facts on the ranges."""
+    crowded = at("cast(pow(o_orderkey % 9973, 3) as bigint) div 1000 + o_orderkey % 7")
+    rows = load(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 50 > 0, crowded).alias("created"))
+    _, cuts = mirror.balanced_cuts(rows, "created", 16)
+    timed = F.col("least").isNotNull()
+    ranges = mirror.range_chunks(rows, "created", cuts).groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("created").alias("least"), F.max("created").alias("greatest")
+    )
+    before = F.lag("greatest").over(Window.orderBy("chunk"))  # a row a range
+    facts = ranges.withColumn("apart", F.coalesce(F.col("least") > before, F.lit(True)))
+    return facts.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(~timed, F.col("n"))).alias("n_untimed"),
+        F.count_if(timed).alias("n_ranges"),
+        F.min("apart").alias("disjoint"),
+        (F.max(F.when(timed, F.col("n"))) <= 1.2 * F.avg(F.when(timed, F.col("n")))).alias("balanced"),
+    )
+
+
+def _phrases(spark, sf):
+    """Part names with their type and number, translated by phrases of one to three words that overlap."""
+    part = load(spark, sf, "part")
+    second, kind, number = F.substring_index("p_name", " ", -1), F.lower("p_type"), F.col("p_partkey").cast("string")
+    rules = F.array(
+        F.when(F.col("p_size") > 20, F.col("p_name")),
+        F.when(F.col("p_size") % 3 == 0, F.concat_ws(" ", second, kind)),
+        F.when(F.col("p_partkey") % 2 == 1, F.concat_ws(" ", kind, number)),
+        F.when(F.col("p_size") > 48, second),
+        F.when(F.col("p_size") == 7, F.concat_ws(" ", "p_name", kind)),
+    )
+    known = part.select("p_size", F.explode(F.array_compact(rules)).alias("original_query"))
+    known = known.select("original_query", F.concat(F.upper(F.translate("original_query", " ", "_")), F.lit("#"), F.col("p_size")).alias("translated_query"))
+    return phrases.translate_phrases(part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type", number).alias("original_query")), known)
+
+
 def _votes(spark, sf):
     """Line items vote on orders, which revise customers' pages."""
     votes = load(spark, sf, "lineitem").select(
@@ -235,6 +272,8 @@ QUERIES = {
     "month_overwrite": _month,
     "rules_changed": _rules_changed,
     "vote_chunks": _chunks,
+    "balanced_ranges": _balanced,
+    "translated_phrases": _phrases,
     "kb_votes_join": _votes,
     "conform_table": _conform,
     "conform_compat": _conform_compat,
@@ -304,6 +343,27 @@ WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)""
     "vote_chunks": """SELECT o_orderkey, created, CASE WHEN created IS NULL THEN 3 WHEN created <= TIMESTAMP '1996-12-31' THEN 0
   WHEN created <= TIMESTAMP '1999-12-31' THEN 1 ELSE 2 END AS chunk
 FROM (SELECT o_orderkey, nullif(o_orderdate, TIMESTAMP '1996-02-02') AS created FROM orders)""",
+    "balanced_ranges": """SELECT count(*) AS n_rows, CAST(sum(CASE WHEN o_orderkey % 50 = 0 THEN 1 END) AS BIGINT) AS n_untimed,
+  CAST(16 AS BIGINT) AS n_ranges, true AS disjoint, true AS balanced FROM orders""",
+    # every cover of a query by phrases, of which the best is taken
+    "translated_phrases": """WITH RECURSIVE parts AS (SELECT *, split_part(p_name, ' ', -1) AS second, lower(p_type) AS kind FROM part),
+known AS (SELECT p_size, p_name AS phrase FROM parts WHERE p_size > 20
+  UNION ALL SELECT p_size, second || ' ' || kind FROM parts WHERE p_size % 3 = 0
+  UNION ALL SELECT p_size, kind || ' ' || p_partkey FROM parts WHERE p_partkey % 2 = 1
+  UNION ALL SELECT p_size, second FROM parts WHERE p_size > 48
+  UNION ALL SELECT p_size, p_name || ' ' || kind FROM parts WHERE p_size = 7),
+entries AS (SELECT phrase, min(upper(replace(phrase, ' ', '_')) || '#' || p_size) AS said FROM known GROUP BY 1),
+texts AS (SELECT p_partkey, p_name || ' ' || p_type || ' ' || p_partkey AS q FROM part),
+words AS (SELECT q, string_split(q, ' ') AS w FROM (SELECT DISTINCT q FROM texts)),
+runs AS (SELECT q, w, i, n FROM words, unnest(range(1, len(w) + 1)) AS a(i), unnest(range(1, len(w) + 2 - i)) AS b(n)),
+hits AS (SELECT q, i, n, said FROM runs JOIN entries ON phrase = lower(array_to_string(w[i : i + n - 1], ' '))
+  UNION ALL SELECT q, i, 0, w[i] FROM runs WHERE n = 1),
+covers AS (SELECT q, len(w) AS l, CAST(1 AS BIGINT) AS spot, CAST(0 AS BIGINT) AS covered, 0 AS pieces, CAST([] AS BIGINT[]) AS lens, CAST([] AS VARCHAR[]) AS said FROM words
+  UNION ALL SELECT c.q, l, spot + greatest(n, 1), covered + n, pieces + CAST(n > 0 AS INT), list_append(lens, n), list_append(c.said, h.said)
+  FROM covers c JOIN hits h ON h.q = c.q AND h.i = c.spot),
+best AS (SELECT q, array_to_string(said, ' ') AS said FROM (SELECT *, row_number() OVER (PARTITION BY q
+  ORDER BY covered DESC, pieces, lens DESC) AS place FROM covers WHERE spot > l) WHERE place = 1)
+SELECT p_partkey, q AS original_query, said AS translated_query FROM texts JOIN best USING (q)""",
     "kb_votes_join": """SELECT c_custkey AS document_id, c_name AS title, c_mktsegment AS locale, l_shipdate AS created,
   l_linenumber AS helpful FROM lineitem, orders, customer
 WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND l_shipdate <= TIMESTAMP '1998-12-31'""",

@@ -11,6 +11,7 @@ from supportlens.functions.sentiment import sentiment_bin
 from supportlens.operators import enrich, polarity, reviews, rule_index, terms
 from supportlens.plans.inputs import documents, load, question_versions, tweets, with_inputs
 from supportlens.operators.forum import latest
+from supportlens.sources import sinks
 
 # The invented prose of the tables names no product, so rules and word lists are made of words it does use.
 RULES = [
@@ -33,6 +34,15 @@ def _top_terms(spark, sf):
     return terms.top_terms(_daily_terms(spark, sf), 100)
 
 
+def _top_terms_merged(spark, sf):
+    """From a stored table of daily counts and the stored summaries of its days."""
+    daily, short = sinks.staging(spark, "daily-terms"), sinks.staging(spark, "term-summaries")
+    _daily_terms(spark, sf).write.parquet(daily)
+    counts = spark.read.parquet(daily)
+    terms.term_summaries(counts).write.parquet(short)
+    return terms.top_terms_merged(spark.read.parquet(short), counts, 100)
+
+
 def _keywords(spark, sf):
     questions = latest(question_versions(spark, sf), "question_id")
     return terms.keyword_counts(questions, KEYWORDS)
@@ -175,6 +185,7 @@ def _reviews(spark, sf):
 QUERIES = {
     "term_freq_daily": _daily_terms,
     "top_terms": _top_terms,
+    "top_terms_merged": _top_terms_merged,
     "keyword_doc_freq": _keywords,
     "topic_classify": _topic_classify,
     "topic_classify_full": _topic_classify_full,
@@ -305,6 +316,8 @@ _FULL = values.topic_rules(PRODUCT)
 ORACLE = {
     "term_freq_daily": _TERMS + "SELECT * FROM counts",
     "top_terms": _TERMS + """SELECT tweet_word, CAST(sum(tweet_freq) AS BIGINT) AS tweet_freq FROM counts
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""",
+    "top_terms_merged": _TERMS + """SELECT tweet_word, CAST(sum(tweet_freq) AS BIGINT) AS tweet_freq FROM counts
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""",
     "keyword_doc_freq": with_inputs("questions", f"""
 SELECT CAST(created_date AS DATE) AS forum_dt, forum_word, count(*) AS forum_freq FROM (

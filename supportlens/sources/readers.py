@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supportlens.operators.mirror import conform, range_predicates
+from supportlens.operators.mirror import Cut, conform, range_predicates
 from supportlens.schemas import MIRROR, mirror_kinds
 
 QUESTION_PAGE = (
@@ -169,7 +169,8 @@ def read_database(
     return conform(rows, table, compat)
 
 
-def read_votes(spark: SparkSession, url: str, properties: dict[str, str], cuts: Sequence[str]) -> DataFrame:
-    """The vote table by ranges of its creation day. The last cut should be near today: what is after it is one range."""
+def read_votes(spark: SparkSession, url: str, properties: dict[str, str], cuts: Sequence[Cut]) -> DataFrame:
+    """The vote table by ranges of its creation day. The last cut should be near today: what is after it is one range.
+    `mirror.balanced_cuts` of the votes stored before gives cuts of near equal ranges."""
     predicates = range_predicates("created", cuts)
     return conform(spark.read.jdbc(url, "wiki_helpfulvote", predicates=predicates, properties=properties), "wiki_helpfulvote")
