@@ -99,7 +99,7 @@ def load_survey(spark: SparkSession, path: str, target: str, aside: str) -> None
     """Saved survey pages: responses submitted since the last stored one, that time included, each once. Records whose times
     can't be read are kept in the folder `aside`."""
     sinks.ensure_table(spark, target, "survey_responses")
-    pages = readers.read_pages(spark, path, readers.SURVEY_PAGE, "data")
+    pages = sinks.staged(readers.read_pages(spark, path, readers.SURVEY_PAGE, "data"), "survey-pages")
     sinks.write_ndjson(survey.unread_rows(pages), aside)
     mark = sinks.stored_watermark(spark, target, "date_submitted")
     rows = survey.survey_rows(pages)

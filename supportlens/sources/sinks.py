@@ -72,9 +72,11 @@ def append(df: DataFrame, name: str, table: str) -> None:
 
 def append_new(df: DataFrame, name: str, table: str, keys: Sequence[str]) -> None:
     """Append of rows whose keys are not there yet; a second run adds nothing. Of a table stored by day, only the batch's
-    days are compared: a row that comes again comes with its time."""
+    days are compared: a row that comes again comes with its time. The batch, parsing included, is made once and staged, since its
+    days have to be known before it is compared."""
     loaded, days = df.sparkSession.table(name), _by_day(df, table)[1]
     if days:
+        df = staged(df, "batch")
         low, high = df.agg(F.min(STORED_BY_DAY[table]).cast("date"), F.max(STORED_BY_DAY[table]).cast("date")).first()
         day = F.col(days[0])
         loaded = loaded.where(day.isNull() | day.between(F.lit(low), F.lit(high)))
@@ -94,6 +96,13 @@ def staging(spark: SparkSession, name: str) -> str:
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the staging folder and read back, for steps that would make it more than once."""
+    path = staging(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def overwrite(df: DataFrame, name: str, table: str) -> None:
     rows, _ = _by_day(to_schema(df, TABLES[table]), table)
     rows.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)

@@ -117,6 +117,24 @@ def test_tables(spark):
         sinks.append(scores(spark, 1).drop("topic"), name, "forum_sentiment_scores")
 
 
+def test_a_batch_is_made_once(spark):
+    spark.sql("create database if not exists support")
+    name, columns = "support.posts_made_once", "id_str long, created_at ntz, full_text string, user_id long, in_reply_to_status_id_str long"
+    sinks.ensure_table(spark, name, "twitter_mentions")
+    made = spark.sparkContext.accumulator(0)
+
+    def note(text):
+        made.add(1)
+        return text
+
+    rows = [(i, f"2020-01-0{1 + i % 3} 10:00:00", "x", 1, None) for i in range(30)] + [(90, None, "x", 1, None)]
+    for load in (1, 2):
+        batch = frame(spark, rows, columns).withColumn("full_text", F.udf(note, "string")("full_text"))
+        sinks.append_new(batch, name, "twitter_mentions", ["id_str"])
+        assert made.value == load * len(rows)
+    assert spark.table(name).count() == len(rows)
+
+
 def test_tables_by_day(spark):
     spark.sql("create database if not exists support")
     name, columns = "support.posts_by_day", "id_str long, created_at ntz, full_text string, user_id long, in_reply_to_status_id_str long"
