@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from supportlens import values
-from supportlens.functions.text import col
+from supportlens.functions.text import col, once
 
 _WORD = r"[\p{L}]+"
 
@@ -52,6 +52,7 @@ def sentences(text: Column | str) -> Column:
 
 def with_negation(found: Column | str, negators: Sequence[str], reach: int = values.NEGATION_REACH) -> Column:
     """(word, negated) of a sentence's words: negated if one of the `reach` words before is a negator."""
-    found, listed = col(found), list(negators)
-    before = lambda i: F.slice(found, F.greatest(i - (reach - 1), F.lit(1)), F.least(i, F.lit(reach)))
-    return F.transform(found, lambda w, i: F.struct(w.alias("word"), F.exists(before(i), lambda x: x.isin(listed)).alias("negated")))
+    listed = list(negators)
+    before = lambda own, i: F.slice(own, F.greatest(i - (reach - 1), F.lit(1)), F.least(i, F.lit(reach)))
+    flagged = lambda own: F.transform(own, lambda w, i: F.struct(w.alias("word"), F.exists(before(own, i), lambda x: x.isin(listed)).alias("negated")))
+    return once(found, flagged)

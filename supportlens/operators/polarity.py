@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from supportlens import values
 from supportlens.functions.sentiment import sentences, sentiment_bin, with_negation, words
 from supportlens.functions.text import col
+from supportlens.sources.sinks import staged
 
 #: Sentences with seeds that a word is in at least, and least polarity, in thousandths.
 LEAST_SENTENCES, LEAST_POLARITY = 5, 200
@@ -29,8 +30,9 @@ def polar_words(
     spoken = df.select(F.explode(sentences(text)).alias("_s")).select(F.array_distinct(words("_s")).alias("_words"))
     seeded = lambda seeds: F.arrays_overlap("_words", F.array(*map(F.lit, seeds)).cast("array<string>")).cast("long")
     flagged = spoken.select("_words", seeded(positive).alias("up"), seeded(negative).alias("down")).where("up + down > 0")
-    # The totals go through the same aggregate under a name that is no word.
+    # The totals go through the same aggregate under a name that is no word; staged, so that the sentences are read once for the three uses.
     counted = flagged.select(F.explode(F.array_append("_words", "")).alias("word"), "up", "down").groupBy("word").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    counted = staged(counted, "polar-counts")
     total = lambda side: counted.where("word = ''").select(side).scalar()
     rated = counted.where("word <> ''")
     a, b = (F.col("up") + 1) / (total("up") + 1), (F.col("down") + 1) / (total("down") + 1)

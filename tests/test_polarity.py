@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from supportlens.functions import sentiment
 from supportlens.operators import enrich, polarity
 
 
@@ -84,3 +85,11 @@ def test_empty_tables(spark, table):
     none = spark.createDataFrame([], "id bigint, t string")
     assert polarity.score_sentences(none, "t", table, "id").count() == 0
     assert sorted(polarity.polar_words(none, "t", ["a"], ["b"]).collect()) == [("a", 1000), ("b", -1000)]
+
+
+def test_words_are_cut_once(spark):
+    """Words are cut once a sentence, not once for each word, and the sentences are read once for the counts and their totals."""
+    df = spark.createDataFrame([("not good. bad",)], "t string")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert plan(df.select(sentiment.with_negation(sentiment.words("t"), ["not"]).alias("said"))).count("regexp_extract_all(") == 1
+    assert plan(polarity.polar_words(df, "t", ["good"], ["bad"])).count("regexp_extract_all(") == 0
