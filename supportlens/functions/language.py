@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supportlens.functions.text import col
+from supportlens.functions.text import col, once
+from supportlens.sources.sinks import staged
 
 BUCKETS = 8192
 #: A language has to be so many times as likely as the next one, in natural logarithms; else the text is undetermined.
@@ -24,21 +25,22 @@ def letter_runs(text: Column | str) -> Column:
     """Bucket of each run of three letters of the text in lower case; all that is no letter counts as one blank. None if it has no letters."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(col(text)), r"[^\p{L}]+", " "), F.lit(" "))
     letters = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), F.ascii)
-    at = lambda i: F.get(letters, i)
-    triples = F.zip_with(
-        F.zip_with(letters, F.slice(letters, F.lit(2), F.greatest(F.size(letters) - 1, F.lit(0))), lambda a, b: a * 31 + b),
-        F.slice(letters, F.lit(3), F.greatest(F.size(letters) - 2, F.lit(0))),
-        lambda ab, c: (ab * 31 + c) % BUCKETS,
-    )
+    return F.when(F.rlike(col(text), F.lit(r"\p{L}")), once(letters, _triples)).otherwise(F.array().cast("array<int>"))
+
+
+def _triples(letters: Column) -> Column:
+    after = lambda i: F.slice(letters, F.lit(i + 1), F.greatest(F.size(letters) - i, F.lit(0)))
+    triples = F.zip_with(F.zip_with(letters, after(1), lambda a, b: a * 31 + b), after(2), lambda ab, c: (ab * 31 + c) % BUCKETS)
     # The last two letters have no third one: their places come out null.
-    return F.when(at(F.lit(2)).isNotNull() & F.rlike(col(text), F.lit(r"\p{L}")), F.array_compact(triples)).otherwise(F.array().cast("array<int>"))
+    return F.array_compact(triples)
 
 
 def language_table(df: DataFrame, text: Column | str, lang: Column | str) -> DataFrame:
     """lang, bucket, weight: a row for each language and bucket that its texts hold, and one with bucket -1 for all others. Rows without
     a language are left out. The result has at most BUCKETS + 1 rows a language, whatever the number of texts."""
     runs = df.select(col(lang).alias("lang"), F.explode(letter_runs(text)).alias("bucket")).where("lang is not null")
-    counts = runs.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # Staged: the runs are counted once for the table and its totals.
+    counts = staged(runs.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")), "language-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     every = counts.union(totals.select("lang", F.lit(-1), F.lit(0).cast("bigint"))).join(totals, "lang")
     weight = F.round(_UNIT * F.log((F.col("n") + 1) / (F.col("total") + BUCKETS))).cast("int")

@@ -30,6 +30,14 @@ def test_runs(one, text):
         assert one(language.letter_runs("t"), t=text) == py_runs(text)
 
 
+def test_runs_are_made_once(spark):
+    """Letters are cut once in an expression, and texts are read once for the table."""
+    df = spark.createDataFrame([("the thing", "en")], "t string, lang string")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert plan(df.select(language.letter_runs("t").alias("runs"))).count("split(") == 1
+    assert plan(language.language_table(df, "t", "lang")).count("split(") == 0
+
+
 def test_against_python(spark):
     rows = [(1, "the thing", "en"), (2, "der ding", "de"), (3, "this and that", "en"), (4, None, "de"), (5, "x", None), (6, "eine ganze menge", "de")]
     df = spark.createDataFrame(rows, "id bigint, t string, lang string")
