@@ -9,7 +9,7 @@ sequences and offsets they get; Spark ranks the pieces and looks their places up
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -190,6 +190,22 @@ def ranked(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("own", own).join(starts, ["length", "bucket"]).withColumn("rank", F.col("first") + F.col("own"))
 
 
+def placer(names: list[str], table: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Looks up sequence and offset of ranked pieces (`names` and rank) in `places`."""
+    keys = table[:, 0] << 40 | table[:, 1]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All is encoded by now; each of a worker's encoders takes some hundred MB beside the last stage's output.
+        tokens.forget()
+        for batch in batches:
+            length, rank = (batch.column(names.index("length")).to_numpy(), batch.column(len(names)).to_numpy())
+            at = np.searchsorted(keys, length.astype(np.int64) << 40 | rank, "right") - 1
+            found = [pa.array(table[at, 2] + rank - table[at, 1]), pa.array(table[at, 3])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], [*names, "sequence_id", "offset"])
+
+    return place
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces (any columns, `length` among them) with sequence_id and offset. Lengths lie between 1 and `capacity`."""
     names = cut.columns
@@ -198,18 +214,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for length, n in rows.groupBy("length").count().collect():  # at most `capacity` rows
         counts[length] = n
     table = places(plan(counts, capacity))
-    keys = table[:, 0] << 40 | table[:, 1]
     held = ranked(rows, int(counts.sum())).select(*names, "rank")
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(names.index("length")).to_numpy(), batch.column(len(names)).to_numpy())
-            at = np.searchsorted(keys, length.astype(np.int64) << 40 | rank, "right") - 1
-            found = [pa.array(table[at, 2] + rank - table[at, 1]), pa.array(table[at, 3])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], [*names, "sequence_id", "offset"])
-
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
-    return held.mapInArrow(place, f"{kinds}, sequence_id bigint, offset bigint")
+    return held.mapInArrow(placer(names, table), f"{kinds}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
