@@ -180,8 +180,3 @@ def encoder(kind: type, path: str):
     if (kind, path) not in _made:
         _made[kind, path] = kind(path)
     return _made[kind, path]
-
-
-def forget() -> None:
-    """Lets a worker's encoders go, for steps that come after the encoding and would hold their memory for nothing."""
-    _made.clear()
