@@ -43,11 +43,11 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokens.ByteEncoder, vocabulary)
+        encoder = tokens.encoder(tokens.ByteEncoder, vocabulary)
         for batch in batches:
             at, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, value in enumerate(batch.column(1)):
-                data = encode(value.as_py() or "") + end
+            for i, data in enumerate(encoder.encoded(value.as_py() or "" for value in batch.column(1))):
+                data += end
                 for k, (s, n) in enumerate(cuts(len(data) // 4, capacity)):
                     part = data[4 * s : 4 * (s + n)]
                     at.append(i), piece.append(k), start.append(s), length.append(n), crc.append(zlib.crc32(part))

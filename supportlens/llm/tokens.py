@@ -1,8 +1,9 @@
 """Token ids by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
-Both vocabularies treat what stands between white space on its own, so chunks are encoded once and remembered, and new chunks of
-plain Latin letters are cut as the vocabulary's pattern cuts them, with the parts encoded by its model and remembered too. Both memories are
-bounded. All else (runs of white space, unusual separators, other scripts) is encoded whole.
+Both vocabularies treat what stands between white space on its own. Chunks of plain Latin letters are cut as the vocabulary's pattern
+cuts them, and the parts are encoded by its model; all else (runs of white space, unusual separators, other scripts) is encoded whole.
+The byte-level encoder cuts many texts at once by numpy, looks each of their different parts up once and remembers those that came more
+than once; the word encoder goes chunk by chunk and remembers chunks and parts. These memories are bounded.
 """
 
 from __future__ import annotations
@@ -11,10 +12,16 @@ import codecs
 import re
 import struct
 import unicodedata
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 
 #: Chunks and parts that a Python worker remembers twice over: the latest ones, and those before them until used again.
 REMEMBERED = 150_000
 LONGEST_REMEMBERED = 48
+#: Characters of texts that are cut together, about.
+AT_ONCE = 8 << 20
 
 _RUN = re.compile(r"\s\s")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -56,7 +63,6 @@ _PLAIN = re.compile("[!-~¡-\u012f\u0131-\u017f]*")
 _LETTERS, _NUMBERS = (
     "".join(c for c in map(chr, range(0x21, 0x180)) if unicodedata.category(c)[0] == kind) for kind in "LN"
 )
-_BYTE_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\\s{_LETTERS}{_NUMBERS}]+|\\s+")
 _WORD_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 
 
@@ -70,6 +76,10 @@ def _visible() -> str:
 _VISIBLE = _visible()
 
 
+def _spelt(data: bytes) -> str:
+    return codecs.charmap_decode(data, "strict", _VISIBLE)[0]
+
+
 class _Remembered(dict):
     """Encoded texts; a new one is encoded on the way. When full, what was not used since the last time goes."""
 
@@ -89,41 +99,57 @@ class _Remembered(dict):
         self[text] = data
         return data
 
+    def once(self, text: str) -> bytes:
+        """Without remembering a new one."""
+        return self.get(text) or self.before.get(text) or self.made(text)
+
     def made(self, text: str) -> bytes:
         raise NotImplementedError
 
 
-class _Parts(_Remembered):
-    """Parts that the model encodes on their own."""
+class _Whole(_Remembered):
+    """Texts that are encoded whole."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenize = tokenizer.model.tokenize
+        self.tokenizer = tokenizer
 
     def made(self, text: str) -> bytes:
-        spelt = text if text.isalpha() and text.isascii() else codecs.charmap_decode(text.encode(), "strict", _VISIBLE)[0]
-        ids = [t.id for t in self.tokenize(spelt)]
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Chunks(_Remembered):
-    def __init__(self, tokenizer, parts: _Parts, pattern: re.Pattern, lower: bool, prefix: str = ""):
+class _Spelt(_Remembered):
+    """Parts, as they are spelt, that the model encodes on their own."""
+
+    def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.parts, self.pattern, self.lower, self.prefix = tokenizer, parts, pattern, lower, prefix
+        self.tokenize = tokenizer.model.tokenize
+
+    def made(self, text: str) -> bytes:
+        ids = [t.id for t in self.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Parts(_Spelt):
+    def made(self, text: str) -> bytes:
+        return super().made(text if text.isalpha() and text.isascii() else _spelt(text.encode()))
+
+
+class _Chunks(_Whole):
+    def __init__(self, tokenizer, parts: _Parts):
+        super().__init__(tokenizer)
+        self.parts = parts
 
     def made(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isalpha():
-            if self.lower:  # a part as it is, remembered here
-                return self.parts.made(chunk.lower())
-            return self.parts[self.prefix + chunk]
+        if chunk.isascii() and chunk.isalpha():  # a part as it is, remembered here
+            return self.parts.made(chunk.lower())
         if _PLAIN.fullmatch(chunk):
-            text = self.prefix + (chunk.lower() if self.lower else chunk)
-            return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
-        return self.whole(self.prefix + chunk)
+            return b"".join(map(self.parts.__getitem__, _WORD_PARTS.findall(chunk.lower())))
+        return self.whole(chunk)
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return super().made(text)
 
 
 def _tokenizer(path: str):
@@ -134,23 +160,117 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+_ODD, _SPACE, _LINE, _LETTER, _NUMBER, _MARK = range(6)
+
+
+def _classes() -> np.ndarray:
+    """Classes of the characters below U+0180 in the byte-level pattern; odd ones are left to the library."""
+    of = {"L": _LETTER, "N": _NUMBER}
+    plain = [of.get(unicodedata.category(c)[0], _MARK) if _PLAIN.fullmatch(c) else _ODD for c in map(chr, range(0x180))]
+    plain[ord(" ")], plain[ord("\n")] = _SPACE, _LINE
+    return np.array(plain, np.uint8)
+
+
+_CLASSES = _classes()
+_BYTE_CLASSES = np.append(_CLASSES[:0x80], np.full(0x80, _ODD, np.uint8))
+_SHORT, _LONG = (np.array([int.from_bytes(x) for x in ends], np.uint16) for ends in ([b"s", b"t", b"m", b"d"], [b"re", b"ve", b"ll"]))
+
+
+def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the byte-level pattern cuts texts without runs of white space that stand one behind the other (first and last place
+    included), and which of these parts are chunks with odd characters, uncut."""
+    n = len(data)
+    classes = _BYTE_CLASSES[data]
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC5))
+    classes[lead] = classes[lead + 1] = _CLASSES[(data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63]
+    text = np.zeros(n + 2, bool)  # a place beyond the end, for what is looked up behind a quote
+    text[0] = text[ends] = text[n + 1] = True
+    chunk = text.copy()
+    chunk[:n] |= (classes == _SPACE) | (classes == _LINE)
+    chunk[1 : n + 1] |= classes == _LINE
+    part = chunk.copy()
+    part[1:n] |= (classes[1:] != classes[:-1]) & (classes[:-1] != _SPACE)
+
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[text[quote] | ((classes[quote - 1] >= _LINE) & (classes[quote - 1] <= _NUMBER))]
+    quote = quote[~text[quote + 1]]  # 's and its like are parts where no mark and no space stands before the quote
+    short = quote[np.isin(data[quote + 1], _SHORT)]
+    quote = quote[~text[quote + 2]]
+    long = quote[np.isin(data[quote + 1].astype(np.uint16) << 8 | data[quote + 2], _LONG)]
+    part[short + 1] = part[long + 1] = False
+    part[short + 2] = part[long + 3] = True
+
+    cuts = np.flatnonzero(part[: n + 1])
+    odd = np.flatnonzero(classes == _ODD)
+    if not len(odd):
+        return cuts, np.zeros(len(cuts) - 1, bool)
+    chunks = np.flatnonzero(chunk[: n + 1])
+    uncut = np.zeros(len(chunks), bool)
+    uncut[np.searchsorted(chunks, odd, "right") - 1] = True
+    uncut = uncut[np.searchsorted(chunks, cuts, "right") - 1]
+    kept = ~uncut | chunk[cuts]
+    return cuts[kept], uncut[kept][:-1]
+
+
 class ByteEncoder:
     """For byte-level vocabularies, where a word takes the one space before it along."""
 
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
-        parts = _Parts(tokenizer)
-        self.first, self.later = (_Chunks(tokenizer, parts, _BYTE_PARTS, False, prefix) for prefix in ("", " "))
+        self.whole, self.parts = _Whole(tokenizer), _Spelt(tokenizer)
 
     def __call__(self, text: str) -> bytes:
+        (data,) = self.encoded([text])
+        return data
+
+    def encoded(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Each text's ids; texts of some `AT_ONCE` characters are encoded together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= AT_ONCE:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        whole = {i: self.whole.made(text) for i, text in enumerate(texts) if self._has_runs(text)}
+        rest = [b"" if i in whole else text.encode() for i, text in enumerate(texts)]
+        ids, ends = self._of_parts(b"".join(rest), np.cumsum(np.fromiter(map(len, rest), np.int64, len(rest))))
+        data, start = memoryview(ids).cast("B"), 0
+        for i, end in enumerate(ends.tolist()):
+            yield whole[i] if i in whole else bytes(data[4 * start : 4 * end])
+            start = end
+
+    def _of_parts(self, data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that stand one behind the other, and how many there are up to each text's end."""
+        cuts, uncut = _cuts(np.frombuffer(data, np.uint8), ends)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        at = parts.indices.to_numpy()
+        made = self._of_different(parts.dictionary, np.bincount(at) > 1, set(at[uncut].tolist()))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        lengths = sizes[at]
+        before = np.append(0, np.cumsum(lengths))
+        places = np.repeat((np.cumsum(sizes) - sizes)[at] - before[:-1], lengths)
+        places += np.arange(len(places))
+        return np.frombuffer(b"".join(made), "<u4")[places], before[np.searchsorted(cuts, ends)]
+
+    def _of_different(self, parts: pa.LargeBinaryArray, often: np.ndarray, odd: set[int]) -> list[bytes]:
+        """Each part's ids."""
+        bounds = np.frombuffer(parts.buffers()[1], np.int64)[: len(parts) + 1].tolist()
+        spelt = _spelt(parts.buffers()[2] or b"")
+        made = []
+        for i, more in enumerate(often.tolist()):
+            known, text = (self.whole, parts[i].as_py().decode()) if i in odd else (self.parts, spelt[bounds[i] : bounds[i + 1]])
+            made.append(known[text] if more else known.once(text))
+        return made
+
+    @staticmethod
+    def _has_runs(text: str) -> bool:
         kinds = _kinds_of(text)
-        if _RUN.search(text) if kinds is None else b"  " in kinds or b"x" in kinds:
-            return self.first.whole(text)
-        parts = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            parts.append(self.first[head] + b"".join(map(self.later.__getitem__, rest)))
-        return self.first["\n"].join(parts)
+        return bool(_RUN.search(text)) if kinds is None else b"  " in kinds or b"x" in kinds
 
 
 class WordEncoder:
@@ -158,7 +278,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
-        self.chunks = _Chunks(tokenizer, _Parts(tokenizer), _WORD_PARTS, True)
+        self.chunks = _Chunks(tokenizer, _Parts(tokenizer))
 
     def __call__(self, text: str) -> bytes:
         kinds = _kinds_of(text)

@@ -31,6 +31,35 @@ def test_chunks_encode_like_whole_texts(small_docs, kind, path):
         assert np.frombuffer(encode(text), "<u4").tolist() == want(text), repr(text[:80])
 
 
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
+def test_texts_cut_together_encode_like_whole_texts(monkeypatch, at_once):
+    monkeypatch.setattr(tokens, "AT_ONCE", at_once)
+    encoder, want = tokens.ByteEncoder(BYTE), whole(BYTE)
+    rng = random.Random(4)
+    bits = ["a", "It", "'", "'", "s", "re", "ll", "ve", "m", "'d", "T", " ", " ", "\n", "7", "²", "é", "Ÿ", "ſ", "İ", "’", "“", "語", "́", "-", "\t", "\xa0", "\u2003", "\x1c", "\xad"]
+    texts = ["".join(rng.choices(bits[: rng.choice([16, 20, 30])], k=rng.randrange(9))) for _ in range(6000)] + ODD
+    texts += ["it'", "s ok", "'", "'", "re", "", "'r", "e", " ", " a", "\n", "\n", "é'", "ll"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encoded(iter(texts))]
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == want(text), repr(text)
+    assert list(encoder.encoded([])) == []
+
+
+def test_parts_are_encoded_once_however_many_there_are(monkeypatch):
+    """Texts of more different words than are remembered used to encode every word again, and every combination of word and mark."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    encoder, calls = tokens.ByteEncoder(BYTE), []
+    owner = encoder.parts if hasattr(encoder, "parts") else encoder.first.parts
+    tokenize = owner.tokenize
+    owner.tokenize = lambda text: calls.append(text) or tokenize(text)
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(300)]
+    texts = [" " + " ".join(w + mark for w in words) for mark in ("", ",", ".", ";", "")]
+    encode = getattr(encoder, "encoded", lambda texts: map(encoder, texts))
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)]
+    assert got == [whole(BYTE)(text) for text in texts]
+    assert len(calls) == len(set(calls)) == 303
+
+
 def check_packed(rows, docs):
     """Every document is cut as asked and every sequence is filled without gaps or overlaps."""
     encode = whole(BYTE)
