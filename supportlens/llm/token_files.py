@@ -34,9 +34,9 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_bytes, start = tokens.encoder(tokens.WordEncoder, vocabulary), 0
+        encoder, start = tokens.encoder(tokens.WordEncoder, vocabulary), 0
         for batch in batches:
-            data = [to_bytes(value.as_py() or "") + end for value in batch.column(1)]
+            data = [ids + end for ids in encoder.encoded(value.as_py() or "" for value in batch.column(1))]
             counts = np.fromiter(map(len, data), np.int64, len(data)) // 4
             ends = np.cumsum(counts)
             ids = np.frombuffer(b"".join(data), "<u4").astype(np.int32)

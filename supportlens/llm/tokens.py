@@ -1,9 +1,9 @@
 """Token ids by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
 Both vocabularies treat what stands between white space on its own. Chunks of plain Latin letters are cut as the vocabulary's pattern
-cuts them, and the parts are encoded by its model; all else (runs of white space, unusual separators, other scripts) is encoded whole.
-The byte-level encoder cuts many texts at once by numpy, looks each of their different parts up once and remembers those that came more
-than once; the word encoder goes chunk by chunk and remembers chunks and parts. These memories are bounded.
+cuts them, and the parts are encoded by its model; all else (unusual separators, other scripts, for byte-level vocabularies also texts
+with runs of white space) is encoded whole. Many texts are cut at once by numpy; each of their different parts is looked up once, and
+those that came more than once are remembered. These memories are bounded.
 """
 
 from __future__ import annotations
@@ -24,17 +24,14 @@ LONGEST_REMEMBERED = 48
 AT_ONCE = 8 << 20
 
 _RUN = re.compile(r"\s\s")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_MARKS = ".,"
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0"
 
 
 def _kinds() -> bytes:
-    """Classes of Latin-1 characters: w letters and numbers, white space, s stops and commas, m other marks, x separators."""
-    kinds = ["w" if unicodedata.category(c)[0] in "LN" else "m" for c in map(chr, range(256))]
-    for c in "\t\n\x0b\x0c\r \x85\xa0":
+    """Classes of Latin-1 characters: white space, x separators, w all others."""
+    kinds = ["w"] * 256
+    for c in _WHITE:
         kinds[ord(c)] = " "
-    for c in _MARKS:
-        kinds[ord(c)] = "s"
     for c in "\x1c\x1d\x1e\x1f":
         kinds[ord(c)] = "x"
     return "".join(kinds).encode()
@@ -60,10 +57,6 @@ def vocabulary(name: str) -> str:
 
 #: Letters whose classes and lower case are beyond doubt, and their classes in the patterns.
 _PLAIN = re.compile("[!-~¡-\u012f\u0131-\u017f]*")
-_LETTERS, _NUMBERS = (
-    "".join(c for c in map(chr, range(0x21, 0x180)) if unicodedata.category(c)[0] == kind) for kind in "LN"
-)
-_WORD_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 
 
 def _visible() -> str:
@@ -131,27 +124,6 @@ class _Spelt(_Remembered):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Parts(_Spelt):
-    def made(self, text: str) -> bytes:
-        return super().made(text if text.isalpha() and text.isascii() else _spelt(text.encode()))
-
-
-class _Chunks(_Whole):
-    def __init__(self, tokenizer, parts: _Parts):
-        super().__init__(tokenizer)
-        self.parts = parts
-
-    def made(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isalpha():  # a part as it is, remembered here
-            return self.parts.made(chunk.lower())
-        if _PLAIN.fullmatch(chunk):
-            return b"".join(map(self.parts.__getitem__, _WORD_PARTS.findall(chunk.lower())))
-        return self.whole(chunk)
-
-    def whole(self, text: str) -> bytes:
-        return super().made(text)
-
-
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -173,33 +145,34 @@ def _classes() -> np.ndarray:
 
 _CLASSES = _classes()
 _BYTE_CLASSES = np.append(_CLASSES[:0x80], np.full(0x80, _ODD, np.uint8))
+_WORD_CLASSES = _CLASSES.copy()
+_WORD_CLASSES[list(map(ord, _WHITE))] = _SPACE
+_WORD_BYTE_CLASSES = np.append(_WORD_CLASSES[:0x80], np.full(0x80, _ODD, np.uint8))
+#: Lower case of the characters below U+0180 that are not odd; none needs more or fewer bytes.
+_LOWER = np.array([ord(chr(c).lower()) if _CLASSES[c] else c for c in range(0x180)], np.uint16)
+_BYTE_LOWER = np.append(_LOWER[:0x80], np.arange(0x80, 0x100)).astype(np.uint8)
 _SHORT, _LONG = (np.array([int.from_bytes(x) for x in ends], np.uint16) for ends in ([b"s", b"t", b"m", b"d"], [b"re", b"ve", b"ll"]))
 
 
-def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the byte-level pattern cuts texts without runs of white space that stand one behind the other (first and last place
-    included), and which of these parts are chunks with odd characters, uncut."""
-    n = len(data)
-    classes = _BYTE_CLASSES[data]
+def _pairs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the characters of two bytes up to U+017F stand, and which these are."""
     lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC5))
-    classes[lead] = classes[lead + 1] = _CLASSES[(data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63]
-    text = np.zeros(n + 2, bool)  # a place beyond the end, for what is looked up behind a quote
-    text[0] = text[ends] = text[n + 1] = True
-    chunk = text.copy()
-    chunk[:n] |= (classes == _SPACE) | (classes == _LINE)
-    chunk[1 : n + 1] |= classes == _LINE
-    part = chunk.copy()
-    part[1:n] |= (classes[1:] != classes[:-1]) & (classes[:-1] != _SPACE)
+    return lead, (data[lead].astype(np.uint16) & 31) << 6 | data[lead + 1] & 63
 
-    quote = np.flatnonzero(data == ord("'"))
-    quote = quote[text[quote] | ((classes[quote - 1] >= _LINE) & (classes[quote - 1] <= _NUMBER))]
-    quote = quote[~text[quote + 1]]  # 's and its like are parts where no mark and no space stands before the quote
+
+def _with_endings(part: np.ndarray, text: np.ndarray, quote: np.ndarray, data: np.ndarray) -> None:
+    """Moves the cuts behind quotes where 's and its like are parts. `text`: where texts begin."""
+    quote = quote[~text[quote + 1]]
     short = quote[np.isin(data[quote + 1], _SHORT)]
     quote = quote[~text[quote + 2]]
     long = quote[np.isin(data[quote + 1].astype(np.uint16) << 8 | data[quote + 2], _LONG)]
     part[short + 1] = part[long + 1] = False
     part[short + 2] = part[long + 3] = True
 
+
+def _with_odd_whole(part: np.ndarray, chunk: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cuts but those in chunks with odd characters, and which parts are such chunks."""
+    n = len(classes)
     cuts = np.flatnonzero(part[: n + 1])
     odd = np.flatnonzero(classes == _ODD)
     if not len(odd):
@@ -212,9 +185,56 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cuts[kept], uncut[kept][:-1]
 
 
-class ByteEncoder:
-    """For byte-level vocabularies, where a word takes the one space before it along."""
+def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the byte-level pattern cuts texts without runs of white space that stand one behind the other (first and last place
+    included), and which of these parts are chunks with odd characters, uncut."""
+    n = len(data)
+    classes = _BYTE_CLASSES[data]
+    lead, code = _pairs(data)
+    classes[lead] = classes[lead + 1] = _CLASSES[code]
+    text = np.zeros(n + 2, bool)  # a place beyond the end, for what is looked up behind a quote
+    text[0] = text[ends] = text[n + 1] = True
+    chunk = text.copy()
+    chunk[:n] |= (classes == _SPACE) | (classes == _LINE)
+    chunk[1 : n + 1] |= classes == _LINE
+    part = chunk.copy()
+    part[1:n] |= (classes[1:] != classes[:-1]) & (classes[:-1] != _SPACE)
+    quote = np.flatnonzero(data == ord("'"))  # 's and its like are parts where no mark and no space stands before the quote
+    quote = quote[text[quote] | ((classes[quote - 1] >= _LINE) & (classes[quote - 1] <= _NUMBER))]
+    _with_endings(part, text, quote, data)
+    return _with_odd_whole(part, chunk, classes)
+
 
+def _word_cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of such texts without white space and in lower case (odd chunks as they are), where the word pattern cuts them,
+    which parts are odd chunks, and how many parts there are up to each text's end."""
+    n = len(data)
+    classes, lower = _WORD_BYTE_CLASSES[data], _BYTE_LOWER[data]
+    lead, code = _pairs(data)
+    classes[lead] = classes[lead + 1] = _WORD_CLASSES[code]
+    code = _LOWER[code]
+    lower[lead], lower[lead + 1] = 0xC0 | code >> 6, 0x80 | code & 63
+    text = np.zeros(n + 2, bool)
+    text[0] = text[ends] = text[n + 1] = True
+    white = classes == _SPACE
+    chunk = text.copy()
+    chunk[1:n] |= white[1:] != white[:-1]
+    part = chunk.copy()
+    part[1:n] |= classes[1:] != classes[:-1]
+    part[:n] |= (classes == _NUMBER) & (data & 0xC0 != 0x80)
+    quote = np.flatnonzero(data == ord("'"))  # here also behind a space
+    quote = quote[text[quote] | (classes[quote - 1] != _MARK)]
+    _with_endings(part, text, quote, lower)
+    cuts, uncut = _with_odd_whole(part, chunk, classes)
+    if uncut.any():
+        within = np.repeat(uncut, np.diff(cuts))
+        lower[within] = data[within]
+    starts, sizes = cuts[:-1], np.diff(cuts)
+    seen = ~white[starts]
+    return lower[~white], np.append(0, np.cumsum(sizes[seen])), uncut[seen], np.searchsorted(starts[seen], ends)
+
+
+class _Encoder:
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
         self.whole, self.parts = _Whole(tokenizer), _Spelt(tokenizer)
@@ -235,7 +255,7 @@ class ByteEncoder:
         yield from self._together(held)
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
-        whole = {i: self.whole.made(text) for i, text in enumerate(texts) if self._has_runs(text)}
+        whole = {i: self.whole.made(text) for i, text in enumerate(texts) if self._uncut(text)}
         rest = [b"" if i in whole else text.encode() for i, text in enumerate(texts)]
         ids, ends = self._of_parts(b"".join(rest), np.cumsum(np.fromiter(map(len, rest), np.int64, len(rest))))
         data, start = memoryview(ids).cast("B"), 0
@@ -245,7 +265,7 @@ class ByteEncoder:
 
     def _of_parts(self, data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts that stand one behind the other, and how many there are up to each text's end."""
-        cuts, uncut = _cuts(np.frombuffer(data, np.uint8), ends)
+        data, cuts, uncut, upto = self._cut(np.frombuffer(data, np.uint8), ends)
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
         parts = parts.dictionary_encode()
         at = parts.indices.to_numpy()
@@ -255,7 +275,7 @@ class ByteEncoder:
         before = np.append(0, np.cumsum(lengths))
         places = np.repeat((np.cumsum(sizes) - sizes)[at] - before[:-1], lengths)
         places += np.arange(len(places))
-        return np.frombuffer(b"".join(made), "<u4")[places], before[np.searchsorted(cuts, ends)]
+        return np.frombuffer(b"".join(made), "<u4")[places], before[upto]
 
     def _of_different(self, parts: pa.LargeBinaryArray, often: np.ndarray, odd: set[int]) -> list[bytes]:
         """Each part's ids."""
@@ -267,29 +287,33 @@ class ByteEncoder:
             made.append(known[text] if more else known.once(text))
         return made
 
-    @staticmethod
-    def _has_runs(text: str) -> bool:
+    def _uncut(self, text: str) -> bool:
+        """Whether the text is to be encoded whole."""
+        return False
+
+    def _cut(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of the parts, where these begin and the last one ends, which are to be encoded whole, and how many there are up
+        to each text's end."""
+        raise NotImplementedError
+
+
+class ByteEncoder(_Encoder):
+    """For byte-level vocabularies, where a word takes the one space before it along."""
+
+    def _uncut(self, text: str) -> bool:
         kinds = _kinds_of(text)
         return bool(_RUN.search(text)) if kinds is None else b"  " in kinds or b"x" in kinds
 
+    def _cut(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        cuts, uncut = _cuts(data, ends)
+        return data, cuts, uncut, np.searchsorted(cuts, ends)
 
-class WordEncoder:
-    """For vocabularies that drop white space and end words."""
 
-    def __init__(self, path: str):
-        tokenizer = _tokenizer(path)
-        self.chunks = _Chunks(tokenizer, _Parts(tokenizer))
+class WordEncoder(_Encoder):
+    """For vocabularies that drop white space and end words."""
 
-    def __call__(self, text: str) -> bytes:
-        kinds = _kinds_of(text)
-        if _SEPARATORS.search(text) if kinds is None else b"x" in kinds:
-            return self.chunks.whole(text)
-        if kinds is not None:
-            text = text.lower()
-            if not (b"ss" in kinds or b"sm" in kinds or b"ms" in kinds):  # no mark that the pattern keeps with another one
-                for mark in _MARKS:  # words are remembered better without their marks
-                    text = text.replace(mark, " " + mark)
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+    def _cut(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return _word_cuts(data, ends)
 
 
 _made: dict = {}

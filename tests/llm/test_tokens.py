@@ -60,6 +60,36 @@ def test_parts_are_encoded_once_however_many_there_are(monkeypatch):
     assert len(calls) == len(set(calls)) == 303
 
 
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
+def test_words_cut_together_encode_like_whole_texts(monkeypatch, at_once):
+    monkeypatch.setattr(tokens, "AT_ONCE", at_once)
+    encoder, want = tokens.WordEncoder(WORD), whole(WORD)
+    rng = random.Random(5)
+    bits = ["a", "It", "'", "'", "S", "re", "LL", "ve", "m", "'d", "T", " ", " ", "\n", "7", "²", "É", "Ÿ", "ſ", "İ", "’", "“", "語", "́", "-", "\t", "\xa0", "\u2003", "\x1c", "\xad", "H", "\u0331", "Σ", "\x85", "ŉ", "K"]
+    texts = ["".join(rng.choices(bits[: rng.choice([16, 20, 30, 36])], k=rng.randrange(9))) for _ in range(6000)] + ODD
+    texts += ["it'", "s ok", "'", "'", "re", "", "'r", "e", " ", " a", "\n", "\n", "é'", "ll", "12", "3", "²", "²x", "\xa0", "\xa0 '\xa0s"]
+    texts += [f"a{chr(c)}b {chr(c)}' {chr(c)}'s{chr(c)}{chr(c)}" for c in [*range(0x250), 0x345, 0x1680, 0x2028, 0x212A, 0x212B, 0x3000, 0x1F600]]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encoded(iter(texts))]
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == want(text), repr(text)
+    assert list(encoder.encoded([])) == [] and list(encoder.encoded(["", " \n"])) == [b"", b""]
+
+
+def test_words_are_encoded_once_however_many_there_are(monkeypatch):
+    """op9's encoder went chunk by chunk and encoded a word again each time that more words than are remembered stood between."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    encoder, calls = tokens.WordEncoder(WORD), []
+    owner = encoder.parts if hasattr(encoder, "parts") else encoder.chunks.parts
+    tokenize = owner.tokenize
+    owner.tokenize = lambda text: calls.append(text) or tokenize(text)
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(300)]
+    texts = [" ".join(w + mark for w in words) for mark in ("", ",", ".", ";", "")] + [" ".join(words).title()]
+    encode = getattr(encoder, "encoded", lambda texts: map(encoder, texts))
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)]
+    assert got == [whole(WORD)(text) for text in texts]
+    assert len(calls) == len(set(calls)) == 303
+
+
 def check_packed(rows, docs):
     """Every document is cut as asked and every sequence is filled without gaps or overlaps."""
     encode = whole(BYTE)
