@@ -2,8 +2,8 @@
 
 Both vocabularies treat what stands between white space on its own. Chunks of plain Latin letters are cut as the vocabulary's pattern
 cuts them, and the parts are encoded by its model; all else (unusual separators, other scripts, for byte-level vocabularies also texts
-with runs of white space) is encoded whole. Many texts are cut at once by numpy; each of their different parts is looked up once, and
-those that came more than once are remembered. These memories are bounded.
+with runs of white space) is encoded whole. Many texts are cut at once by numpy, and each of their different parts is encoded once and
+remembered in Arrow arrays; this memory is bounded.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks and parts that a Python worker remembers twice over: the latest ones, and those before them until used again.
-REMEMBERED = 150_000
+#: Parts that a Python worker remembers, and their bytes at most.
+REMEMBERED = 600_000
 LONGEST_REMEMBERED = 48
 #: Characters of texts that are cut together, about.
 AT_ONCE = 8 << 20
@@ -73,55 +74,61 @@ def _spelt(data: bytes) -> str:
     return codecs.charmap_decode(data, "strict", _VISIBLE)[0]
 
 
-class _Remembered(dict):
-    """Encoded texts; a new one is encoded on the way. When full, what was not used since the last time goes."""
-
-    def __init__(self):
-        super().__init__()
-        self.before: dict[str, bytes] = {}
-
-    def __missing__(self, text: str) -> bytes:
-        data = self.before.get(text)
-        if data is None:
-            data = self.made(text)
-            if len(text) > LONGEST_REMEMBERED:
-                return data
-        if len(self) >= REMEMBERED:
-            self.before = dict(self)
-            self.clear()
-        self[text] = data
-        return data
-
-    def once(self, text: str) -> bytes:
-        """Without remembering a new one."""
-        return self.get(text) or self.before.get(text) or self.made(text)
-
-    def made(self, text: str) -> bytes:
-        raise NotImplementedError
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Whole(_Remembered):
+class _Whole:
     """Texts that are encoded whole."""
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
 
     def made(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-class _Spelt(_Remembered):
+class _Spelt:
     """Parts, as they are spelt, that the model encodes on their own."""
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenize = tokenizer.model.tokenize
 
     def made(self, text: str) -> bytes:
-        ids = [t.id for t in self.tokenize(text)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed([t.id for t in self.tokenize(text)])
+
+
+class _Memory:
+    """Parts and their ids, one part's behind the other's."""
+
+    def __init__(self):
+        self.parts = pa.array([], pa.large_binary())
+        self.sizes, self.ids, self.met = np.zeros(0, np.int64), np.zeros(0, "<u4"), np.zeros(0, bool)
+
+    def places(self, parts: pa.LargeBinaryArray) -> np.ndarray:
+        """Where the parts stand, -1 for new ones."""
+        at = pc.index_in(parts, value_set=self.parts).fill_null(-1).to_numpy().astype(np.int64)
+        self.met[at[at >= 0]] = True
+        return at
+
+    def add(self, parts: pa.LargeBinaryArray, made: list[bytes]) -> None:
+        """New parts go behind the others."""
+        self.parts = pa.concat_arrays([self.parts, parts])
+        self.sizes = np.append(self.sizes, np.fromiter(map(len, made), np.int64, len(made)) // 4)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(made), "<u4"))
+        self.met = np.append(self.met, np.zeros(len(made), bool))
+
+    def trim(self) -> None:
+        """Long parts go. When there are too many, what was not met again since the last time goes too, and of the rest the latest stay, for
+        which half the room suffices."""
+        kept = pc.binary_length(self.parts).to_numpy() <= LONGEST_REMEMBERED
+        if len(kept) > REMEMBERED:
+            kept &= self.met
+            kept[np.flatnonzero(kept)[: -(REMEMBERED // 2)]] = False
+            self.met[:] = False
+        if not kept.all():
+            self.ids = self.ids[np.repeat(kept, self.sizes)]
+            self.parts, self.sizes, self.met = self.parts.filter(pa.array(kept)), self.sizes[kept], self.met[kept]
 
 
 def _tokenizer(path: str):
@@ -154,6 +161,11 @@ _BYTE_LOWER = np.append(_LOWER[:0x80], np.arange(0x80, 0x100)).astype(np.uint8)
 _SHORT, _LONG = (np.array([int.from_bytes(x) for x in ends], np.uint16) for ends in ([b"s", b"t", b"m", b"d"], [b"re", b"ve", b"ll"]))
 
 
+def _translated(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[data] for bytes."""
+    return np.frombuffer(bytearray(data).translate(table.tobytes()), np.uint8)
+
+
 def _pairs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the characters of two bytes up to U+017F stand, and which these are."""
     lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC5))
@@ -189,7 +201,7 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the byte-level pattern cuts texts without runs of white space that stand one behind the other (first and last place
     included), and which of these parts are chunks with odd characters, uncut."""
     n = len(data)
-    classes = _BYTE_CLASSES[data]
+    classes = _translated(data, _BYTE_CLASSES)
     lead, code = _pairs(data)
     classes[lead] = classes[lead + 1] = _CLASSES[code]
     text = np.zeros(n + 2, bool)  # a place beyond the end, for what is looked up behind a quote
@@ -209,7 +221,7 @@ def _word_cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """The bytes of such texts without white space and in lower case (odd chunks as they are), where the word pattern cuts them,
     which parts are odd chunks, and how many parts there are up to each text's end."""
     n = len(data)
-    classes, lower = _WORD_BYTE_CLASSES[data], _BYTE_LOWER[data]
+    classes, lower = _translated(data, _WORD_BYTE_CLASSES), _translated(data, _BYTE_LOWER)
     lead, code = _pairs(data)
     classes[lead] = classes[lead + 1] = _WORD_CLASSES[code]
     code = _LOWER[code]
@@ -237,7 +249,7 @@ def _word_cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class _Encoder:
     def __init__(self, path: str):
         tokenizer = _tokenizer(path)
-        self.whole, self.parts = _Whole(tokenizer), _Spelt(tokenizer)
+        self.whole, self.parts, self.memory = _Whole(tokenizer), _Spelt(tokenizer), _Memory()
 
     def __call__(self, text: str) -> bytes:
         (data,) = self.encoded([text])
@@ -268,24 +280,29 @@ class _Encoder:
         data, cuts, uncut, upto = self._cut(np.frombuffer(data, np.uint8), ends)
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
         parts = parts.dictionary_encode()
-        at = parts.indices.to_numpy()
-        made = self._of_different(parts.dictionary, np.bincount(at) > 1, set(at[uncut].tolist()))
-        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        memory, at = self.memory, parts.indices.to_numpy()
+        known = memory.places(parts.dictionary)
+        new = np.flatnonzero(known < 0)
+        odd = np.zeros(len(known), bool)
+        odd[at[uncut]] = True
+        known[new] = len(memory.parts) + np.arange(len(new))
+        new_parts = parts.dictionary.take(pa.array(new))
+        memory.add(new_parts, self._made(new_parts, odd[new]))
+        sizes = memory.sizes[known]
+        starts = (np.cumsum(memory.sizes) - memory.sizes)[known]
         lengths = sizes[at]
         before = np.append(0, np.cumsum(lengths))
-        places = np.repeat((np.cumsum(sizes) - sizes)[at] - before[:-1], lengths)
+        places = np.repeat(starts[at] - before[:-1], lengths)
         places += np.arange(len(places))
-        return np.frombuffer(b"".join(made), "<u4")[places], before[upto]
+        ids = memory.ids[places]
+        memory.trim()
+        return ids, before[upto]
 
-    def _of_different(self, parts: pa.LargeBinaryArray, often: np.ndarray, odd: set[int]) -> list[bytes]:
+    def _made(self, parts: pa.LargeBinaryArray, odd: np.ndarray) -> list[bytes]:
         """Each part's ids."""
-        bounds = np.frombuffer(parts.buffers()[1], np.int64)[: len(parts) + 1].tolist()
-        spelt = _spelt(parts.buffers()[2] or b"")
-        made = []
-        for i, more in enumerate(often.tolist()):
-            known, text = (self.whole, parts[i].as_py().decode()) if i in odd else (self.parts, spelt[bounds[i] : bounds[i + 1]])
-            made.append(known[text] if more else known.once(text))
-        return made
+        if odd.any():
+            return [self.whole.made(p.decode()) if o else self.parts.made(_spelt(p)) for p, o in zip(parts.to_pylist(), odd.tolist(), strict=True)]
+        return [self.parts.made(_spelt(p)) for p in parts.to_pylist()]
 
     def _uncut(self, text: str) -> bool:
         """Whether the text is to be encoded whole."""

@@ -90,6 +90,23 @@ def test_words_are_encoded_once_however_many_there_are(monkeypatch):
     assert len(calls) == len(set(calls)) == 303
 
 
+@pytest.mark.parametrize("kind, path", [(tokens.ByteEncoder, BYTE), (tokens.WordEncoder, WORD)])
+def test_memory_is_bounded_and_keeps_what_comes_again(monkeypatch, kind, path):
+    for name, value in {"AT_ONCE": 40, "REMEMBERED": 20, "LONGEST_REMEMBERED": 6}.items():
+        monkeypatch.setattr(tokens, name, value)
+    encoder, want = kind(path), whole(path)
+    rng = random.Random(6)
+    texts = [" ".join(["often", *("".join(rng.choices("abcÉ語", k=rng.randrange(1, 9))) for _ in range(5))]) for _ in range(2000)]
+    calls, tokenize = [], encoder.parts.tokenize
+    encoder.parts.tokenize = lambda text: calls.append(text) or tokenize(text)
+    for i, ids in enumerate(encoder.encoded(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == want(texts[i]), texts[i]
+        assert len(encoder.memory.parts) <= 20
+    assert len(encoder.memory.sizes) == len(encoder.memory.met) == len(encoder.memory.parts)
+    assert encoder.memory.sizes.sum() == len(encoder.memory.ids)
+    assert calls.count("often") + calls.count("Ġoften") <= 2
+
+
 def check_packed(rows, docs):
     """Every document is cut as asked and every sequence is filled without gaps or overlaps."""
     encode = whole(BYTE)
