@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 REMEMBERED = 600_000
 LONGEST_REMEMBERED = 48
 #: Characters of texts that are cut together, about.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 
 _RUN = re.compile(r"\s\s")
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0"
@@ -99,11 +99,11 @@ class _Spelt:
 
 
 class _Memory:
-    """Parts and their ids, one part's behind the other's."""
+    """Parts and their ids."""
 
     def __init__(self):
-        self.parts = pa.array([], pa.large_binary())
-        self.sizes, self.ids, self.met = np.zeros(0, np.int64), np.zeros(0, "<u4"), np.zeros(0, bool)
+        self.parts = self.ids = pa.array([], pa.large_binary())
+        self.met = np.zeros(0, bool)
 
     def places(self, parts: pa.LargeBinaryArray) -> np.ndarray:
         """Where the parts stand, -1 for new ones."""
@@ -114,8 +114,7 @@ class _Memory:
     def add(self, parts: pa.LargeBinaryArray, made: list[bytes]) -> None:
         """New parts go behind the others."""
         self.parts = pa.concat_arrays([self.parts, parts])
-        self.sizes = np.append(self.sizes, np.fromiter(map(len, made), np.int64, len(made)) // 4)
-        self.ids = np.append(self.ids, np.frombuffer(b"".join(made), "<u4"))
+        self.ids = pa.concat_arrays([self.ids, pa.array(made, pa.large_binary())])
         self.met = np.append(self.met, np.zeros(len(made), bool))
 
     def trim(self) -> None:
@@ -127,8 +126,7 @@ class _Memory:
             kept[np.flatnonzero(kept)[: -(REMEMBERED // 2)]] = False
             self.met[:] = False
         if not kept.all():
-            self.ids = self.ids[np.repeat(kept, self.sizes)]
-            self.parts, self.sizes, self.met = self.parts.filter(pa.array(kept)), self.sizes[kept], self.met[kept]
+            self.parts, self.ids, self.met = self.parts.filter(pa.array(kept)), self.ids.filter(pa.array(kept)), self.met[kept]
 
 
 def _tokenizer(path: str):
@@ -270,13 +268,13 @@ class _Encoder:
         whole = {i: self.whole.made(text) for i, text in enumerate(texts) if self._uncut(text)}
         rest = [b"" if i in whole else text.encode() for i, text in enumerate(texts)]
         ids, ends = self._of_parts(b"".join(rest), np.cumsum(np.fromiter(map(len, rest), np.int64, len(rest))))
-        data, start = memoryview(ids).cast("B"), 0
+        data, start = memoryview(ids), 0
         for i, end in enumerate(ends.tolist()):
-            yield whole[i] if i in whole else bytes(data[4 * start : 4 * end])
+            yield whole[i] if i in whole else bytes(data[start:end])
             start = end
 
-    def _of_parts(self, data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of texts that stand one behind the other, and how many there are up to each text's end."""
+    def _of_parts(self, data: bytes, ends: np.ndarray) -> tuple[pa.Buffer | bytes, np.ndarray]:
+        """The ids of texts that stand one behind the other, and how many bytes these have up to each text's end."""
         data, cuts, uncut, upto = self._cut(np.frombuffer(data, np.uint8), ends)
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
         parts = parts.dictionary_encode()
@@ -288,15 +286,11 @@ class _Encoder:
         known[new] = len(memory.parts) + np.arange(len(new))
         new_parts = parts.dictionary.take(pa.array(new))
         memory.add(new_parts, self._made(new_parts, odd[new]))
-        sizes = memory.sizes[known]
-        starts = (np.cumsum(memory.sizes) - memory.sizes)[known]
-        lengths = sizes[at]
-        before = np.append(0, np.cumsum(lengths))
-        places = np.repeat(starts[at] - before[:-1], lengths)
-        places += np.arange(len(places))
-        ids = memory.ids[places]
+        ids = memory.ids.take(pa.array(known[at]))
         memory.trim()
-        return ids, before[upto]
+        if not len(ids):
+            return b"", np.zeros(len(upto), np.int64)
+        return ids.buffers()[2] or b"", np.frombuffer(ids.buffers()[1], np.int64)[upto]
 
     def _made(self, parts: pa.LargeBinaryArray, odd: np.ndarray) -> list[bytes]:
         """Each part's ids."""
