@@ -2,35 +2,42 @@
 
 On unit vectors, cosine >= c is distance <= sqrt(2 - 2c). Equal vectors are one. A few centres, the top of the tree, are taken
 from a bounded sample and part all vectors into cells; every cell has its true covering radius, so the sample decides speed and
-never results. A cell is cut into chunks of bounded size, and each chunk gets a tree of nested levels with halving radii. A vector goes
-to the chunks of every cell that its distance to the cell's centre less the cell's radius leaves in reach; there, pairs of tree
+never results. A cell is cut into chunks of bounded size, and each chunk gets a tree of nested levels with halving radii, which is written once to the shared folder as a file
+of its own. Groups of chunks meet in pairs: a task reads the chunks of two groups and lets those meet whose cells are in reach. Of
+two chunks only the vectors count that their distance to the other cell's centre less its radius leaves in reach; there, pairs of tree
 nodes are dropped if their centres are further apart than both covering radii and the threshold, taken whole if they are so close
-that all their pairs must link, and opened otherwise.
+that all their pairs must link, and opened otherwise. No vector is sent to a pair of chunks, so that shuffles and disk grow with the
+vectors, and a task holds two groups of chunks and node pairs of bounded number, whatever the number of vectors.
 
-Chunk pairs give link counts and, for the components, a spanning set of links, so that a cloud of near copies costs as many rows as it
-has vectors. Where distances say nothing (unrelated vectors in many dimensions are all equally far apart) no exact method on
-distances can prune, and work grows with the square of the cells that stay in reach, in blocks of bounded memory.
+A pair of groups gives link counts and, for the components, a spanning set of links, so that a cloud of near copies costs as many rows
+as it has vectors. Where distances say nothing (unrelated vectors in many dimensions are all equally far apart) no exact method on
+distances can prune, and arithmetic grows with the square of the cells that stay in reach, in blocks of bounded memory.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supportlens.llm.common import stored
+from supportlens.llm.common import new_path, stored
 from supportlens.llm.links import components
 
 COSINE = 0.9
 #: Vectors on which the top of the tree is fitted, at most, and centres taken from them.
 SAMPLE, CENTRES = 4096, 1024
-#: Vectors of a chunk, about.
-CHUNK = 4096
+#: Vectors of a chunk, about, and chunks of a group, at most.
+CHUNK, GROUP = 4096, 8
+#: Tasks over the pairs of groups, at most.
+TASKS = 20_000
 #: Of the nested levels. Unrelated vectors are about 1.4 apart, so that nodes of radius 1 and more would never be dropped.
 RADII = (0.5, 0.25, 0.125, 0.0625)
 #: Room for rounding: nothing is dropped or taken whole on a difference so small.
@@ -117,6 +124,23 @@ class Tree:
         return np.array(paths)
 
 
+def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest row of each row's component."""
+    label = np.arange(n)
+    while len(left):
+        least = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, left, least)
+        np.minimum.at(new, right, least)
+        np.minimum.at(new, label[left], least)
+        np.minimum.at(new, label[right], least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
 class Links:
     """Link counts and components of the rows of two trees, from node pairs taken whole."""
 
@@ -126,6 +150,7 @@ class Links:
         self.inner = np.zeros(len(a.x))
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.whole: list[list[np.ndarray]] = [[], []]
+        self.held, self.joined = 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def take(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
         """All pairs of the nodes' rows link. On one tree, i = j is a node with itself."""
@@ -140,6 +165,11 @@ class Links:
             for side, tree, nodes in ((0, self.a, i), (1, self.b, j)):
                 rows = np.flatnonzero(np.isin(tree.paths[level], nodes))
                 self.whole[side].append(np.stack([rows, tree.paths[level][rows]]))
+                self.held += len(rows)
+        self.held += len(i)
+        if self.held > MOST_PAIRS:  # a spanning set joins as much
+            self.joined = self.edges()
+            self.pairs, self.whole, self.held = [], [[], []], 0
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         out = []
@@ -156,22 +186,9 @@ class Links:
         """Links (by row, those of b behind those of a) that join the same rows as all links do: fewer than rows."""
         shift = 0 if self.same else len(self.a.x)
         n = len(self.a.x) + (0 if self.same else len(self.b.x))
-        left = [i for i, _ in self.pairs] + [w[0] for w in self.whole[0]] + [w[0] + shift for w in self.whole[1]]
-        right = [j + shift for _, j in self.pairs] + [w[1] for w in self.whole[0]] + [w[1] + shift for w in self.whole[1]]
-        label = np.arange(n)
-        if left:
-            i, j = np.concatenate(left), np.concatenate(right)
-            while True:
-                least = np.minimum(label[i], label[j])
-                new = label.copy()
-                np.minimum.at(new, i, least)
-                np.minimum.at(new, j, least)
-                np.minimum.at(new, label[i], least)
-                np.minimum.at(new, label[j], least)
-                new = new[new]
-                if (new == label).all():
-                    break
-                label = new
+        left = [self.joined[0]] + [i for i, _ in self.pairs] + [w[0] for w in self.whole[0]] + [w[0] + shift for w in self.whole[1]]
+        right = [self.joined[1]] + [j + shift for _, j in self.pairs] + [w[1] for w in self.whole[0]] + [w[1] + shift for w in self.whole[1]]
+        label = _labels(n, np.concatenate(left), np.concatenate(right))
         rows = np.flatnonzero(label != np.arange(n))
         return rows, label[rows]
 
@@ -198,11 +215,14 @@ def traverse(a: Tree, b: Tree, cosine: float, same: bool) -> Links:
     """All links between the rows of a and b (of one tree if `same`)."""
     t, found = float(np.sqrt(2 - 2 * cosine)), Links(a, b, same)
     last = len(a.paths)
-    stack = [(0, i, j) for i, j in _start(a, b, t, same) if len(i)]
+    # Of each level one part at a time: node pairs are opened as they are met.
+    stack = [((0, i[k : k + MOST_PAIRS], j[k : k + MOST_PAIRS]) for i, j in _start(a, b, t, same) for k in range(0, len(i), MOST_PAIRS))]
     while stack:
-        level, i, j = stack.pop()
-        if len(i) > MOST_PAIRS:
-            stack += [(level, i[k : k + MOST_PAIRS], j[k : k + MOST_PAIRS]) for k in range(0, len(i), MOST_PAIRS)]
+        level, i, j = next(stack[-1], (None, None, None))
+        if i is None:
+            stack.pop()
+            continue
+        if not len(i):
             continue
         dots = np.concatenate([np.einsum("ij,ij->i", a.x[i[k : k + 65_536]], b.x[j[k : k + 65_536]]) for k in range(0, len(i), 65_536)])
         d, r = _distance(dots), a.radius[level][i] + b.radius[level][j]
@@ -223,32 +243,31 @@ def traverse(a: Tree, b: Tree, cosine: float, same: bool) -> Links:
             found.take(level, i[whole], j[whole])
         rest = ~single & ~whole & (d - r <= t + ROOM)
         if level < last and rest.any():
-            stack += _opened(a, b, level, i[rest], j[rest], same)
+            stack.append(_opened(a, b, level, i[rest], j[rest], same))
     return found
 
 
-def _opened(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, same: bool) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """The pairs of the nodes' children, in parts of bounded size."""
+def _opened(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, same: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The pairs of the nodes' children, at most MOST_PAIRS at a time; those of one pair of nodes may come in several parts."""
     (ca, sa), (cb, sb) = a.children[level], b.children[level]
-    ni, nj = sa[i + 1] - sa[i], sb[j + 1] - sb[j]
-    total = np.cumsum(ni * nj)
-    parts = []
-    for part in np.split(np.arange(len(i)), np.searchsorted(total, np.arange(MOST_PAIRS, int(total[-1]), MOST_PAIRS), "right")):
-        if not len(part):
-            continue
-        n = ni[part] * nj[part]
-        pair = np.repeat(part, n)
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    nj = sb[j + 1] - sb[j]
+    n = (sa[i + 1] - sa[i]) * nj
+    ends = np.cumsum(n)
+    for low in range(0, int(ends[-1]), MOST_PAIRS):
+        high = min(low + MOST_PAIRS, int(ends[-1]))
+        some = np.arange(np.searchsorted(ends, low, "right"), np.searchsorted(ends, high - 1, "right") + 1)
+        pair = np.repeat(some, np.diff(np.minimum(ends[some], high), prepend=low))
+        at = np.arange(low, high) - (ends - n)[pair]
         x, y = ca[sa[i[pair]] + at // nj[pair]], cb[sb[j[pair]] + at % nj[pair]]
         if same:  # a node with itself: each pair of children once
             once = (i[pair] != j[pair]) | (x <= y)
             x, y = x[once], y[once]
-        parts.append((level + 1, x, y))
-    return parts
+        yield level + 1, x, y
 
 
 def vector_rows(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, dim, digest and vec (doubles) of every row; the last three null where the vector can't link."""
+    """vec_id, dim, digest and vec (numbers of 32 bits where they hold it exactly, else doubles) of every row; the last three null where
+    the vector can't link."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
     kind = rows.schema["vec_id"].dataType.simpleString()
 
@@ -261,16 +280,27 @@ def vector_rows(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
                 raw = (x + 0.0).tobytes() if good else None
                 dims.append(len(x) if good else None)
                 digests.append(hashlib.sha256(raw).digest() if good else None)
-                data.append(raw)
+                data.append(_packed(x) if good else None)
             columns = [pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["vec_id", "dim", "digest", "vec"])
 
     return rows.mapInArrow(read, f"vec_id {kind}, dim int, digest binary, vec binary")
 
 
-def _unit_rows(column: pa.Array | pd.Series, dim: int) -> np.ndarray:
-    data = b"".join(column.to_pylist() if isinstance(column, pa.Array) else column)
-    return unit(np.frombuffer(data, np.float64).reshape(-1, dim)) if data else np.zeros((0, dim))
+def _packed(x: np.ndarray) -> bytes:
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return ((short if (short == x).all() else x) + 0.0).tobytes()
+
+
+def _unit_rows(column: pa.Array | pa.ChunkedArray | pd.Series, dim: int) -> np.ndarray:
+    data = list(column) if isinstance(column, pd.Series) else column.to_pylist()
+    x = np.zeros((len(data), dim))
+    long = np.fromiter((len(v) == 8 * dim for v in data), bool, len(data))
+    for rows, kind in ((np.flatnonzero(~long), np.float32), (np.flatnonzero(long), np.float64)):
+        if len(rows):
+            x[rows] = np.frombuffer(b"".join(data[k] for k in rows.tolist()), kind).reshape(-1, dim)
+    return unit(x) if len(x) else x
 
 
 def _top(classes: DataFrame, dim: int, n: int) -> np.ndarray:
@@ -285,19 +315,51 @@ def _top(classes: DataFrame, dim: int, n: int) -> np.ndarray:
     return x[chosen[: min(CENTRES, max(1, -(-n // CHUNK)))]]
 
 
+class _Chunks:
+    """The chunks of `folder` as their files hold them. Those of the two groups at work are kept."""
+
+    def __init__(self, folder: str, dim: int, most: int):
+        self.fs, self.folder = pafs.FileSystem.from_uri(folder)
+        self.dim, self.most, self.kept = dim, most, {}
+
+    def get(self, chunk: int) -> tuple[Tree, np.ndarray] | None:
+        """Tree and classes of a chunk; None if no vector fell to it."""
+        if chunk not in self.kept:
+            if len(self.kept) >= self.most:
+                self.kept.pop(next(iter(self.kept)))
+            files = self.fs.get_file_info(pafs.FileSelector(f"{self.folder}/chunk={chunk}", allow_not_found=True))
+            parts = [pq.ParquetFile(self.fs.open_input_file(f.path)).read() for f in files if f.path.endswith(".parquet")]
+            self.kept[chunk] = self._grown(pa.concat_tables(parts).sort_by("place")) if parts else None
+        self.kept[chunk] = self.kept.pop(chunk)  # last to go
+        return self.kept[chunk]
+
+    def _grown(self, rows: pa.Table) -> tuple[Tree, np.ndarray]:
+        x = _unit_rows(rows["vec"], self.dim)
+        paths = np.frombuffer(b"".join(rows["path"].to_pylist()), np.int32).reshape(len(x), -1).T.astype(np.int64)
+        return Tree(x, rows["weight"].to_numpy().astype(float), paths), rows["cls"].to_numpy()
+
+
+def _part(tree: Tree, rows: np.ndarray) -> Tree:
+    """The tree over some of its rows. A node whose centre stays away is centred on its first row at hand; nodes stay nested and
+    radii are measured anew."""
+    return Tree(tree.x[rows], tree.weight[rows], _kept_paths(tree.paths[:, rows], rows))
+
+
 def _class_links(classes: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
-    """For classes (cls, vec, weight) of one dimension: rows (a, null, links of one of its vectors to other classes) and (a, b, 0) for
+    """For classes (cls, vec, weight) of one dimension: rows (a, -1, links of one of its vectors to other classes) and (a, b, 0) for
     the components."""
-    t = float(np.sqrt(2 - 2 * cosine))
+    spark, t = classes.sparkSession, float(np.sqrt(2 - 2 * cosine))
     centres = _top(classes, dim, n)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dots = _unit_rows(batch.column(1), dim) @ centres.T
-            cell = dots.argmax(axis=1) if len(dots) else np.zeros(0, np.int64)
-            far = _distance(dots[np.arange(len(cell)), cell])
-            columns = [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)]
-            yield pa.RecordBatch.from_arrays(columns, ["cls", "vec", "weight", "cell", "far"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(low, BLOCK)
+                dots = _unit_rows(batch.column(1), dim) @ centres.T
+                cell = dots.argmax(axis=1)
+                far = _distance(dots[np.arange(len(cell)), cell])
+                columns = [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)]
+                yield pa.RecordBatch.from_arrays(columns, ["cls", "vec", "weight", "cell", "far"])
 
     celled = stored(classes.select("cls", "vec", "weight").mapInArrow(assign, "cls bigint, vec binary, weight bigint, cell int, far double"), "cells")
     radius, chunks = np.full(len(centres), -9.0), np.zeros(len(centres), np.int64)
@@ -306,67 +368,95 @@ def _class_links(classes: DataFrame, dim: int, n: int, cosine: float) -> DataFra
     first = np.concatenate([[0], np.cumsum(chunks)])
     parts = F.element_at(F.array(*map(F.lit, chunks.tolist())), F.col("cell") + 1)
     base = F.element_at(F.array(*map(F.lit, first[:-1].tolist())), F.col("cell") + 1)
-    chunked = celled.withColumn("chunk", base + F.pmod(F.xxhash64("cls"), parts))
+    chunked = celled.withColumn("chunk", base + F.pmod(F.xxhash64("cls"), parts)).select("cls", "vec", "weight", "chunk")
 
     def grow(frame: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(_unit_rows(frame["vec"], dim), frame["weight"].to_numpy(float))
-        out = frame[["cls", "vec", "weight", "cell", "chunk"]].copy()
+        out = frame[["cls", "vec", "weight", "chunk"]].copy()
         out["path"] = [row.tobytes() for row in np.ascontiguousarray(tree.paths.T.astype(np.int32))]
         out["place"] = np.arange(len(out), dtype=np.int32)
         return out
 
-    schema = "cls bigint, vec binary, weight bigint, cell int, chunk bigint, path binary, place int"
-    grown = stored(chunked.groupBy("chunk").applyInPandas(grow, schema), "trees")
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each vector to its own chunk's pairs with all chunks in reach, its chunk's number on the left if it is the smaller."""
+    folder = new_path(spark, "trees")
+    grown = chunked.groupBy("chunk").applyInPandas(grow, "cls bigint, vec binary, weight bigint, chunk bigint, path binary, place int")
+    grown.write.partitionBy("chunk").parquet(folder)
+
+    total = int(first[-1])
+    each = min(GROUP, max(1, total // 8))
+    groups = -(-total // each)
+    apart = _distance(centres @ centres.T)
+
+    def link(left: tuple, right: tuple, cells: tuple[int, int], same: bool) -> tuple[Links, np.ndarray, np.ndarray] | None:
+        """Links of two chunks, and the rows of each that they are over."""
+        (a, b), whole = (left[0], right[0]), [np.arange(len(x[1])) for x in (left, right)]
+        if cells[0] == cells[1]:
+            return traverse(a, b, cosine, same), *whole
+        rows = [np.flatnonzero(_distance(x.x @ centres[c]) - radius[c] <= t + ROOM) for x, c in ((a, cells[1]), (b, cells[0]))]
+        if not len(rows[0]) or not len(rows[1]):
+            return None
+        if 2 * len(rows[0]) * len(rows[1]) >= len(a.x) * len(b.x):  # the others link with none either way
+            return traverse(a, b, cosine, False), *whole
+        return traverse(_part(a, rows[0]), _part(b, rows[1]), cosine, False), *rows
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = _Chunks(folder, dim, 2 * each)
         for batch in batches:
-            far = _distance(_unit_rows(batch.column("vec"), dim) @ centres.T)
-            own = batch.column("chunk").to_numpy()
-            row, cell = np.nonzero(far - radius[None, :] <= t + ROOM)
-            n = chunks[cell]
-            at, cell = np.repeat(row, n), np.repeat(cell, n)
-            other = first[cell] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            # two chunks meet as long as either side's vectors are in reach of the other cell; what is not comes without partners
-            left, right = np.minimum(own[at], other), np.maximum(own[at], other)
-            sent = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [*sent.columns, pa.array(left), pa.array(right)], [*batch.schema.names, "left", "right"]
-            )
-
-    sent = grown.mapInArrow(send, schema + ", left bigint, right bigint")
-
-    def link(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        trees, ids = [], []
-        for chunk in dict.fromkeys(int(k) for k in key):
-            side = frame[frame["chunk"] == chunk].sort_values("place")
-            if not len(side):
-                return pd.DataFrame({"a": [], "b": [], "n": []})
-            trees.append(Tree(_unit_rows(side["vec"], dim), side["weight"].to_numpy(float), _kept_paths(side)))
-            ids.append(side["cls"].to_numpy())
-        same = len(trees) == 1
-        found = traverse(trees[0], trees[-1], cosine, same)
-        names = ids[0] if same else np.concatenate(ids)
-        counts = found.counts()
-        total = counts[0] if same else np.concatenate(counts)
-        at, (i, j) = np.flatnonzero(total > 0), found.edges()
-        return pd.DataFrame({
-            "a": np.concatenate([names[at], names[i]]), "b": np.concatenate([np.full(len(at), -1), names[j]]),
-            "n": np.concatenate([np.rint(total[at]).astype(np.int64), np.zeros(len(i), np.int64)]),
-        })
-
-    return sent.groupBy("left", "right").applyInPandas(link, "a bigint, b bigint, n bigint")
-
-
-def _kept_paths(side: pd.DataFrame) -> np.ndarray:
-    """The tree's paths over the rows that were sent. A node whose centre stayed away is centred on its first row at hand; nodes stay
-    nested and radii are measured anew."""
-    paths = np.frombuffer(b"".join(side["path"]), np.int32).reshape(len(side), -1).T
-    out, rows = [], np.arange(len(side))
-    place = side["place"].to_numpy()
+            for unit_ in batch.column(0).to_pylist():
+                high = (math.isqrt(8 * unit_ + 1) - 1) // 2
+                low = unit_ - high * (high + 1) // 2
+                of = [np.arange(g * each, min((g + 1) * each, total)) for g in (low, high)]
+                cell = [np.searchsorted(first, x, "right") - 1 for x in of]
+                near = apart[np.ix_(*cell)] - radius[cell[0]][:, None] - radius[cell[1]][None, :] <= t + 2 * ROOM
+                near &= of[0][:, None] <= of[1][None, :]
+                counts: dict[int, np.ndarray] = {}
+                start: dict[int, int] = {}
+                names: list[np.ndarray] = []
+                edges: list[tuple[np.ndarray, np.ndarray]] = []
+
+                def known(chunk: int, entry: tuple) -> int:
+                    """Where the chunk's rows begin among those of the groups."""
+                    if chunk not in start:
+                        start[chunk] = sum(map(len, names))
+                        names.append(entry[1])
+                        counts[chunk] = np.zeros(len(entry[1]))
+                    return start[chunk]
+
+                for i, j in np.argwhere(near).tolist():
+                    x, y = int(of[0][i]), int(of[1][j])
+                    left, right = store.get(x), store.get(y)
+                    found = link(left, right, (int(cell[0][i]), int(cell[1][j])), x == y) if left and right else None
+                    if found is None:
+                        continue
+                    links, rows, others = found
+                    at = [known(x, left) + rows, known(y, right) + others]
+                    n, m = links.counts()
+                    counts[x][rows] += n
+                    if x != y:
+                        counts[y][others] += m
+                    place = at[0] if x == y else np.concatenate(at)
+                    p, q = links.edges()
+                    edges.append((place[p], place[q]))
+                if not names:
+                    continue
+                cls, total_links = np.concatenate(names), np.concatenate([counts[c] for c in start])
+                label = _labels(len(cls), *(np.concatenate([e[k] for e in edges]) for k in (0, 1)))
+                at, joined = np.flatnonzero(total_links > 0), np.flatnonzero(label != np.arange(len(cls)))
+                columns = [
+                    np.concatenate([cls[at], cls[joined]]), np.concatenate([np.full(len(at), -1), cls[label[joined]]]),
+                    np.concatenate([np.rint(total_links[at]).astype(np.int64), np.zeros(len(joined), np.int64)]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+
+    units = groups * (groups + 1) // 2
+    return spark.range(0, units, 1, max(1, min(units, TASKS))).mapInArrow(meet, "a bigint, b bigint, n bigint")
+
+
+def _kept_paths(paths: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A tree's paths (those of the rows at `place`, in order) over these rows."""
+    out, rows = [], np.arange(len(place))
     for path in paths:
         nodes, group = np.unique(path, return_inverse=True)
-        first = np.full(len(nodes), len(side))
+        first = np.full(len(nodes), len(place))
         np.minimum.at(first, group, rows)
         at = np.searchsorted(place, nodes)
         there = (at < len(place)) & (place[np.minimum(at, len(place) - 1)] == nodes)
@@ -381,11 +471,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     with those of as many numbers. Repeated vectors and repeated rows link with each other. Null ids never name a component: it is
     null if all its ids are, and such rows are not kept. An empty table gives no rows; other columns are ignored.
     """
-    rows = stored(vector_rows(vectors, id_col, vector_col), "vectors")
+    # The vectors are read twice: that is less than to write them once more.
+    rows = vector_rows(vectors, id_col, vector_col)
     grouped = rows.filter("digest IS NOT NULL").groupBy("digest", "dim").agg(
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"), F.first("vec").alias("vec")
     )
     classes = stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    rows = rows.select("vec_id", "digest")
     spark, out = vectors.sparkSession, None
     for r in classes.groupBy("dim").count().collect():  # the different lengths of vectors
         part = _class_links(classes.filter(F.col("dim") == r["dim"]), r["dim"], r["count"], cosine)

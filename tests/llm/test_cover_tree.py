@@ -96,3 +96,45 @@ def test_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").limit(300)
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     assert found(spark, rows) == brute(rows)
+
+
+def test_pairs_of_chunks_read_files(spark, monkeypatch):
+    """Vectors are written once by chunk; no row is sent to a pair of chunks."""
+    plans = []
+    keep = cover_tree.stored
+
+    def spied(df, name):
+        if name == "links":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(cover_tree, "CHUNK", 20)
+    monkeypatch.setattr(cover_tree, "stored", spied)
+    rows = cloud(7)
+    assert found(spark, rows) == brute(rows)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
+def test_open_pairs_are_bounded(monkeypatch):
+    """A loose cloud, in which all pairs of one node are opened and most link one by one, is met in parts."""
+    monkeypatch.setattr(cover_tree, "MOST_PAIRS", 1000)
+    rng = np.random.default_rng(4)
+    x = cover_tree.unit(rng.normal(size=64) + 0.3 * rng.normal(size=(400, 64)))
+    near = x @ x.T >= 0.9
+    assert 0.2 < near.mean() < 0.98
+    seen, opened = [], cover_tree._opened
+    monkeypatch.setattr(cover_tree, "_opened", lambda *a: (seen.append(len(part[1])) or part for part in opened(*a)))
+    a, b = cover_tree.Tree(x[:250], np.ones(250)), cover_tree.Tree(x[250:], np.ones(150))
+    for left, right, rows in ((a, a, np.arange(250)), (a, b, np.arange(400))):
+        links = cover_tree.traverse(left, right, 0.9, left is right)
+        all_near = near[np.ix_(rows, rows)] & ~np.eye(len(rows), dtype=bool)
+        counts = links.counts()[0] if left is right else np.concatenate(links.counts())
+        want = all_near if left is right else all_near & ((rows[:, None] < 250) != (rows[None, :] < 250))
+        assert counts.tolist() == want.sum(axis=1).tolist()
+        label = np.arange(len(rows))
+        for _ in rows:
+            label = np.where(want.any(axis=1), np.minimum(label, np.where(want, label[None, :], len(rows)).min(axis=1)), label)
+        at, least = links.edges()
+        assert {k: v for k, v in zip(at.tolist(), least.tolist())} == {k: v for k, v in enumerate(label.tolist()) if k != v}
+        assert sum(len(i) for i, _ in links.pairs) <= 1000
+    assert seen and max(seen) <= 1000
